@@ -51,6 +51,12 @@ def seasons(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rollup.season_rollup(latest(spark, sf_dir))
 
 
+def seasons_and_split(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    """Season table and split rows of the same snapshot."""
+    rows = latest(spark, sf_dir)
+    return rollup.season_rollup(rows), regression.with_split(rows, KEYS)
+
+
 def training_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = latest(spark, sf_dir).select(*KEYS, SPEC.net, SPEC.output)
     return regression.with_split(rows, KEYS)
@@ -438,9 +444,8 @@ def q_whatif(spark, sf_dir):
 
 
 def q_forecast_next(spark, sf_dir):
-    ahead = forecast.forecast_next_season(
-        seasons(spark, sf_dir), trained(training_rows(spark, sf_dir))
-    )
+    table, rows = seasons_and_split(spark, sf_dir)
+    ahead = forecast.forecast_next_season(table, trained(rows))
     return rounded(ahead, siguiente_cana=3, siguiente_azucar=1, tendencia_cana=8)
 
 
@@ -455,14 +460,14 @@ def q_mill_forecast_next(spark, sf_dir):
 
 
 def q_history_plus_forecast(spark, sf_dir):
-    table = seasons(spark, sf_dir)
-    ahead = forecast.forecast_next_season(table, trained(training_rows(spark, sf_dir)))
+    table, rows = seasons_and_split(spark, sf_dir)
+    ahead = forecast.forecast_next_season(table, trained(rows))
     return rounded(forecast.history_with_forecast(table, ahead), **{SPEC.net: 2, SPEC.output: 1})
 
 
 def months(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = training_rows(spark, sf_dir)
-    return forecast.forecast_months(seasons(spark, sf_dir), trained(rows), full_stats(rows), AS_OF)
+    table, rows = seasons_and_split(spark, sf_dir)
+    return forecast.forecast_months(table, trained(rows), full_stats(rows), AS_OF)
 
 
 def q_forecast_24m(spark, sf_dir):
@@ -489,16 +494,19 @@ def q_forecast_total(spark, sf_dir):
 
 
 def q_interpretation(spark, sf_dir):
-    table, model = scored(spark, sf_dir)
-    ahead = forecast.forecast_next_season(seasons(spark, sf_dir), model)
+    line, rows = seasons_and_split(spark, sf_dir)
+    model = trained(rows)
+    table = regression.score(rows, model)
+    ahead = forecast.forecast_next_season(line, model)
     told = forecast.interpretation(regression.metrics(table, model), ahead)
     flat = told.select("ecuacion", "interpretacion_coeficiente", "r2_interpretacion", "pronostico.*")
     return rounded(flat, siguiente_cana=3, siguiente_azucar=1, tendencia_cana=8)
 
 
 def q_interpretation_figures(spark, sf_dir):
-    table, model = scored(spark, sf_dir)
-    line = seasons(spark, sf_dir)
+    line, rows = seasons_and_split(spark, sf_dir)
+    model = trained(rows)
+    table = regression.score(rows, model)
     figures = forecast.interpretation_figures(
         regression.metrics(table, model),
         forecast.forecast_next_season(line, model),

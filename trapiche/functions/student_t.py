@@ -1,8 +1,10 @@
-"""Student t and F(1, dof) tails as Spark expressions.
+"""Student t and F(1, dof) tails as Spark SQL expressions.
 
 They act on model rows (one per model, or one per group), so the inference of
 any number of groups stays inside the job that fitted them: no scalar has to
 come back to the driver to look up a critical value.
+
+Arguments are column names (or SQL expressions) of DOUBLE values.
 """
 
 from __future__ import annotations
@@ -34,89 +36,85 @@ HALF_STEP_SERIES = (
 SERIES_SHIFT = 10
 
 
-def _log_gamma_half_step(a: Column) -> Column:
-    """ln(gamma(a + 1/2) / gamma(a)), without the cancellation of two log-gammas."""
-    far = a + SERIES_SHIFT
-    total = F.log(far) * 0.5
-    for power, factor in HALF_STEP_SERIES:
-        total = total + F.lit(factor) / F.pow(far, F.lit(float(power)))
-    ratio = F.lit(1.0)
-    for k in range(SERIES_SHIFT):
-        ratio = ratio * ((a + k) / (a + (k + 0.5)))
-    return total + F.log(ratio)
-
+def _log_beta_half(a: str) -> str:
+    """ln B(a, 1/2), without the cancellation of two log-gammas.
 
-def _log_beta_half(a: Column) -> Column:
-    """ln B(a, 1/2)."""
-    log_sqrt_pi = F.log(F.pi()) * 0.5
-    return log_sqrt_pi - _log_gamma_half_step(a)
+    The series holds for large a; the recurrence carries it down from a + SERIES_SHIFT.
+    """
+    far = f"({a} + {SERIES_SHIFT})"
+    series = " + ".join(f"({c!r}D) / pow({far}, {p})" for p, c in HALF_STEP_SERIES)
+    carried = (
+        f"aggregate(sequence(0, {SERIES_SHIFT - 1}), 0D,"
+        f" (total, k) -> total + ln(({a} + k) / ({a} + k + 0.5D)))"
+    )
+    return f"(0.5D * ln(pi()) - 0.5D * ln({far}) - ({series}) - {carried})"
 
 
-def _beta_fraction(x: Column, a: Column, b: Column) -> Column:
+def _beta_fraction(x: str, a: str, b: str) -> str:
     """Continued fraction of the incomplete beta function, evaluated from the bottom up."""
+    m = "(level div 2)"
+    even = f"{m} * ({b} - {m}) * {x} / (({a} + 2 * {m} - 1) * ({a} + 2 * {m}))"
+    odd = f"-({a} + {m}) * ({a} + {b} + {m}) * {x} / (({a} + 2 * {m}) * ({a} + 2 * {m} + 1))"
+    return (
+        f"(1D / aggregate(sequence({FRACTION_DEPTH}, 1, -1), 1D,"
+        f" (below, level) -> 1D + IF(level % 2 = 0, {even}, {odd}) / below))"
+    )
 
-    def partial(level: Column) -> Column:
-        m = F.floor(level / 2).cast("double")
-        even = m * (b - m) * x / ((a + 2 * m - 1) * (a + 2 * m))
-        odd = -(a + m) * (a + b + m) * x / ((a + 2 * m) * (a + 2 * m + 1))
-        return F.when(level % 2 == 0, even).otherwise(odd)
 
-    levels = F.sequence(F.lit(FRACTION_DEPTH), F.lit(1), F.lit(-1))
-    bottom_up = F.aggregate(levels, F.lit(1.0), lambda acc, level: 1.0 + partial(level) / acc)
-    return 1.0 / bottom_up
+def _two_sided(t: str, dof: str) -> str:
+    square, half = f"({t} * {t})", f"({dof} / 2)"
+    tail, core = f"({dof} / ({dof} + {square}))", f"({square} / ({dof} + {square}))"
+    front = (
+        f"exp(0.5D * ln({core}) - {half} * log1p({square} / {dof}) - {_log_beta_half(half)})"
+    )
+    in_core = f"{square} <= 3D OR ({dof} > {MANY_DOF!r}D AND {square} <= {CORE_LIMIT!r}D)"
+    return f"""CASE
+      WHEN {t} IS NULL OR {dof} IS NULL OR {dof} <= 0 THEN NULL
+      WHEN {t} = 0 THEN 1D
+      WHEN {square} = double('infinity') THEN 0D
+      WHEN {in_core}
+        THEN greatest(0D, 1D - 2D * {front} * {_beta_fraction(core, "0.5D", half)})
+      ELSE {front} / {half} * {_beta_fraction(tail, half, "0.5D")} END"""
 
 
-def t_two_sided_p(t: Column, dof: Column) -> Column:
+def t_two_sided_p(t: str, dof: str) -> Column:
     """P(|T| >= |t|) for `dof` degrees of freedom."""
-    dof = dof.cast("double")
-    square = t * t
-    half = dof / 2
-    log_tail = -F.log1p(square / dof)  # ln(dof / (dof + t^2))
-    log_core = F.log(square / (dof + square))
-    log_front = half * log_tail + 0.5 * log_core - _log_beta_half(half)
-    far_tail = F.exp(log_front) / half * _beta_fraction(dof / (dof + square), half, F.lit(0.5))
-    near_core = 1.0 - 2.0 * F.exp(log_front) * _beta_fraction(
-        square / (dof + square), F.lit(0.5), half
-    )
-    in_core = (square <= 3.0) | ((dof > MANY_DOF) & (square <= CORE_LIMIT))
-    return (
-        F.when(t.isNull() | (dof <= 0), F.lit(None).cast("double"))
-        .when(square == 0, F.lit(1.0))
-        .when(square == float("inf"), F.lit(0.0))
-        .when(in_core, F.greatest(near_core, F.lit(0.0)))
-        .otherwise(far_tail)
-    )
+    return F.expr(_two_sided(t, dof))
 
 
-def f_tail(f: Column, dof: Column) -> Column:
+def f_tail(f: str, dof: str) -> Column:
     """P(F >= f) for (1, dof) degrees of freedom; F(1, dof) is the square of t(dof)."""
-    return t_two_sided_p(F.sqrt(f), dof)
+    return F.expr(_two_sided(f"sqrt({f})", dof))
 
 
-def _t_density(t: Column, dof: Column) -> Column:
-    log_density = -0.5 * F.log(dof) - _log_beta_half(dof / 2) - (dof + 1) / 2 * F.log1p(t * t / dof)
-    return F.exp(log_density)
+def _density(t: str, dof: str) -> str:
+    return (
+        f"exp(-0.5D * ln({dof}) - {_log_beta_half(f'({dof} / 2)')}"
+        f" - ({dof} + 1) / 2 * log1p({t} * {t} / {dof}))"
+    )
 
 
-def _t_start(z: float, dof: Column) -> Column:
+def _start(z: float, dof: str) -> str:
     """Normal quantile corrected by powers of 1/dof (Cornish-Fisher)."""
-    g1 = (z**3 + z) / 4
-    g2 = (5 * z**5 + 16 * z**3 + 3 * z) / 96
-    g3 = (3 * z**7 + 19 * z**5 + 17 * z**3 - 15 * z) / 384
-    return z + g1 / dof + g2 / (dof * dof) + g3 / (dof * dof * dof)
+    corrections = (
+        (z**3 + z) / 4,
+        (5 * z**5 + 16 * z**3 + 3 * z) / 96,
+        (3 * z**7 + 19 * z**5 + 17 * z**3 - 15 * z) / 384,
+    )
+    terms = [f"({c!r}D) / pow({dof}, {i})" for i, c in enumerate(corrections, 1)]
+    return " + ".join([f"{z!r}D", *terms])
 
 
-def t_critical(alpha: float, dof: Column) -> Column:
+def t_critical(alpha: float, dof: str) -> Column:
     """t with P(|T| >= t) = alpha; null when `dof` is not positive."""
     if not 0.0 < alpha < 1.0:
         raise ValueError(f"alpha must lie in (0, 1), got {alpha}")
-    dof = dof.cast("double")
-    start = _t_start(NormalDist().inv_cdf(1 - alpha / 2), dof)
-
-    def newton(t: Column, _step: Column) -> Column:
-        # Newton in (ln t, ln p), where the curve is close to straight even for heavy tails.
-        p = t_two_sided_p(t, dof)
-        return t * F.exp(F.log(p / alpha) * p / (2.0 * _t_density(t, dof) * t))
-
-    steps = F.sequence(F.lit(1), F.lit(NEWTON_STEPS))
-    return F.when(dof > 0, F.aggregate(steps, start, newton))
+    start = _start(NormalDist().inv_cdf(1 - alpha / 2), dof)
+    # Newton in (ln t, ln p), where the curve is close to straight even for heavy tails.
+    # The inner aggregate over one element only names the value of p.
+    move = f"u * exp(ln(p / {alpha!r}D) * p / (2D * {_density('u', dof)} * u))"
+    step = f"aggregate(array({_two_sided('t', dof)}), t, (u, p) -> {move})"
+    return F.expr(
+        f"CASE WHEN {dof} > 0 THEN"
+        f" aggregate(sequence(1, {NEWTON_STEPS}), {start}, (t, step) -> {step}) END"
+    )

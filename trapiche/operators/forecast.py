@@ -15,7 +15,7 @@ from trapiche.config import DEFAULT_SPEC, FeedSpec
 from trapiche.functions.seasons import end_year, month_label, next_season
 from trapiche.operators.filters import complete_seasons
 from trapiche.operators.kpi import round_numbers
-from trapiche.operators.regression import CONFIDENCE_ALPHA, attach, score
+from trapiche.operators.regression import attach, score
 from trapiche.operators.scoring import prediction_interval
 from trapiche.operators.series import outlook, with_previous_ratio
 
@@ -78,7 +78,7 @@ def forecast_months(
     stats: DataFrame,
     as_of: dt.date,
     months: int = FORECAST_MONTHS,
-    alpha: float = CONFIDENCE_ALPHA,
+    alpha: float | None = None,
     group_cols: Sequence[str] = (),
     spec: FeedSpec = DEFAULT_SPEC,
 ) -> DataFrame:

@@ -217,7 +217,8 @@ def inference(
             "R2": 1 - F.try_divide(F.col("SSE"), F.col("SST")),
             "se_b0": F.when(usable, F.sqrt(F.col("MSE") * spread)),
             "se_b1": F.when(usable, F.sqrt(F.col("MSE") / F.col("sxx"))),
-            "t_crit": t_critical(alpha, F.col("dof")),
+            "alpha": F.lit(alpha),
+            "t_crit": t_critical(alpha, "dof"),
         }
     )
     rows = rows.withColumns(
@@ -231,9 +232,9 @@ def inference(
     margin0, margin1 = F.col("t_crit") * F.col("se_b0"), F.col("t_crit") * F.col("se_b1")
     return rows.withColumns(
         {
-            "p_b0": t_two_sided_p(F.col("t_b0"), F.col("dof")),
-            "p_b1": t_two_sided_p(F.col("t_b1"), F.col("dof")),
-            "p_f": f_tail(F.col("F_stat"), F.col("dof")),
+            "p_b0": t_two_sided_p("t_b0", "dof"),
+            "p_b1": t_two_sided_p("t_b1", "dof"),
+            "p_f": f_tail("F_stat", "dof"),
             "ci_b0": F.struct((F.col("b0") - margin0).alias("low"), (F.col("b0") + margin0).alias("high")),
             "ci_b1": F.struct((F.col("b1") - margin1).alias("low"), (F.col("b1") + margin1).alias("high")),
         }

@@ -10,16 +10,18 @@ from pyspark.sql import functions as F
 from trapiche.config import DEFAULT_SPEC, FeedSpec
 from trapiche.functions.numbers import clamp_at_zero, guarded_ratio
 from trapiche.functions.student_t import t_critical
-from trapiche.operators.regression import CONFIDENCE_ALPHA, attach, score
+from trapiche.operators.regression import attach, score
 
 GRID_POINTS = 100
 HISTOGRAM_BINS = 25
-INTERVAL_FIELDS = ("b0", "b1", "n", "x_mean", "sxx", "MSE", "t_crit")
+INTERVAL_FIELDS = ("b0", "b1", "n", "x_mean", "sxx", "MSE", "t_crit", "alpha")
 
 
-def _stats_for(stats: DataFrame, alpha: float) -> DataFrame:
-    """Model rows with the critical value of this alpha."""
-    return stats.withColumn("t_crit", t_critical(alpha, F.col("dof")))
+def _stats_for(stats: DataFrame, alpha: float | None) -> DataFrame:
+    """Model rows with the critical value of this alpha; None keeps the one they carry."""
+    if alpha is None:
+        return stats
+    return stats.withColumns({"t_crit": t_critical(alpha, "dof"), "alpha": F.lit(alpha)})
 
 
 def _standard_error(s: Column, x: Column, leading: float) -> Column:
@@ -33,11 +35,11 @@ def prediction_interval(
     df: DataFrame,
     stats: DataFrame,
     x: str | None = None,
-    alpha: float = CONFIDENCE_ALPHA,
+    alpha: float | None = None,
     group_cols: Sequence[str] = (),
     spec: FeedSpec = DEFAULT_SPEC,
 ) -> DataFrame:
-    """Add `pred`, `se`, `lower`, `upper` for a single new observation at x.
+    """Add `pred`, `se`, `lower`, `upper`, `conf_level` for a single new observation at x.
 
     The prediction is clamped at zero before the margin is applied, the bounds after it.
     """
@@ -54,6 +56,7 @@ def prediction_interval(
         {
             "lower": F.when(lower.isNotNull(), clamp_at_zero(lower)),
             "upper": F.when(upper.isNotNull(), clamp_at_zero(upper)),
+            "conf_level": 1 - s["alpha"],
         }
     ).drop("_stats")
 
@@ -63,7 +66,7 @@ def confidence_band(
     model: DataFrame,
     stats: DataFrame,
     x: str | None = None,
-    alpha: float = CONFIDENCE_ALPHA,
+    alpha: float | None = None,
     group_cols: Sequence[str] = (),
     spec: FeedSpec = DEFAULT_SPEC,
 ) -> DataFrame:
@@ -106,7 +109,7 @@ def what_if(
     model: DataFrame,
     stats: DataFrame,
     x: str,
-    alpha: float = CONFIDENCE_ALPHA,
+    alpha: float | None = None,
     group_cols: Sequence[str] = (),
     spec: FeedSpec = DEFAULT_SPEC,
 ) -> DataFrame:
@@ -129,7 +132,6 @@ def what_if(
                 "upper": kept("upper"),
                 "se": kept("se"),
                 x: F.when(positive, F.col(x)).otherwise(F.lit(0)),
-                "conf_level": F.lit(1 - alpha),
             }
         )
         .withColumn("rendimiento", guarded_ratio(F.col("pred"), F.col(x), 100.0))
