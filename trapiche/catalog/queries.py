@@ -134,7 +134,8 @@ def _dirty_feed(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def q_conform_types(spark, sf_dir):
-    kept = conform.keep_columns(_dirty_feed(spark, sf_dir), SPEC.kept)
+    # Stored, because deciding the types and casting are two passes.
+    kept = store(conform.keep_columns(_dirty_feed(spark, sf_dir), SPEC.kept))
     return rounded(conform.conform_types(kept), **MEASURES, semana=0, rendimiento_fabrica=2)
 
 

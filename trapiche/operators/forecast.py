@@ -37,7 +37,7 @@ def forecast_next_season(
         F.max(spec.season).alias("_last"),
         F.max_by(spec.net, spec.season).alias("_last_net"),
         F.avg("ratio").alias("tendencia_cana"),
-    )
+    ).where(F.col("_last").isNotNull())
     ahead = ahead.withColumns(
         {
             spec.season: next_season(F.col("_last")),
@@ -89,6 +89,7 @@ def forecast_months(
     are rounded to whole units, half to even.
     """
     start = outlook(complete_seasons(seasons, spec, group_cols=group_cols), spec.net, spec, group_cols)
+    start = start.where(F.col("last_season").isNotNull())
     year = F.greatest(end_year(F.col("last_season")), F.lit(as_of.year))
     steps = start.select(
         *group_cols,

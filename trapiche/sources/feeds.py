@@ -13,7 +13,9 @@ from collections import defaultdict
 from collections.abc import Mapping, Sequence
 from concurrent.futures import ThreadPoolExecutor
 from functools import reduce
+from urllib.parse import unquote
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -72,9 +74,14 @@ def _merged(columns: Mapping[str, Column], aliases: Mapping[str, str]) -> dict[s
 
 
 def list_feeds(spark: SparkSession, folder: str, pattern: str = "*.csv") -> list[str]:
-    """Paths of the feed files in name order (names only: no content is read)."""
-    files = spark.read.format("binaryFile").option("pathGlobFilter", pattern).load(folder)
-    return sorted(row.path for row in files.select("path").collect())
+    """Paths of the feed files in name order. Only the listing is used: no job, no content."""
+    try:
+        files = spark.read.format("binaryFile").load(f"{folder.rstrip('/')}/{pattern}")
+    except AnalysisException as error:
+        if error.getCondition() == "PATH_NOT_FOUND":
+            return []
+        raise
+    return sorted(unquote(uri) for uri in files.inputFiles())
 
 
 def _read_header(spark: SparkSession, path: str) -> tuple[str, ...] | None:
