@@ -1,0 +1,80 @@
+"""Plans that have to hold at any size of input."""
+
+import re
+
+import pytest
+from pyspark.sql import functions as F
+
+from trapiche.catalog import QUERIES
+from trapiche.catalog.panel import weekly_panel
+from trapiche.config import DEFAULT_SPEC as SPEC
+from trapiche.operators import conform, kpi, regression, rollup
+from trapiche.operators.snapshot import latest_snapshot
+
+FOLDER = "/root/testdata/sf0.001"
+WRITING = {"conform_types", "csv_feeds", "feed_etl", "stored_model", "model_table", "report"}
+
+
+def plan(df):
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+def final_plan(df):
+    df.collect()
+    return plan(df)
+
+
+@pytest.fixture(scope="module")
+def stored(spark, tmp_path_factory):
+    """A cumulative feed on disk, as the snapshot meets it in production."""
+    path = str(tmp_path_factory.mktemp("feed"))
+    weekly_panel(spark, FOLDER).write.mode("overwrite").parquet(path)
+    return spark.read.parquet(path)
+
+
+def test_snapshot_limits_before_the_shuffle(stored):
+    p = plan(latest_snapshot(stored))
+    assert p.count("Exchange hashpartitioning") == 1
+    before, after = p.split("Exchange hashpartitioning")
+    assert "Final" in before and "Partial" in after
+
+
+def test_season_filter_and_columns_reach_the_scan(stored):
+    snap = conform.keep_season_range(latest_snapshot(stored))
+    p = plan(rollup.season_sums(snap, measures=[SPEC.net]))
+    read = re.search(r"ReadSchema: struct<([^>]*)>", p).group(1)
+    assert {c.split(":")[0] for c in read.split(",")} == {SPEC.producer, SPEC.season, SPEC.period, SPEC.net}
+    assert "GreaterThanOrEqual(zafra,2015-2016)" in p
+
+
+def test_rollup_adds_up_before_the_shuffle(stored):
+    assert "partial_sum" in plan(rollup.season_sums(stored))
+
+
+def test_top_and_preview_do_not_sort_everything(stored):
+    assert "TakeOrderedAndProject" in plan(kpi.top_producers(stored))
+    assert "TakeOrderedAndProject" in plan(kpi.preview(stored))
+
+
+def test_fit_is_one_partial_aggregate(stored):
+    p = plan(regression.fit(stored))
+    assert "partial_regr_sxy" in p and p.count("Exchange") == 1
+
+
+def test_scoring_shares_the_snapshot_shuffle(stored):
+    rows = regression.with_split(latest_snapshot(stored), [SPEC.producer, SPEC.season])
+    rows = rows.select(SPEC.producer, SPEC.season, SPEC.net, SPEC.output, "is_test")
+    model = regression.fit(rows, where=~F.col("is_test"))
+    p = final_plan(regression.metrics(regression.score(rows, model), model)).split("Initial Plan")[0]
+    assert "ReusedExchange" in p
+
+
+def test_hash_split_needs_no_shuffle(stored):
+    assert "Exchange" not in plan(regression.with_split(stored, [SPEC.producer, SPEC.season]))
+
+
+@pytest.mark.parametrize("name", sorted(set(QUERIES) - WRITING))
+def test_no_python_and_no_cross_joins(spark, name):
+    p = plan(QUERIES[name](spark, FOLDER))
+    for operator in ("Python", "Pandas", "Arrow", "CartesianProduct", "BroadcastNestedLoopJoin"):
+        assert operator not in p

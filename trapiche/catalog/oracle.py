@@ -139,6 +139,7 @@ def _t_crit(z: float, dof: str) -> str:
         (5 * z**5 + 16 * z**3 + 3 * z) / 96,
         (3 * z**7 + 19 * z**5 + 17 * z**3 - 15 * z) / 384,
         (79 * z**9 + 776 * z**7 + 1482 * z**5 - 1920 * z**3 - 945 * z) / 92160,
+        (27 * z**11 + 339 * z**9 + 930 * z**7 - 1782 * z**5 - 765 * z**3 + 17955 * z) / 368640,
     )
     return f"({z!r} + " + " + ".join(f"{g!r} / pow({dof}, {i})" for i, g in enumerate(terms, 1)) + ")"
 
