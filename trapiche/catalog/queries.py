@@ -51,10 +51,22 @@ def seasons(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rollup.season_rollup(latest(spark, sf_dir))
 
 
-def seasons_and_split(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
-    """Season table and split rows of the same snapshot."""
-    rows = latest(spark, sf_dir)
-    return rollup.season_rollup(rows), regression.with_split(rows, KEYS)
+def stored_snapshot(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The snapshot's cane and output, written once for queries that read it several times.
+
+    Each of their branches needs other columns of it, so they could not share a shuffle and
+    would each read the lines again.
+    """
+    return store(latest(spark, sf_dir).select(*KEYS, SPEC.net, SPEC.output))
+
+
+def stored_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return regression.with_split(stored_snapshot(spark, sf_dir), KEYS)
+
+
+def season_line(rows: DataFrame, *group_cols: str) -> DataFrame:
+    """The season series that forecasts start from."""
+    return rollup.season_sums(rows, measures=(SPEC.net, SPEC.output), group_cols=group_cols)
 
 
 def training_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -391,8 +403,9 @@ def q_report(spark, sf_dir):
 
 
 def q_residual_hist(spark, sf_dir):
-    table, _ = scored(spark, sf_dir)
-    bins = scoring.histogram(table.where("is_test"), "residual")
+    rows = stored_rows(spark, sf_dir)
+    table = regression.score(rows, trained(rows))
+    bins = scoring.histogram(table, "residual", where=F.col("is_test"))
     return rounded(bins, bin_low=1, bin_high=1)
 
 
@@ -400,19 +413,19 @@ INTERVAL_PLACES = {"pred": 2, "se": 2, "lower": 2, "upper": 2}
 
 
 def q_pred_interval(spark, sf_dir):
-    rows = latest(spark, sf_dir).select(*KEYS, SPEC.net, SPEC.output)
+    rows = stored_snapshot(spark, sf_dir)
     table = scoring.prediction_interval(rows, full_stats(rows))
     return rounded(table.select(*KEYS, *INTERVAL_PLACES), **INTERVAL_PLACES)
 
 
 def q_pred_interval_99(spark, sf_dir):
-    rows = latest(spark, sf_dir).select(*KEYS, SPEC.net, SPEC.output)
+    rows = stored_snapshot(spark, sf_dir)
     table = scoring.prediction_interval(rows, full_stats(rows), alpha=0.01)
     return rounded(table.select(*KEYS, "lower", "upper"), lower=2, upper=2)
 
 
 def q_conf_band(spark, sf_dir):
-    rows = training_rows(spark, sf_dir)
+    rows = stored_rows(spark, sf_dir)
     band = scoring.confidence_band(rows, trained(rows), full_stats(rows))
     return rounded(
         band.select(*KEYS, "y_hat", "band_lower", "band_upper"), y_hat=2, band_lower=2, band_upper=2
@@ -420,13 +433,13 @@ def q_conf_band(spark, sf_dir):
 
 
 def q_line_grid(spark, sf_dir):
-    rows = training_rows(spark, sf_dir)
+    rows = stored_rows(spark, sf_dir)
     line = regression.score(scoring.line_grid(rows), trained(rows))
     return rounded(line, **{SPEC.net: 4, "y_hat": 2})
 
 
 def q_whatif_band(spark, sf_dir):
-    rows = training_rows(spark, sf_dir)
+    rows = stored_rows(spark, sf_dir)
     grid = scoring.line_grid(rows, widen=True)
     band = scoring.confidence_band(grid, trained(rows), full_stats(rows))
     return rounded(band, **{SPEC.net: 4, "y_hat": 2, "band_lower": 2, "band_upper": 2})
@@ -434,7 +447,7 @@ def q_whatif_band(spark, sf_dir):
 
 def q_whatif(spark, sf_dir):
     """Half the cane of every season and producer, and none at all, as scenarios."""
-    rows = training_rows(spark, sf_dir)
+    rows = stored_rows(spark, sf_dir)
     scenarios = rows.select(*KEYS, F.explode(F.array(F.lit(0.5), F.lit(0.0))).alias("share"), SPEC.net)
     scenarios = scenarios.select(*KEYS, "share", (F.col(SPEC.net) * F.col("share")).alias("cana"))
     table = scoring.what_if(scenarios, trained(rows), full_stats(rows), "cana")
@@ -445,30 +458,31 @@ def q_whatif(spark, sf_dir):
 
 
 def q_forecast_next(spark, sf_dir):
-    table, rows = seasons_and_split(spark, sf_dir)
-    ahead = forecast.forecast_next_season(table, trained(rows))
+    rows = stored_rows(spark, sf_dir)
+    ahead = forecast.forecast_next_season(season_line(rows), trained(rows))
     return rounded(ahead, siguiente_cana=3, siguiente_azucar=1, tendencia_cana=8)
 
 
 def q_mill_forecast_next(spark, sf_dir):
     """Every producer's next season from its own model and its own series."""
     by = [SPEC.producer]
-    rows = latest(spark, sf_dir)
+    rows = stored_snapshot(spark, sf_dir)
     ahead = forecast.forecast_next_season(
-        rollup.season_rollup(rows, group_cols=by), regression.fit(rows, group_cols=by), by
+        season_line(rows, *by), regression.fit(rows, group_cols=by), by
     )
     return rounded(ahead, siguiente_cana=3, siguiente_azucar=0, tendencia_cana=8)
 
 
 def q_history_plus_forecast(spark, sf_dir):
-    table, rows = seasons_and_split(spark, sf_dir)
+    rows = stored_rows(spark, sf_dir)
+    table = season_line(rows)
     ahead = forecast.forecast_next_season(table, trained(rows))
     return rounded(forecast.history_with_forecast(table, ahead), **{SPEC.net: 2, SPEC.output: 1})
 
 
 def months(spark: SparkSession, sf_dir: str) -> DataFrame:
-    table, rows = seasons_and_split(spark, sf_dir)
-    return forecast.forecast_months(table, trained(rows), full_stats(rows), AS_OF)
+    rows = stored_rows(spark, sf_dir)
+    return forecast.forecast_months(season_line(rows), trained(rows), full_stats(rows), AS_OF)
 
 
 def q_forecast_24m(spark, sf_dir):
@@ -482,10 +496,10 @@ def q_forecast_display(spark, sf_dir):
 def q_mill_forecast_24m(spark, sf_dir):
     """24 months for every producer, from its own series, model and statistics."""
     by = [SPEC.producer]
-    rows = latest(spark, sf_dir)
+    rows = stored_snapshot(spark, sf_dir)
     model = regression.fit(rows, group_cols=by)
     table = forecast.forecast_months(
-        rollup.season_rollup(rows, group_cols=by), model, regression.inference(model), AS_OF, group_cols=by
+        season_line(rows, *by), model, regression.inference(model), AS_OF, group_cols=by
     )
     return table
 
@@ -495,8 +509,8 @@ def q_forecast_total(spark, sf_dir):
 
 
 def q_interpretation(spark, sf_dir):
-    line, rows = seasons_and_split(spark, sf_dir)
-    model = trained(rows)
+    rows = stored_rows(spark, sf_dir)
+    line, model = season_line(rows), trained(rows)
     table = regression.score(rows, model)
     ahead = forecast.forecast_next_season(line, model)
     told = forecast.interpretation(regression.metrics(table, model), ahead)
@@ -505,8 +519,8 @@ def q_interpretation(spark, sf_dir):
 
 
 def q_interpretation_figures(spark, sf_dir):
-    line, rows = seasons_and_split(spark, sf_dir)
-    model = trained(rows)
+    rows = stored_rows(spark, sf_dir)
+    line, model = season_line(rows), trained(rows)
     table = regression.score(rows, model)
     figures = forecast.interpretation_figures(
         regression.metrics(table, model),

@@ -9,21 +9,25 @@ Arguments are column names (or SQL expressions) of DOUBLE values.
 
 from __future__ import annotations
 
+import math
 from statistics import NormalDist
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-# Depth of the continued fraction. The slowest case, |t| near sqrt(3), settles
-# to 1e-14 well before this depth for every number of degrees of freedom.
-FRACTION_DEPTH = 160
-NEWTON_STEPS = 8
+# Depth of the continued fraction: settled to 1e-12 for every number of degrees of
+# freedom, given the two forms below.
+FRACTION_DEPTH = 36
 
-# Beyond MANY_DOF the far-tail form loses digits in 1 - t^2 / dof, while the core
-# form stays exact to rounding as long as t^2 is below CORE_LIMIT.
-MANY_DOF = 1e4
+# The core form serves t^2 up to 3, and up to CORE_LIMIT beyond MANY_DOF degrees of
+# freedom, where the far-tail form settles slowly and loses digits in 1 - t^2 / dof.
+MANY_DOF = 30.0
 CORE_LIMIT = 9.0
 
+# Newton steps to a critical value: the starting value is the better the more degrees of
+# freedom there are.
+FEW_DOF_STEPS, MANY_DOF_STEPS = 4, 2
+
 # Coefficients (power of 1/a, factor) of the large-a series of
 # ln(gamma(a + 1/2) / gamma(a)) - ln(a) / 2. Fixed values.
 HALF_STEP_SERIES = (
@@ -94,27 +98,32 @@ def _density(t: str, dof: str) -> str:
     )
 
 
-def _start(z: float, dof: str) -> str:
-    """Normal quantile corrected by powers of 1/dof (Cornish-Fisher)."""
+def _start(alpha: float, dof: str) -> str:
+    """Exact for 1 and 2 degrees of freedom; else the normal quantile corrected by powers of 1/dof."""
+    z = NormalDist().inv_cdf(1 - alpha / 2)
+    one = 1 / math.tan(math.pi * alpha / 2)
+    two = (1 - alpha) * math.sqrt(2 / (alpha * (2 - alpha)))
     corrections = (
         (z**3 + z) / 4,
         (5 * z**5 + 16 * z**3 + 3 * z) / 96,
         (3 * z**7 + 19 * z**5 + 17 * z**3 - 15 * z) / 384,
     )
     terms = [f"({c!r}D) / pow({dof}, {i})" for i, c in enumerate(corrections, 1)]
-    return " + ".join([f"{z!r}D", *terms])
+    series = " + ".join([f"{z!r}D", *terms])
+    return f"CASE {dof} WHEN 1D THEN {one!r}D WHEN 2D THEN {two!r}D ELSE {series} END"
 
 
 def t_critical(alpha: float, dof: str) -> Column:
     """t with P(|T| >= t) = alpha; null when `dof` is not positive."""
     if not 0.0 < alpha < 1.0:
         raise ValueError(f"alpha must lie in (0, 1), got {alpha}")
-    start = _start(NormalDist().inv_cdf(1 - alpha / 2), dof)
+    start = _start(alpha, dof)
     # Newton in (ln t, ln p), where the curve is close to straight even for heavy tails.
     # The inner aggregate over one element only names the value of p.
     move = f"u * exp(ln(p / {alpha!r}D) * p / (2D * {_density('u', dof)} * u))"
     step = f"aggregate(array({_two_sided('t', dof)}), t, (u, p) -> {move})"
     return F.expr(
         f"CASE WHEN {dof} > 0 THEN"
-        f" aggregate(sequence(1, {NEWTON_STEPS}), {start}, (t, step) -> {step}) END"
+        f" aggregate(sequence(1, IF({dof} > {MANY_DOF!r}D, {MANY_DOF_STEPS}, {FEW_DOF_STEPS})),"
+        f" {start}, (t, step) -> {step}) END"
     )

@@ -147,13 +147,22 @@ def actual_vs_predicted(
 
 
 def histogram(
-    df: DataFrame, value: str, bins: int = HISTOGRAM_BINS, group_cols: Sequence[str] = ()
+    df: DataFrame,
+    value: str,
+    bins: int = HISTOGRAM_BINS,
+    group_cols: Sequence[str] = (),
+    where: Column | None = None,
 ) -> DataFrame:
     """Counts in equal-width bins over the data range; the last bin is closed.
 
     A range without width is widened by half a unit each way. Empty bins are kept: counts
     are per bin before they meet the list of bins, so only bins travel.
+
+    `where` blanks the other rows rather than filtering them, so that both passes over the
+    table (range, then counts) and the fit behind it can share one shuffle.
     """
+    if where is not None:
+        df = df.withColumn(value, F.when(where, F.col(value)))
     present = df.where(F.col(value).isNotNull())
     low, high = F.min(value).cast("double"), F.max(value).cast("double")
     spread = present.groupBy(*group_cols).agg(low.alias("low"), high.alias("high"))
