@@ -101,6 +101,11 @@ def test_unreadable_files_are_skipped_whole(spark, tmp_path, caplog):
         assert name in caplog.text
 
 
+def test_byte_order_mark(spark, tmp_path):
+    write(tmp_path, "a.csv", "zafra,semana\nx,1\n", "utf-8-sig")
+    assert rows(read_feeds(spark, str(tmp_path)), "zafra", "semana") == [("x", "1")]
+
+
 def test_names_with_spaces(spark, tmp_path):
     write(tmp_path, "zafra 2015 2016.csv", "zafra\nx\n")
     assert rows(read_feeds(spark, str(tmp_path)), "zafra") == [("x",)]

@@ -65,7 +65,8 @@ def test_growth_from_zero(table):
 
 def test_growth_per_group(table):
     rows = [detail_row(m, s, 1.0, 1.0, 1.0, v) for m, s, v in [("a", "1", 10.0), ("a", "2", 20.0), ("b", "1", 4.0), ("b", "2", 1.0)]]
-    got = season_rollup(table(rows, DETAIL), group_cols=["ingenio"]).collect()
+    got = season_rollup(table(rows, DETAIL), group_cols=["ingenio"])
+    got = got.orderBy("ingenio", "zafra").collect()
     assert [(r["ingenio"], r["zafra"], r[SPEC.growth]) for r in got] == [
         ("a", "1", 0.0), ("a", "2", 100.0), ("b", "1", 0.0), ("b", "2", -75.0),
     ]

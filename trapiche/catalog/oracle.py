@@ -428,6 +428,9 @@ from fitted m, (select sum(pow(y - b0 - b1 * x, 2)) as sse from train, fitted) r
     "scored": _with(TO_MODEL, SCORED)
     + """select ingenio, zafra, is_test, round(y, 2) as azucar_producida_total,
   round(y_hat, 2) as y_hat from scored""",
+    "parity_range": _with(TO_MODEL, SCORED)
+    + """select round(least(min(y), min(y_hat)), 2) as low,
+  round(greatest(max(y), max(y_hat)), 2) as high from scored where is_test""",
     "metrics": _with(TO_METRICS) + f"select {RECORD} from record",
     "fit_metrics": _with(TO_LATEST, ROWS, FULL)
     + """select round(m.b1, 6) as "coeficiente_B1", round(m.b0, 2) as "intercepto_B0",

@@ -350,6 +350,13 @@ def q_scored(spark, sf_dir):
     return rounded(shown, **{SPEC.output: 2, "y_hat": 2})
 
 
+def q_parity_range(spark, sf_dir):
+    """Ends of the line where predicted equals measured, over the test rows."""
+    table, _ = scored(spark, sf_dir)
+    ends = series.data_range(table, SPEC.output, "y_hat", where=F.col("is_test"))
+    return rounded(ends, low=2, high=2)
+
+
 METRIC_PLACES = {"coeficiente_B1": 6, "intercepto_B0": 2} | {
     f"{side}_{m}": p for side in ("train", "test") for m, p in (("mae", 2), ("rmse", 2), ("r2", 8))
 }

@@ -80,8 +80,8 @@ def round_numbers(df: DataFrame, places: int, columns: Sequence[str] | None = No
 def preview(detail: DataFrame, rows: int = PREVIEW_ROWS, spec: FeedSpec = DEFAULT_SPEC) -> DataFrame:
     """First rows in key order with the display columns that exist, numbers to two places."""
     shown = (spec.producer, spec.season, spec.net, spec.output, spec.area, *spec.reported_yields)
-    first = detail.orderBy(spec.producer, spec.season).limit(rows)
-    return round_numbers(first.select(*[c for c in shown if c in detail.columns]), 2)
+    chosen = detail.select(*[c for c in shown if c in detail.columns])
+    return round_numbers(chosen.orderBy(spec.producer, spec.season).limit(rows), 2)
 
 
 def choices(df: DataFrame, column: str) -> DataFrame:

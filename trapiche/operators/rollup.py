@@ -61,7 +61,10 @@ def season_rollup(
     first_growth: float | None = 0.0,
     zero_base: str = "infinite",
 ) -> DataFrame:
-    """Season table: sums, ratios and growth, in season order."""
+    """Season table: sums, ratios and growth, in season order.
+
+    Per group the table grows with the groups and is left unsorted.
+    """
     sums = season_sums(detail, spec, group_cols=group_cols)
     grown = with_growth(
         with_season_ratios(sums, spec),
@@ -70,4 +73,4 @@ def season_rollup(
         first=first_growth,
         zero_base=zero_base,
     )
-    return grown.orderBy(*group_cols, spec.season)
+    return grown if group_cols else grown.orderBy(spec.season)

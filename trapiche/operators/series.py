@@ -17,10 +17,13 @@ TRAILING_SEASONS = 3
 DEFAULT_GROWTH = 1.02
 
 
-def data_range(df: DataFrame, *columns: str, group_cols: Sequence[str] = ()) -> DataFrame:
-    """Smallest and largest value over the columns together."""
-    lows = [F.min(c) for c in columns]
-    highs = [F.max(c) for c in columns]
+def data_range(
+    df: DataFrame, *columns: str, group_cols: Sequence[str] = (), where: Column | None = None
+) -> DataFrame:
+    """Smallest and largest value over the columns together, of the rows that `where` admits."""
+    values = [F.col(c) if where is None else F.when(where, F.col(c)) for c in columns]
+    lows = [F.min(v) for v in values]
+    highs = [F.max(v) for v in values]
     low = F.least(*lows) if len(lows) > 1 else lows[0]
     high = F.greatest(*highs) if len(highs) > 1 else highs[0]
     return df.groupBy(*group_cols).agg(low.alias("low"), high.alias("high"))

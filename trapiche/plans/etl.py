@@ -56,13 +56,12 @@ def run_etl(
     snapshot shuffle runs once.
     """
     feeds = read_feeds(spark, raw_folder, spec, pattern, multi_line)
-    wanted = F.col(UNREADABLE)
+    kept = keep_columns(feeds, [*spec.kept, *LINEAGE, UNREADABLE])
     if spec.season in feeds.columns:
+        # Rows that make their file unreadable are carried along until the file is dropped.
         in_range = in_season_range(F.col(spec.season), spec.first_season, spec.last_season)
-        wanted = wanted | F.coalesce(in_range, F.lit(False))
-    staged = store(
-        keep_columns(feeds.where(wanted), [*spec.kept, *LINEAGE, UNREADABLE]), f"{work_folder(spark)}/feeds"
-    )
+        kept = kept.where(in_range | F.col(UNREADABLE))
+    staged = store(kept, f"{work_folder(spark)}/feeds")
     usable = drop_unreadable_files(staged)
     detail = store(detail_from_feeds(usable, spec, numeric), f"{out_folder}/detail")
     seasons = store(season_rollup(detail, spec), f"{out_folder}/seasons")

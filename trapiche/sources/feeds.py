@@ -35,6 +35,8 @@ UNREADABLE = "_src_unreadable"
 LINEAGE = (SOURCE_FILE, SOURCE_BLOCK, SOURCE_POSITION)
 
 HEADER_READERS = 16
+BYTE_ORDER_MARK = "\ufeff"
+UNDECODED = "\ufffd"
 
 
 def normalize_header(name: str) -> str:
@@ -87,7 +89,7 @@ def list_feeds(spark: SparkSession, folder: str, pattern: str = "*.csv") -> list
 def _read_header(spark: SparkSession, path: str) -> tuple[str, ...] | None:
     """First non-blank line of a file, split as CSV; None for a file without one."""
     line = spark.read.text(path).where(F.trim("value") != "").first()
-    return tuple(next(csv.reader([line.value]))) if line else None
+    return tuple(next(csv.reader([line.value.lstrip(BYTE_ORDER_MARK)]))) if line else None
 
 
 def read_headers(spark: SparkSession, paths: Sequence[str]) -> dict[str, tuple[str, ...]]:
@@ -116,7 +118,7 @@ def _scan_group(
     cells = {n: missing_to_null(F.col(f"c{i}")) for n, i in _first_positions(header).items()}
     canonical = _merged(cells, spec.aliases)
     # A row with more cells than the header, or bytes that are not UTF-8, makes the file unreadable.
-    undecodable = F.concat_ws("", *positional).contains("�")
+    undecodable = F.concat_ws("", *positional).contains(UNDECODED)
     return scan.select(
         *[c.alias(n) for n, c in canonical.items()],
         F.col("_metadata.file_name").alias(SOURCE_FILE),
