@@ -27,6 +27,8 @@ from trapiche.operators.conform import (
         ("NaN", None),
         ("12d", None),
         ("1f", None),
+        ("12D\t", None),
+        (" -Inf ", float("-inf")),
         ("0x10", None),
         (None, None),
         ("inf", float("inf")),

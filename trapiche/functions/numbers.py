@@ -18,9 +18,10 @@ def parse_number(text: Column) -> Column:
 
     The cast alone would also take Java's type suffixes (`12d`), which are not numbers here.
     """
-    clean = F.when(~text.rlike(r"[0-9.][dDfF]\s*$"), text)
-    value = clean.try_cast("double")
-    return F.when(~F.isnan(value), value)
+    value = text.try_cast("double")
+    shown = F.rtrim(text, F.lit(" \t\r\n"))
+    suffixed = F.right(shown, F.lit(1)).isin("d", "D", "f", "F") & ~F.lower(shown).endswith("inf")
+    return F.when(value.isNotNull() & ~F.isnan(value) & ~suffixed, value)
 
 
 def number_or_zero(text: Column) -> Column:
