@@ -6,12 +6,14 @@ from collections.abc import Callable
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from trapiche.llm.decontaminate import find_leaks
 from trapiche.llm.exact_dedup import exact_dedup
 from trapiche.llm.language import identify_languages
 from trapiche.llm.packing import pack_documents
 from trapiche.llm.simhash import simhash_groups
+from trapiche.llm.substring import drop_repeated_windows
 
 TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
 
@@ -20,6 +22,11 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = drop_repeated_windows(_table(spark, sf_dir, "documents"))
+    return found.select("doc_id", "n_words", "n_removed", F.sha2("kept_text", 256).alias("kept_sha256"))
+
+
 def op3_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack_documents(_table(spark, sf_dir, "documents"), TOKENIZER)
 
@@ -45,6 +52,7 @@ def op10_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_substring_dedup": op1_substring_dedup,
     "op3_best_fit_packing": op3_best_fit_packing,
     "op4_benchmark_decontamination": op4_benchmark_decontamination,
     "op5_simhash_near_dedup": op5_simhash_near_dedup,
@@ -54,7 +62,38 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 
 _SINGLE_SPACED = r"regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]+', ' ', 'g')"
 
+# A word goes if one of the windows that cover it starts in a document with a smaller id.
 ORACLE_SQL: dict[str, str] = {
+    "op1_substring_dedup": r"""
+        WITH worded AS (
+            SELECT doc_id, list_filter(
+                string_split_regex(coalesce(text, ''), '[\x20\x09-\x0D]+'), lambda x: x <> ''
+            ) AS words
+            FROM documents
+        ), placed AS (
+            SELECT doc_id, unnest(range(1, len(words) - 48)) AS first, words FROM worded
+        ), windows AS (
+            SELECT doc_id, first, array_to_string(words[first:first + 49], ' ') AS body FROM placed
+        ), least AS (
+            SELECT body, min(doc_id) AS min_id FROM windows GROUP BY body
+            HAVING min(doc_id) < max(doc_id)
+        ), hit AS (
+            SELECT doc_id, first FROM windows JOIN least USING (body) WHERE doc_id > min_id
+        ), gone AS (
+            SELECT DISTINCT doc_id, unnest(range(first, first + 50)) AS place FROM hit
+        ), lists AS (
+            SELECT doc_id, list(place) AS places FROM gone GROUP BY doc_id
+        ), kept AS (
+            SELECT doc_id, len(words) AS n_words, coalesce(len(places), 0) AS n_removed,
+                CASE WHEN places IS NULL THEN words ELSE list_filter(
+                    words, lambda w, i: NOT list_contains(places, i)
+                ) END AS left_over
+            FROM worded LEFT JOIN lists USING (doc_id)
+        )
+        SELECT doc_id, n_words, n_removed,
+            sha256(array_to_string(left_over, ' ')) AS kept_sha256
+        FROM kept
+    """,
     "op10_exact_dedup": f"""
         WITH digested AS (
             SELECT doc_id, {_SINGLE_SPACED} AS body, sha256({_SINGLE_SPACED}) AS text_sha256
