@@ -179,18 +179,18 @@ def _sample(labelled: DataFrame, rows: int) -> DataFrame:
 def _sparse(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         found = [ngram_counts(t.as_py()) for t in batch["text"]]
-        used = [None if c is None else np.flatnonzero(c) for c in found]
+        packed = [None if c is None else _packed(c) for c in found]
         yield pa.RecordBatch.from_arrays(
-            [
-                batch["id"],
-                batch["lang"],
-                pa.array(used, pa.list_(pa.int64())),
-                pa.array([None if c is None else c[u] for c, u in zip(found, used)], pa.list_(pa.int64())),
-            ],
-            ["id", "lang", "used", "counts"],
+            [batch["id"], batch["lang"], pa.array(packed, pa.binary())], ["id", "lang", "packed"]
         )
 
 
+def _packed(counts: np.ndarray) -> bytes:
+    """Used features, then how often each occurs."""
+    used = np.flatnonzero(counts)
+    return np.stack([used, counts[used]]).astype("<i4").tobytes()
+
+
 def train(
     docs: DataFrame,
     id_col: str = "doc_id",
@@ -222,18 +222,17 @@ def train(
             held[feature] = count
     idf = np.log((1 + documents) / (1 + held)) + 1
     sample = _sample(labelled, rows).mapInArrow(
-        _sparse, "id long, lang string, used array<long>, counts array<long>"
-    )
-    collected = sorted(
-        sample.where("used IS NOT NULL").collect(), key=lambda r: (r["id"], r["lang"], r["used"])
+        _sparse, "id long, lang string, packed binary"
     )
+    collected = sample.where("packed IS NOT NULL").collect()
+    collected.sort(key=lambda r: (r["id"], r["lang"], bytes(r["packed"])))
     languages = tuple(sorted({r["lang"] for r in collected}))
     if not languages:
         return Weights((), idf, np.zeros((0, FEATURES), np.float32), np.zeros(0), 1.0)
     ready = []
     for r in collected:
-        used = np.array(r["used"])
-        ready.append((languages.index(r["lang"]), used, tfidf(used, np.array(r["counts"]), idf)))
+        used, counts = np.frombuffer(r["packed"], "<i4").reshape(2, -1).astype(np.int64)
+        ready.append((languages.index(r["lang"]), used, tfidf(used, counts, idf)))
     fitted, spared = [r for i, r in enumerate(ready) if i % 5], ready[::5]
     if len({label for label, _, _ in fitted}) < len(languages):
         fitted, spared = ready, []

@@ -11,10 +11,24 @@ from pyspark.sql import functions as F
 from trapiche.llm.decontaminate import find_leaks
 from trapiche.llm.exact_dedup import exact_dedup
 from trapiche.llm.language import identify_languages
+from trapiche.llm.licenses import scan_licenses
 from trapiche.llm.packing import pack_documents
+from trapiche.llm.page_text import extract_main_text
 from trapiche.llm.simhash import simhash_groups
 from trapiche.llm.substring import drop_repeated_windows
-
+from trapiche.llm.toxicity import score_toxicity, train_chain
+from trapiche.llm.url_rules import judge_urls, rule
+
+# The written rules of the URL contract.
+URL_RULES = (
+    rule("allow", "com/"),
+    rule("block", "example.com/en/"),
+    rule("allow", "www.example.com/en/"),
+    rule("block", "net/es/"),
+    rule("block", "net/fr/"),
+)
+# Categories of the label table, in chain order.
+TOXIC_CHAIN = {"low_quality": "quality = 0", "toxic": "toxic = 1"}
 TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
 
 
@@ -27,6 +41,10 @@ def op1_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "n_words", "n_removed", F.sha2("kept_text", 256).alias("kept_sha256"))
 
 
+def op2_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return extract_main_text(_table(spark, sf_dir, "pages"))
+
+
 def op3_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack_documents(_table(spark, sf_dir, "documents"), TOKENIZER)
 
@@ -46,6 +64,26 @@ def op6_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "held_out", "lang_pred", "score")
 
 
+def op7_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = _table(spark, sf_dir, "pages").select("page_id", "url")
+    return judge_urls(pages, URL_RULES).select("page_id", "host", "path", "rule", "verdict")
+
+
+def op8_license_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A document's path is its source, its language and its id."""
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text", "source", "lang")
+    found = scan_licenses(docs, F.concat_ws("/", "source", "lang", "doc_id"))
+    return found.select("doc_id", "license", "score", "origin", "license_dir")
+
+
+def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The documents flagged as toxic, with the probabilities of the chain."""
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    chain = train_chain(docs, _table(spark, sf_dir, "labels"), TOXIC_CHAIN)
+    found = score_toxicity(docs, chain).where("flagged")
+    return found.select("doc_id", "p_low_quality", "p_toxic", "flagged")
+
+
 def op10_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
     return exact_dedup(docs).select("doc_id", "keep_id", "group_size", "kept", "text_sha256")
@@ -53,10 +91,14 @@ def op10_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_substring_dedup": op1_substring_dedup,
+    "op2_html_extraction": op2_html_extraction,
     "op3_best_fit_packing": op3_best_fit_packing,
     "op4_benchmark_decontamination": op4_benchmark_decontamination,
     "op5_simhash_near_dedup": op5_simhash_near_dedup,
     "op6_language_id": op6_language_id,
+    "op7_url_filters": op7_url_filters,
+    "op8_license_scans": op8_license_scans,
+    "op9_toxicity": op9_toxicity,
     "op10_exact_dedup": op10_exact_dedup,
 }
 
