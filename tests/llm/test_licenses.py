@@ -1,0 +1,99 @@
+import math
+import re
+from collections import Counter
+
+import pytest
+from pyspark.sql import functions as F
+
+from trapiche.llm.licenses import TEMPLATES, scan_licenses
+
+MIT, GPL = "Released under the MIT License.", (
+    "This work is licensed under the GNU General Public License, version 3."
+)
+FILES = [
+    ("src/a/one.txt", f"Some prose here.\n{MIT}\nMore prose."),
+    ("src/a/LICENSE", GPL),
+    ("src/a/b/two.txt", "No word of it."),
+    ("src/a/b/c/three.txt", None),
+    ("src/other/four.txt", ""),
+    ("src/other/five.txt", "All rights reserved."),
+    ("top.txt", "x"),
+    ("src/z/long.txt", "word " * 30_000 + "\nLicensed under CC BY-NC 4.0."),
+    (None, "the public work is under version control"),
+    (None, MIT),
+    ("src/a/b/two.txt", "No word of it."),
+    ("src/q/apache.txt", "Licensed under the Apache License, Version 2.0. Licensed."),
+]
+
+
+def words(text):
+    return re.findall("[a-z0-9]+", text.lower())
+
+
+def brute(files, least=0.6):
+    texts = [t for _, t in files if t is not None]
+    forms = [(n, words(t)) for n, ts in TEMPLATES.items() for t in ts]
+    known = {w for _, f in forms for w in f}
+    df = Counter(w for t in texts for w in set(words(t)) & known)
+
+    def vector(tokens):
+        v = {
+            w: (1 + math.log(n)) * (math.log((1 + len(texts)) / (1 + df[w])) + 1)
+            for w, n in Counter(tokens).items()
+        }
+        norm = math.sqrt(sum(x * x for x in v.values()))
+        return {w: x / norm for w, x in v.items()}
+
+    templates = [(n, vector(f)) for n, f in forms]
+
+    def best(text):
+        v = vector(words(text))
+        scores = [(round(sum(v.get(w, 0) * x for w, x in t.items()), 6), n) for n, t in templates]
+        return max(scores) if max(scores)[0] >= least else None
+
+    def directory(path):
+        return path.rpartition("/")[0]
+
+    whole = [best(t) if t else None for _, t in files]
+    speaking = {}
+    for (path, _), found in zip(files, whole):
+        if found and path is not None:
+            speaking[directory(path)] = max(found, speaking.get(directory(path), found))
+    result = []
+    for (path, text), own in zip(files, whole):
+        lines = [b for x in re.split("[\r\n]+", text or "") if (b := best(x))]
+        if own:
+            result.append((*own, "file", None))
+        elif lines:
+            result.append((*max(lines), "header", None))
+        else:
+            at, found = None if path is None else directory(path), None
+            while at is not None and not (found := speaking.get(at)):
+                at = directory(at) if at else None
+            result.append((*found, "inherited", at) if found else (0.0, None, None, None))
+    return result
+
+
+def test_equals_brute_force(spark):
+    files = spark.createDataFrame(
+        [(i, p, t) for i, (p, t) in enumerate(FILES)], "n int, path string, text string"
+    ).repartition(3)
+    files = files.withColumns({c: F.lit("own") for c in ("license", "directory", "whole", "found", "of")})
+    found = sorted(scan_licenses(files, F.col("path")).collect(), key=lambda r: r["n"])
+    for r, expected in zip(found, brute(FILES), strict=True):
+        score, name, origin, where = expected
+        assert (r["license_"], r["origin"], r["license_dir"]) == (name, origin, where)
+        assert r["score"] == pytest.approx(score, abs=2e-6)
+    origins = {r["path"]: r["origin"] for r in found}
+    assert origins["src/a/b/c/three.txt"] == "inherited" and origins["src/a/one.txt"] == "header"
+
+
+def test_empty_table(spark):
+    files = spark.createDataFrame([], "path string, text string")
+    assert scan_licenses(files, F.col("path")).collect() == []
+
+
+def test_no_python_in_the_plan(spark, capsys):
+    files = spark.createDataFrame([("a/b", MIT)], "path string, text string")
+    scan_licenses(files, F.col("path")).explain("extended")
+    assert not re.search("Python|Pandas|ArrowEval|MapInArrow", capsys.readouterr().out)
