@@ -80,7 +80,7 @@ def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The documents flagged as toxic, with the probabilities of the chain."""
     docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
     chain = train_chain(docs, _table(spark, sf_dir, "labels"), TOXIC_CHAIN)
-    found = score_toxicity(docs, chain).where("flagged")
+    found = score_toxicity(docs, chain, categories=tuple(TOXIC_CHAIN)).where("flagged")
     return found.select("doc_id", "p_low_quality", "p_toxic", "flagged")
 
 

@@ -155,25 +155,28 @@ def train_chain(
 
 
 def score_toxicity(
-    docs: DataFrame, chain: Chain, text_col: str = "text", threshold: float = THRESHOLD
+    docs: DataFrame,
+    chain: Chain | None,
+    text_col: str = "text",
+    threshold: float = THRESHOLD,
+    categories: Sequence[str] = (),
 ) -> DataFrame:
     """Every row with `p_<category>` per category, and `flagged` for the last one.
 
     Names that `docs` has already get an underscore. Null texts and texts without words have
-    probability 0 throughout. Nothing is shuffled.
+    probability 0 throughout, and so has everything without a chain, whose categories are then
+    named by `categories`. An empty table gives an empty result. Nothing is shuffled.
     """
-    fields = [f"p{i}" for i in range(len(chain.categories))]
+    categories = chain.categories if chain else tuple(categories)
+    fields = [f"p{i}" for i in range(len(categories))]
 
     @F.pandas_udf(", ".join(f"{f} double" for f in fields))
     def scores(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            yield pd.DataFrame(
-                [chain.probabilities(t) for t in batch], columns=fields, dtype=float
-            )
+            odds = [chain.probabilities(t) if chain else [0.0] * len(fields) for t in batch]
+            yield pd.DataFrame(odds, columns=fields, dtype=float)
 
-    found, flagged, *names = fresh(
-        docs, "found", "flagged", *[f"p_{c}" for c in chain.categories]
-    )
+    found, flagged, *names = fresh(docs, "found", "flagged", *[f"p_{c}" for c in categories])
     judged = docs.withColumn(found, scores(F.col(f"`{text_col}`")))
     return judged.select(
         *[F.col(f"`{c}`") for c in docs.columns],
