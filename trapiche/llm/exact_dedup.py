@@ -4,14 +4,17 @@ A snapshot holds one row per distinct text: digest, smallest id, number of rows.
 are dealt to buckets of bounded size, each with a binary fuse filter. A later batch is first
 grouped by digest on its own; then the filter of a bucket screens the batch's digests. Only
 positives are looked up in the exact buckets, and rows that share a digest are compared byte
-by byte with the text of the row that stays.
+by byte with the text of the row that stays. Filters over the digests found more than once keep
+all other texts out of that shuffle.
 """
 
 from __future__ import annotations
 
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -21,6 +24,9 @@ from trapiche.llm.fuse_filter import FuseFilter, build_filter
 from trapiche.sinks.writers import store
 
 BUCKET_ROWS = 50_000
+# Repeated digests whose filters, of nine bits each, go to every task. With more of them every
+# text travels to its digest.
+SENT_DIGESTS = 10_000_000
 
 
 def digest_of(text: Column) -> Column:
@@ -60,6 +66,44 @@ def _screen(batch: pa.Table, filters: pa.Table) -> pa.Table:
     return batch.select(["digest"]).filter(pa.array(kept))
 
 
+def _filters(digests: DataFrame, buckets: int) -> DataFrame:
+    """One binary fuse filter per bucket of `digests(digest)`."""
+    dealt = digests.select("digest", _bucket(F.col("digest"), buckets).alias("bucket"))
+    return dealt.groupBy("bucket").applyInArrow(
+        _build, "bucket int, seed int, segment int, cells binary"
+    )
+
+
+def may_hold(digests: DataFrame, sent: int = SENT_DIGESTS) -> Callable[[Column], Column]:
+    """A test of a digest column against filters over `digests(digest)`: no false negatives.
+
+    The filters go to every task if there are at most `sent` digests; else the test is true.
+    """
+    count = row_count(digests)
+    if count > sent:
+        return lambda digest: F.lit(True)
+    buckets = max(1, -(-count // BUCKET_ROWS))
+    made = {
+        row["bucket"]: FuseFilter(
+            row["seed"], row["segment"], np.frombuffer(row["cells"], np.uint8)
+        )
+        for row in _filters(digests, buckets).collect()
+    }
+
+    @F.pandas_udf("boolean")
+    def test(batches: Iterator[tuple[pd.Series, pd.Series]]) -> Iterator[pd.Series]:
+        for digest, bucket in batches:
+            keys = np.frombuffer(b"".join(d[:8] for d in digest), "<u8").astype(np.uint64)
+            held, number = np.zeros(len(keys), bool), bucket.to_numpy()
+            for each in np.unique(number):
+                if each in made:
+                    at = number == each
+                    held[at] = made[each].contains(keys[at])
+            yield pd.Series(held)
+
+    return lambda digest: test(digest, _bucket(digest, buckets))
+
+
 @dataclass(frozen=True)
 class Snapshot:
     """An immutable set of texts: exact rows per digest, and one filter per bucket."""
@@ -79,11 +123,7 @@ def group_by_digest(rows: DataFrame) -> DataFrame:
 def build_snapshot(rows: DataFrame, buckets: int) -> Snapshot:
     """Store the groups of `rows(id, digest)` and the filters of their buckets."""
     groups = store(group_by_digest(rows))
-    dealt = groups.select("digest", _bucket(F.col("digest"), buckets).alias("bucket"))
-    filters = dealt.groupBy("bucket").applyInArrow(
-        _build, "bucket int, seed int, segment int, cells binary"
-    )
-    return Snapshot(groups, store(filters), buckets)
+    return Snapshot(groups, store(_filters(groups, buckets)), buckets)
 
 
 def screen(batch: DataFrame, snapshot: Snapshot) -> DataFrame:
@@ -107,6 +147,7 @@ def exact_dedup(
     id_col: str = "doc_id",
     text_col: str = "text",
     bucket_rows: int = BUCKET_ROWS,
+    sent_digests: int = SENT_DIGESTS,
 ) -> DataFrame:
     """Every row with `keep_id`, `group_size`, `kept` and `text_sha256` beside its own columns.
 
@@ -135,20 +176,22 @@ def exact_dedup(
         .where("size > 1")
         .select(F.col("digest").alias("rep_digest"), "keep_id", "size")
     )
+    repeated = store(repeated)
+    travels = may_hold(repeated.select(F.col("rep_digest").alias("digest")), sent_digests)
     # The text that stays, once per repeated text; that of an id that repeats is taken once.
     texts = base.select(
         "id", digest_of(F.col("text")).alias("digest"), single_spaced(F.col("text")).alias("body")
-    )
+    ).where(travels(F.col("digest")))
     kept_here = F.col("id").eqNullSafe(F.col("keep_id")) & (F.col("digest") == F.col("rep_digest"))
     reps = store(
-        texts.join(store(repeated), kept_here)
+        texts.join(repeated, kept_here)
         .groupBy("rep_digest", "keep_id", "size")
         .agg(F.min("body").alias("rep_body"))
     )
-    digest, body, copy = fresh(docs, "digest", "body", "copy")
-    rows = docs.withColumns(
-        {digest: digest_of(F.col(f"`{text_col}`")), body: single_spaced(F.col(f"`{text_col}`"))}
-    )
+    digest, body, held, copy = fresh(docs, "digest", "body", "held", "copy")
+    rows = docs.withColumn(digest, digest_of(F.col(f"`{text_col}`")))
+    rows = rows.withColumn(held, travels(F.col(digest)))
+    rows = rows.withColumn(body, F.when(F.col(held), single_spaced(F.col(f"`{text_col}`"))))
     rows = rows.withColumn(copy, copy_number(docs, id_col, [f"`{id_col}`", digest]))
     own = F.col(f"rows.`{id_col}`")
     equal = F.col(f"rows.{body}") == F.col("reps.rep_body")
