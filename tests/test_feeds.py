@@ -1,6 +1,7 @@
 import pytest
 
 from trapiche.operators.conform import keep_columns
+from trapiche.operators.snapshot import latest_snapshot
 from trapiche.sources.feeds import (
     LINEAGE,
     UNREADABLE,
@@ -101,6 +102,62 @@ def test_unreadable_files_are_skipped_whole(spark, tmp_path, caplog):
         assert name in caplog.text
 
 
+def test_equal_names_in_two_folders_are_different_files(spark, tmp_path):
+    for folder, text in (("x", "ingenio,zafra\nA,1\n"), ("y", "ingenio,zafra\nB,2,extra\n")):
+        (tmp_path / folder).mkdir()
+        write(tmp_path / folder, "feed.csv", text)
+    kept = drop_unreadable_files(read_feeds(spark, f"{tmp_path}/*"))
+    assert rows(kept, "ingenio", "zafra") == [("A", "1")]
+
+
+def test_ties_between_equal_names_have_a_fixed_winner(spark, tmp_path):
+    for folder in ("y", "x"):
+        (tmp_path / folder).mkdir()
+        write(tmp_path / folder, "feed.csv", f"ingenio,zafra,semana,cana_molida_neta\nA,1,5,{folder}\n")
+    feeds = read_feeds(spark, f"{tmp_path}/*")
+    for partitions in (1, 3):
+        snap = latest_snapshot(feeds.repartition(partitions), input_order=LINEAGE)
+        assert rows(snap, "cana_molida_neta") == [("x",)]
+
+
+def test_a_replacement_character_in_valid_text_stays(spark, tmp_path):
+    write(tmp_path, "valid one.csv", "ingenio,zafra\nA\ufffdB,1\n")
+    write(tmp_path, "latin[1].csv", "ingenio,zafra\nCaña,1\n", "latin-1")
+    kept = drop_unreadable_files(read_feeds(spark, str(tmp_path)))
+    assert rows(kept, "ingenio", "zafra") == [("A\ufffdB", "1")]
+
+
+def test_names_that_look_like_patterns(spark, tmp_path):
+    for name in ("feed[1].csv", "feed1.csv", "a*b.csv", "{x,y}.csv"):
+        write(tmp_path, name, f"ingenio\n{name}\n")
+    write(tmp_path, ".hidden.csv", "ingenio\nno\n")
+    found = {r[0] for r in rows(read_feeds(spark, str(tmp_path)), "ingenio")}
+    assert found == {"feed[1].csv", "feed1.csv", "a*b.csv", "{x"}
+
+
+def test_names_that_spark_passes_over_are_an_error(spark, tmp_path):
+    write(tmp_path, "a.csv", "zafra\nx\n")
+    write(tmp_path, "_late.csv", "zafra\ny\n")
+    with pytest.raises(ValueError, match="_late.csv"):
+        read_feeds(spark, str(tmp_path))
+
+
+def test_jobs_of_planning_do_not_grow_with_the_files(spark, tmp_path):
+    """Spark lists many paths in one job of its own; headers take none."""
+    started = []
+    for files in (40, 80):
+        folder = tmp_path / str(files)
+        folder.mkdir()
+        for i in range(files):
+            write(folder, f"{i:02d}.csv", f"zafra,semana\n{i},1\n")
+        spark.sparkContext.setJobGroup(f"plan {files}", "")
+        feeds = read_feeds(spark, str(folder))
+        started.append(len(spark.sparkContext.statusTracker().getJobIdsForGroup(f"plan {files}")))
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+        assert feeds.count() == files
+    assert started[0] == started[1] <= 1
+
+
 def test_byte_order_mark(spark, tmp_path):
     write(tmp_path, "a.csv", "zafra,semana\nx,1\n", "utf-8-sig")
     assert rows(read_feeds(spark, str(tmp_path)), "zafra", "semana") == [("x", "1")]

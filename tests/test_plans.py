@@ -52,7 +52,7 @@ def feeds(tmp_path_factory):
 @pytest.fixture(scope="module")
 def etl(spark, feeds, tmp_path_factory):
     out = tmp_path_factory.mktemp("out")
-    return run_etl(spark, str(feeds[0]), str(out)), out
+    return run_etl(spark, str(feeds[0]), str(out), detail_csv=True), out
 
 
 def test_detail(etl, feeds):
@@ -83,10 +83,9 @@ def test_sinks_hold_the_same_table(etl, spark):
     result, out = etl
     narrow = ["ingenio", "zafra", *SPEC.summed, SPEC.start_year]
     expected = result.detail.select(narrow)
-    from_csv = spark.read.option("header", True).schema(
-        "ingenio string, zafra string, "
-        + ", ".join(f"`{c}` {t}" for c, t in result.detail.dtypes if c not in ("ingenio", "zafra"))
-    ).csv(result.loaded.detail_csv)
+    _, from_csv = tables.read_processed(
+        spark, result.loaded.season_csv, result.loaded.detail_csv, fmt="csv"
+    )
     assert result.loaded.tables == (writers.DETAIL_TABLE, writers.SEASON_TABLE)
     for copy in (from_csv, spark.table(writers.DETAIL_TABLE)):
         assert copy.select(narrow).exceptAll(expected).count() == 0
@@ -97,12 +96,21 @@ def test_sinks_hold_the_same_table(etl, spark):
     assert csv_seasons.exceptAll(result.seasons).count() == 0 and absent is None
 
 
-def test_a_failing_catalog_is_tolerated(etl, tmp_path, caplog):
-    result, _ = etl
+@pytest.mark.parametrize("error", [None, RuntimeError("a task failed")])
+def test_a_failing_catalog_is_tolerated(etl, tmp_path, caplog, monkeypatch, error):
+    result, out = etl
+
+    def fails(*args, **kwargs):
+        raise error
+
+    if error:
+        monkeypatch.setattr(writers, "register_table", fails)
     loaded = writers.write_tables(
-        result.detail, result.seasons, kpi.profile(result.detail), str(tmp_path), database="no_such_db"
+        f"{out}/detail", f"{out}/seasons", kpi.profile(result.detail), str(tmp_path), "no_such_db"
     )
     assert loaded.tables is None and "catalog tables not written" in caplog.text
+    assert loaded.detail_csv is None
+    assert result.detail.sparkSession.read.json(loaded.report).count() == 1
 
 
 def test_modelling(etl, spark, tmp_path):
@@ -131,9 +139,54 @@ def test_modelling_falls_back_to_the_season_table(spark, table, tmp_path):
     assert done.metrics.first()["n_test"] == 3
 
 
-def test_numeric_mill_names_become_numbers_as_in_any_numeric_column(spark, tmp_path):
-    (tmp_path / "a.csv").write_text(HEADER_A + "\n" + "7,2015-2016,1,2,1,1,1,1,1,1,1,1\n")
-    out = run_etl(spark, str(tmp_path), str(tmp_path / "out"))
-    assert dict(out.detail.dtypes)["ingenio"] == "double"
-    kept = run_etl(spark, str(tmp_path), str(tmp_path / "out2"), numeric=["semana", *SPEC.grades])
-    assert kept.detail.select(F.col("ingenio")).first()[0] == "7"
+ODD_MILLS = ("7", 'San "Luis" A, B', "0012", "Santa, Fe")
+
+
+@pytest.mark.parametrize("reported", [True, False])
+def test_stored_detail_reads_back_by_name_and_type(spark, tmp_path, reported):
+    header = HEADER_A if reported else HEADER_A.rpartition(",")[0]
+    lines = [header]
+    for i, mill in enumerate(ODD_MILLS):
+        quoted = '"' + mill.replace('"', '""') + '"'
+        tail = ",n/d" if reported and i else ",12.5" if reported else ""
+        lines.append(f"{quoted},2015-2016,{i + 1},1,2,1,1,1,1,1,1{tail}")
+    (tmp_path / "a.csv").write_text("\n".join(lines) + "\n")
+    out = str(tmp_path / "out")
+    result = run_etl(spark, str(tmp_path), out, detail_csv=True, work=str(tmp_path / "work"))
+    assert not list((tmp_path / "work").glob("*"))
+    expected = [(f.name, f.dataType.simpleString()) for f in SPEC.detail_schema.fields]
+    for seasons, path, fmt in (
+        (f"{out}/seasons", f"{out}/detail", "parquet"),
+        (result.loaded.season_csv, result.loaded.detail_csv, "csv"),
+    ):
+        _, detail = tables.read_processed(spark, seasons, path, fmt=fmt)
+        assert detail.dtypes == expected
+        rows = {r["ingenio"]: r.asDict() for r in detail.collect()}
+        assert set(rows) == set(ODD_MILLS)
+        for mill, row in rows.items():
+            assert row["anio_inicio"] == 2015 and row["rendimiento_agroindustrial"] == 50.0
+            if reported:
+                assert row["rendimiento_campo"] == (12.5 if mill == "7" else 0.0)
+            else:
+                assert row["rendimiento_campo"] is None
+            assert row["rendimiento_fabrica"] is None
+    assert result.detail.dtypes == [(c, t) for c, t in expected if c in result.detail.columns]
+
+
+def test_work_folder_needs_a_shared_folder_on_a_cluster(tmp_path):
+    from types import SimpleNamespace
+
+    def session(master, conf=None, checkpoint=None):
+        return SimpleNamespace(
+            conf=SimpleNamespace(get=lambda key, default: conf or default),
+            sparkContext=SimpleNamespace(master=master, getCheckpointDir=lambda: checkpoint),
+        )
+
+    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+        writers.work_folder(session("spark://host:7077"))
+    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+        writers.work_folder(session("local-cluster[2,1,1024]"))
+    assert writers.work_folder(session("yarn", conf="hdfs:/shared")).startswith("hdfs:/shared/trapiche-")
+    assert writers.work_folder(session("yarn", checkpoint="hdfs:/c")).startswith("hdfs:/c/trapiche-")
+    assert writers.work_folder(session("yarn"), str(tmp_path)).startswith(str(tmp_path))
+    assert "trapiche-" in writers.work_folder(session("local[4]"))

@@ -78,6 +78,11 @@ class FeedSpec:
     last_season: str = "2025-2026"
     aliases: dict[str, str] = field(default_factory=lambda: dict(ALIASES))
 
+    @property
+    def keys(self) -> tuple[str, ...]:
+        """Names, which stay text even where they look like numbers."""
+        return (self.producer, self.season)
+
     @property
     def summed(self) -> tuple[str, ...]:
         """Measures that add up over producers."""

@@ -5,8 +5,8 @@ from trapiche.sinks.writers import (
     write_csv,
     write_model,
     write_record,
-    write_table,
+    write_partitioned,
     write_tables,
 )
 
-__all__ = ["store", "write_csv", "write_model", "write_record", "write_table", "write_tables"]
+__all__ = ["store", "write_csv", "write_model", "write_record", "write_partitioned", "write_tables"]

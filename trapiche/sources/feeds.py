@@ -9,19 +9,20 @@ from __future__ import annotations
 
 import csv
 import logging
+import re
 from collections import defaultdict
 from collections.abc import Mapping, Sequence
 from concurrent.futures import ThreadPoolExecutor
 from functools import reduce
 from urllib.parse import unquote
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from trapiche.config import DEFAULT_SPEC, FeedSpec
 from trapiche.functions.numbers import missing_to_null
+from trapiche.sinks.writers import store, work_folder
 
 log = logging.getLogger(__name__)
 
@@ -30,11 +31,13 @@ SOURCE_BLOCK = "_src_block"
 SOURCE_POSITION = "_src_pos"
 SOURCE_SEASON = "_src_season"
 UNREADABLE = "_src_unreadable"
+REPLACED = "_src_replaced"
 
 # Input order of a row: file, then block within the file, then row within the block.
 LINEAGE = (SOURCE_FILE, SOURCE_BLOCK, SOURCE_POSITION)
 
 HEADER_READERS = 16
+LOGGED_FILES = 100
 BYTE_ORDER_MARK = "\ufeff"
 UNDECODED = "\ufffd"
 
@@ -75,25 +78,53 @@ def _merged(columns: Mapping[str, Column], aliases: Mapping[str, str]) -> dict[s
     return merged
 
 
+def _hadoop_path(spark: SparkSession, path: str):
+    where = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return where, where.getFileSystem(spark._jsc.hadoopConfiguration())
+
+
 def list_feeds(spark: SparkSession, folder: str, pattern: str = "*.csv") -> list[str]:
-    """Paths of the feed files in name order. Only the listing is used: no job, no content."""
-    try:
-        files = spark.read.format("binaryFile").load(f"{folder.rstrip('/')}/{pattern}")
-    except AnalysisException as error:
-        if error.getCondition() == "PATH_NOT_FOUND":
-            return []
-        raise
-    return sorted(unquote(uri) for uri in files.inputFiles())
+    """Paths of the feed files in name order. Only the listing is used: no job, no content.
+
+    Spark's readers pass over names that begin with an underscore, so such a feed is an error
+    rather than a file that is silently missing.
+    """
+    where, files = _hadoop_path(spark, f"{folder.rstrip('/')}/{pattern}")
+    found = [s.getPath() for s in files.globStatus(where) or [] if s.isFile()]
+    found = [p for p in found if not p.getName().startswith(".")]
+    unread = sorted(p.toString() for p in found if p.getName().startswith("_"))
+    if unread:
+        raise ValueError(f"Spark does not read files whose names begin with '_': {', '.join(unread)}")
+    return sorted(p.toString() for p in found)
+
+
+def as_pattern(path: str) -> str:
+    """The path of one file as a reader's pattern: characters that patterns use are escaped."""
+    return re.sub(r"([\\\[\]{}*?])", r"\\\1", path)
 
 
 def _read_header(spark: SparkSession, path: str) -> tuple[str, ...] | None:
     """First non-blank line of a file, split as CSV; None for a file without one."""
-    line = spark.read.text(path).where(F.trim("value") != "").first()
-    return tuple(next(csv.reader([line.value.lstrip(BYTE_ORDER_MARK)]))) if line else None
+    jvm = spark._jvm
+    where, files = _hadoop_path(spark, path)
+    codecs = jvm.org.apache.hadoop.io.compress.CompressionCodecFactory(
+        spark._jsc.hadoopConfiguration()
+    )
+    codec = codecs.getCodec(where)
+    stream = files.open(where)
+    try:
+        plain = codec.createInputStream(stream) if codec else stream
+        lines = jvm.java.io.BufferedReader(jvm.java.io.InputStreamReader(plain, "UTF-8"))
+        line = lines.readLine()
+        while line is not None and not line.lstrip(BYTE_ORDER_MARK).strip():
+            line = lines.readLine()
+    finally:
+        stream.close()
+    return tuple(next(csv.reader([line.lstrip(BYTE_ORDER_MARK)]))) if line is not None else None
 
 
 def read_headers(spark: SparkSession, paths: Sequence[str]) -> dict[str, tuple[str, ...]]:
-    """Header of every readable file. Each lookup stops at the file's first row."""
+    """Header of every readable file, sixteen files at a time; no job, only the first lines."""
     with ThreadPoolExecutor(HEADER_READERS) as pool:
         headers = list(pool.map(lambda path: _read_header(spark, path), paths))
     for path, header in zip(paths, headers):
@@ -113,21 +144,23 @@ def _scan_group(
         .option("header", True)
         .option("escape", '"')
         .option("multiLine", multi_line)
-        .csv(paths)
+        .csv([as_pattern(path) for path in paths])
     )
     cells = {n: missing_to_null(F.col(f"c{i}")) for n, i in _first_positions(header).items()}
     canonical = _merged(cells, spec.aliases)
-    # A row with more cells than the header, or bytes that are not UTF-8, makes the file unreadable.
-    undecodable = F.concat_ws("", *positional).contains(UNDECODED)
+    # The replacement character may stand for bytes that are not UTF-8, or for itself.
+    replaced = F.concat_ws("", *positional).contains(UNDECODED)
     return scan.select(
         *[c.alias(n) for n, c in canonical.items()],
-        F.col("_metadata.file_name").alias(SOURCE_FILE),
+        F.col("_metadata.file_path").alias(SOURCE_FILE),
         F.col("_metadata.file_block_start").alias(SOURCE_BLOCK),
         F.monotonically_increasing_id().alias(SOURCE_POSITION),
         F.regexp_replace(
             F.regexp_extract("_metadata.file_name", r"(\d{4}[_-]\d{4})", 1), "_", "-"
         ).alias(SOURCE_SEASON),
-        (F.col("overflow").isNotNull() | undecodable).alias(UNREADABLE),
+        # A row with more cells than the header makes the file unreadable.
+        F.col("overflow").isNotNull().alias(UNREADABLE),
+        replaced.alias(REPLACED),
     )
 
 
@@ -156,14 +189,32 @@ def read_feeds(
     return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), scans)
 
 
-def drop_unreadable_files(df: DataFrame) -> DataFrame:
+def _not_utf8(spark: SparkSession, files: Sequence[str]) -> DataFrame:
+    """Those of the files that hold bytes which are not UTF-8."""
+    lines = spark.read.text([as_pattern(unquote(file)) for file in files])
+    broken = lines.select("value", F.col("_metadata.file_path").alias(SOURCE_FILE))
+    return broken.where(~F.is_valid_utf8("value")).select(SOURCE_FILE).distinct()
+
+
+def drop_unreadable_files(df: DataFrame, folder: str | None = None) -> DataFrame:
     """Leave out every file that has an unreadable row, and log its name.
 
-    Runs one job over two columns; call it on a stored copy of the feeds. The names
-    collected are at most the file names that listing the folder brought already.
+    One aggregate over three columns finds them; call it on a stored copy of the feeds. Only
+    files that show a replacement character are looked at again, as bytes. Bad files leave by an
+    anti-join, so their number does not matter to the plan. Their names are written below
+    `folder`, by default a fresh work folder.
     """
-    bad = df.where(UNREADABLE).select(SOURCE_FILE).distinct().collect()
-    names = sorted(row[0] for row in bad)
-    for name in names:
+    folder = folder or work_folder(df)
+    marked = df.where(F.col(UNREADABLE) | F.col(REPLACED)).groupBy(SOURCE_FILE)
+    files = store(marked.agg(F.max(UNREADABLE).alias(UNREADABLE)), f"{folder}/marked")
+    bad = files.where(UNREADABLE).select(SOURCE_FILE)
+    # At most the names that listing the folder brought to the driver already.
+    unsure = [row[0] for row in files.where(~F.col(UNREADABLE)).select(SOURCE_FILE).collect()]
+    if unsure:
+        bad = store(bad.unionByName(_not_utf8(df.sparkSession, unsure)), f"{folder}/bad")
+    names = [row[0] for row in bad.orderBy(SOURCE_FILE).limit(LOGGED_FILES + 1).collect()]
+    for name in names[:LOGGED_FILES]:
         log.warning("skipped %s: rows longer than the header, or not UTF-8", name)
-    return df.where(~F.col(SOURCE_FILE).isin(names)) if names else df
+    if len(names) > LOGGED_FILES:
+        log.warning("skipped more unreadable files than the %d named", LOGGED_FILES)
+    return df.join(bad, SOURCE_FILE, "left_anti") if names else df

@@ -4,10 +4,12 @@ from __future__ import annotations
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from trapiche.config import DEFAULT_SPEC, FeedSpec
 
+# Field names of the stored records.
 METRIC_DOUBLES = (
     "coeficiente_B1",
     "intercepto_B0",
@@ -52,8 +54,18 @@ def _or_none(read) -> DataFrame | None:
 
 
 def _read_table(spark: SparkSession, path: str, schema: T.StructType, fmt: str) -> DataFrame:
-    reader = spark.read.schema(schema)
-    return reader.option("header", True).csv(path) if fmt == "csv" else reader.parquet(path)
+    """Columns of the schema by name, in its order; a column that the files lack is null."""
+    if fmt != "csv":
+        return spark.read.schema(schema).parquet(path).select(*schema.fieldNames())
+    text = spark.read.option("header", True).option("escape", '"').csv(path)
+    return text.select(
+        *[
+            (F.col(f"`{f.name}`") if f.name in text.columns else F.lit(None))
+            .cast(f.dataType)
+            .alias(f.name)
+            for f in schema.fields
+        ]
+    )
 
 
 def read_processed(
