@@ -1,11 +1,9 @@
-"""Published season table: labels, the eight sums, the three derived columns."""
+"""The published season table (labels, the eight sums, the three derived columns)
+and the figures of the published model."""
 
-COLUMNS = (
-    "zafra cana_molida_bruta cana_molida_neta superficie_cosechada azucar_producida_total"
-    " azucar_producida_refinada azucar_producida_estandar azucar_producida_blanca_especial"
-    " azucar_producida_mascabado rendimiento_promedio rendimiento_campo_promedio"
-    " tendencia_crecimiento"
-).split()
+from trapiche.config import DEFAULT_SPEC
+
+COLUMNS = DEFAULT_SPEC.season_schema.fieldNames()
 
 SEASONS = [
     ("2015-2016", 54188608.817, 52085148.886, 778929.565, 6117048.109, 1894292.565, 3849056.3279999997, 228631.1, 145068.116, 11.744322978491487, 66.86759782445799, 0.0),
@@ -24,6 +22,6 @@ SEASONS = [
 SUMS_SCHEMA = "zafra string, " + ", ".join(f"{c} double" for c in COLUMNS[1:9])
 SUMS = [row[:9] for row in SEASONS]
 
-# Published model and next-season forecast.
+# Published model and next-season forecast.
 B0, B1 = 18791.171858116766, 0.09951992220305844
 NEXT_CANE, NEXT_SUGAR, MEAN_RATIO = 5181641.763939138, 534467.7570894583, 0.9053459037640481

@@ -12,7 +12,20 @@ from trapiche.operators import conform, kpi, regression, rollup
 from trapiche.operators.snapshot import latest_snapshot
 
 FOLDER = "/root/testdata/sf0.001"
-WRITING = {"conform_types", "csv_feeds", "feed_etl", "stored_model", "model_table", "report"}
+WRITING = {
+    "conform_types",
+    "csv_feeds",
+    "dashboard_state",
+    "detail_csv",
+    "detail_table",
+    "feed_etl",
+    "feed_folders",
+    "model_table",
+    "report",
+    "stored_model",
+}
+# They share the snapshot's shuffle over all their branches, so they store nothing.
+SHARING = ("forecast_24m", "forecast_display", "forecast_total", "residual_hist", "metrics")
 
 
 def plan(df):
@@ -78,3 +91,15 @@ def test_no_python_and_no_cross_joins(spark, name):
     p = plan(QUERIES[name](spark, FOLDER))
     for operator in ("Python", "Pandas", "Arrow", "CartesianProduct", "BroadcastNestedLoopJoin"):
         assert operator not in p
+
+
+@pytest.mark.parametrize("name", SHARING)
+def test_branches_share_one_scan(spark, name):
+    final = final_plan(QUERIES[name](spark, FOLDER)).split("== Initial Plan ==")[0]
+    assert "ReusedExchange" in final
+    assert "trapiche-" not in final
+
+
+def test_exact_split_ranks_no_rows(spark, stored):
+    p = plan(regression.with_split(stored, [SPEC.producer, SPEC.season], exact=True))
+    assert "Window" not in p and "Exchange" not in p

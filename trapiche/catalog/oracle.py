@@ -19,6 +19,11 @@ MEASURES = (
 PLACES = {m: 2 for m in MEASURES} | {"cana_molida_bruta": 4}
 
 
+def _step(value: str, places: int = 4) -> str:
+    """Half up by plain arithmetic, so that ties fall alike in any engine."""
+    return f"floor({value} * 1e{places} + 0.5) / 1e{places} as {value}"
+
+
 def _each(template: str, separator: str = ",\n  ") -> str:
     return separator.join(template.format(m=m, p=PLACES[m]) for m in MEASURES)
 
@@ -252,9 +257,12 @@ MILL_MONTHS = _months("ingenio", "mill_model", "mill_stats")
 
 ROUNDED = _each("round(cast({m} as double), {p}) as {m}")
 SEASON_COLUMNS = f"""{ROUNDED},
-  round(rendimiento_promedio, 4) as rendimiento_promedio,
-  round(rendimiento_campo_promedio, 4) as rendimiento_campo_promedio,
+  {_step("rendimiento_promedio")},
+  {_step("rendimiento_campo_promedio")},
   round(tendencia_crecimiento, 4) as tendencia_crecimiento"""
+YIELDS = f"{_step('rendimiento_agroindustrial')}, {_step('eficiencia_extraccion')}, anio_inicio"
+ODD_NAME = """case when cast(ingenio as integer) % 2 = 0 then ingenio
+  else 'San "' || ingenio || '", Norte' end as ingenio"""
 TEXT = _each("printf('%.4f', cast({m} as double)) as {m}")
 
 
@@ -330,8 +338,7 @@ ORACLE_SQL: dict[str, str] = {
     "latest_snapshot": _with(TO_LATEST) + f"select ingenio, zafra, {ROUNDED} from latest",
     "detail_derived": _with(TO_DETAIL)
     + f"""select ingenio, zafra, {ROUNDED},
-  round(rendimiento_agroindustrial, 4) as rendimiento_agroindustrial,
-  round(eficiencia_extraccion, 4) as eficiencia_extraccion, anio_inicio from detail""",
+  {YIELDS} from detail""",
     "season_range": _with(TO_LATEST)
     + f"""select ingenio, zafra, {ROUNDED} from latest
 where length(zafra) = 9 and zafra between '1995-1996' and '1999-2000'""",
@@ -343,6 +350,14 @@ where length(zafra) = 9 and zafra between '1995-1996' and '1999-2000'""",
     "csv_feeds": _with(PANEL)
     + f"select 'M' || ingenio as ingenio, zafra, cast(semana as varchar) as semana, {TEXT} from panel",
     "feed_etl": _with(TO_SEASONS) + f"select zafra, {SEASON_COLUMNS} from seasons",
+    "feed_folders": _with(PANEL)
+    + f"select 'M' || ingenio as ingenio, zafra, cast(semana as varchar) as semana, {TEXT} from panel",
+    "detail_csv": _with(TO_DETAIL)
+    + f"""select {ODD_NAME}, zafra, {ROUNDED}, cast(null as double) as rendimiento_campo,
+  cast(null as double) as rendimiento_fabrica, {YIELDS} from detail""",
+    "detail_table": _with(TO_DETAIL)
+    + f"""select {ODD_NAME}, zafra, {ROUNDED}, cast(11.5 as double) as rendimiento_campo,
+  cast(11.5 as double) as rendimiento_fabrica, {YIELDS} from detail""",
     "annual_rollup": _with(TO_SEASONS) + f"select zafra, {SEASON_COLUMNS} from seasons order by zafra",
     "mill_rollup": _with(TO_LATEST, BY_MILL)
     + f"select ingenio, zafra, {SEASON_COLUMNS} from seasons order by ingenio, zafra",
@@ -437,6 +452,24 @@ from fitted m, (select sum(pow(y - b0 - b1 * x, 2)) as sse from train, fitted) r
   round(1 - sum(e * e) / regr_syy(y, y), 8) as test_r2, round(avg(abs(e)), 2) as test_mae,
   round(sqrt(avg(e * e)), 2) as test_rmse
 from (select y, y - b0 - b1 * x as e from train, fitted), fitted m group by m.b0, m.b1""",
+    "dashboard_state": _with(TO_LATEST, ROWS, FULL)
+    + """select round(m.b1, 6) as "coeficiente_B1", round(m.b0, 2) as "intercepto_B0",
+  round(1 - sum(e * e) / regr_syy(y, y), 8) as test_r2, round(avg(abs(e)), 2) as test_mae,
+  round(sqrt(avg(e * e)), 2) as test_rmse, m.n, round(m.b0, 2) as b0, round(m.b1, 6) as b1
+from (select y, y - b0 - b1 * x as e from train, fitted), fitted m group by m.b0, m.b1, m.n""",
+    "filtered_band": _with(TO_BOTH)
+    + f"""select g.step, round(g.x, 4) as cana_molida_neta, {BAND}
+from (
+  select cast(range as integer) as step, low + (high - low) * range / 99 as x
+  from range(100), (select min(x) as low, max(x) as high from train where zafra = '1997-1998')) g,
+  model m, stats s""",
+    "filtered_parity": _with(TO_MODEL, SCORED)
+    + """select ingenio, zafra, round(y, 2) as azucar_producida_total, round(y_hat, 2) as y_hat
+from scored where zafra = '1997-1998'""",
+    "filtered_top": _with(TO_LATEST)
+    + """select ingenio, round(cast(sum(azucar_producida_total) as double), 2) as azucar_producida_total
+from latest where zafra = '1997-1998' group by ingenio
+order by sum(azucar_producida_total) desc, ingenio limit 15""",
     "kpi_model": _with(TO_METRICS)
     + "select round(test_r2, 8) as test_r2, round(test_mae, 2) as test_mae from record",
     "stored_model": _with(TO_SEASONS, EXACT, MODEL, SCORED, METRICS, AHEAD)

@@ -11,16 +11,16 @@ from pyspark.sql import functions as F
 
 from trapiche.config import DEFAULT_SPEC as SPEC
 
-# What each measure adds up, line by line.
+# What each measure adds up, line by line. Decimals add up to the same sum in any order.
 LINE_VALUES = {
-    SPEC.gross: "l_quantity * (1 + l_tax)",
-    SPEC.net: "l_quantity",
-    SPEC.area: "1D",
-    SPEC.output: "l_extendedprice",
-    SPEC.grades[0]: "IF(l_returnflag = 'A', l_extendedprice, 0D)",
-    SPEC.grades[1]: "IF(l_returnflag = 'N', l_extendedprice, 0D)",
-    SPEC.grades[2]: "IF(l_returnflag = 'R', l_extendedprice, 0D)",
-    SPEC.grades[3]: "IF(l_linestatus = 'O', l_extendedprice, 0D)",
+    SPEC.gross: "cast(quantity * (1 + tax) AS decimal(18, 4))",
+    SPEC.net: "quantity",
+    SPEC.area: "1",
+    SPEC.output: "price",
+    SPEC.grades[0]: "IF(l_returnflag = 'A', price, 0)",
+    SPEC.grades[1]: "IF(l_returnflag = 'N', price, 0)",
+    SPEC.grades[2]: "IF(l_returnflag = 'R', price, 0)",
+    SPEC.grades[3]: "IF(l_linestatus = 'O', price, 0)",
 }
 
 
@@ -30,6 +30,9 @@ def weekly_panel(spark: SparkSession, sf_dir: str) -> DataFrame:
         "*",
         "date(l_shipdate) AS day",
         "year(l_shipdate) - IF(month(l_shipdate) < 10, 1, 0) AS start",
+        "cast(l_quantity AS decimal(18, 2)) AS quantity",
+        "cast(l_tax AS decimal(4, 2)) AS tax",
+        "cast(l_extendedprice AS decimal(18, 2)) AS price",
     )
     # Integer keys until the data is small: labels are made from weekly sums, not from lines.
     weekly = (
@@ -48,8 +51,7 @@ def weekly_panel(spark: SparkSession, sf_dir: str) -> DataFrame:
         .orderBy(SPEC.period)
         .rowsBetween(Window.unboundedPreceding, Window.currentRow)
     )
-    # Rounding to four places removes the order of addition from the running totals.
-    running = [F.round(F.sum(m).over(to_date), 4).alias(m) for m in SPEC.summed]
+    running = [F.sum(m).over(to_date).cast("double").alias(m) for m in SPEC.summed]
     return weekly.select(SPEC.producer, SPEC.season, SPEC.period, *running)
 
 

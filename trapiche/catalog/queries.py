@@ -19,11 +19,23 @@ from trapiche.functions.numbers import missing_to_null
 from trapiche.operators import conform, filters, forecast, kpi, regression, rollup, scoring, series
 from trapiche.operators.derive import derive_yields, scale_columns, with_start_year
 from trapiche.operators.snapshot import latest_snapshot
+from trapiche.plans.dashboard import (
+    DashboardState,
+    filtered_band,
+    filtered_parity,
+    filtered_top,
+    load_state,
+)
 from trapiche.plans.etl import run_etl
 from trapiche.plans.modelling import run_model
 from trapiche.sinks.writers import store, work_folder, write_csv, write_model, write_record
 from trapiche.sources import tables
-from trapiche.sources.feeds import merge_aliases, normalize_columns, read_feeds
+from trapiche.sources.feeds import (
+    drop_unreadable_files,
+    merge_aliases,
+    normalize_columns,
+    read_feeds,
+)
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -86,13 +98,29 @@ def rounded(df: DataFrame, **places: int) -> DataFrame:
     return df.withColumns({c: F.round(F.col(c).cast("double"), p) for c, p in places.items()})
 
 
+def stepped(df: DataFrame, **places: int) -> DataFrame:
+    """Ratios to a number of places by plain arithmetic, so that ties fall alike in any engine."""
+    return df.withColumns(
+        {c: F.floor(F.col(c) * 10.0**p + 0.5).cast("double") / 10.0**p for c, p in places.items()}
+    )
+
+
 def in_units(df: DataFrame, **units: float) -> DataFrame:
     """Large figures in a larger unit, to nine digits or so."""
     return df.withColumns({c: F.round(F.col(c) / unit, 3) for c, unit in units.items()})
 
 
 MEASURES = {m: 2 for m in SPEC.summed} | {SPEC.gross: 4}
-SEASON_PLACES = MEASURES | {SPEC.season_yield: 4, SPEC.season_field_yield: 4, SPEC.growth: 4}
+SEASON_PLACES = MEASURES | {SPEC.growth: 4}
+YIELD_PLACES = {SPEC.season_yield: 4, SPEC.season_field_yield: 4}
+
+
+def rounded_seasons(df: DataFrame) -> DataFrame:
+    return stepped(rounded(df, **SEASON_PLACES), **YIELD_PLACES)
+
+
+def rounded_detail(df: DataFrame) -> DataFrame:
+    return stepped(rounded(df, **MEASURES), **{SPEC.industrial_yield: 4, SPEC.extraction: 4})
 
 
 # Sources, conformance, snapshot
@@ -107,9 +135,7 @@ def q_latest_snapshot(spark, sf_dir):
 
 
 def q_detail_derived(spark, sf_dir):
-    return rounded(
-        detail(spark, sf_dir), **MEASURES, **{SPEC.industrial_yield: 4, SPEC.extraction: 4}
-    )
+    return rounded_detail(detail(spark, sf_dir))
 
 
 def q_season_range(spark, sf_dir):
@@ -187,19 +213,64 @@ def q_feed_etl(spark, sf_dir):
     out = work_folder(spark)
     result = run_etl(spark, _raw_folder(spark, sf_dir), out, WIDE, database=None)
     stored, _ = tables.read_processed(spark, result.loaded.season_csv, fmt="csv", spec=WIDE)
-    return rounded(stored, **SEASON_PLACES)
+    return rounded_seasons(stored)
+
+
+def q_feed_folders(spark, sf_dir):
+    """Feeds of equal base names in several folders, one of them unreadable."""
+    folder = _raw_folder(spark, sf_dir).removesuffix("/*")
+    broken = spark.createDataFrame([("ingenio,zafra",), ("X,1997-1998,more",)], "value string")
+    broken.coalesce(1).write.text(f"{folder}/c")
+    path = spark._jvm.org.apache.hadoop.fs.Path
+    files = path(folder).getFileSystem(spark._jsc.hadoopConfiguration())
+    for below in "abc":
+        parts = files.globStatus(path(f"{folder}/{below}/part-*"))
+        for number, part in enumerate(sorted(p.getPath().toString() for p in parts)):
+            files.rename(path(part), path(f"{folder}/{below}/feed-{number}.csv"))
+    feeds = store(read_feeds(spark, f"{folder}/*"))
+    return conform.keep_columns(drop_unreadable_files(feeds), SPEC.kept)
+
+
+def _odd_producers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The text panel with producers that need quoting or look like numbers."""
+    name, even = F.col(SPEC.producer), F.col(SPEC.producer).cast("int") % 2 == 0
+    odd = F.format_string('San "%s", Norte', name)
+    return text_panel(panel(spark, sf_dir)).withColumn(
+        SPEC.producer, F.when(even, name).otherwise(odd)
+    )
+
+
+def q_detail_csv(spark, sf_dir):
+    """The detail of a whole run as CSV, read back; its feeds have no reported yields."""
+    out = work_folder(spark)
+    write_csv(_odd_producers(spark, sf_dir), f"{out}/raw")
+    done = run_etl(spark, f"{out}/raw", out, WIDE, detail_csv=True)
+    _, found = tables.read_processed(
+        spark, done.loaded.season_csv, done.loaded.detail_csv, WIDE, "csv"
+    )
+    return rounded_detail(found)
+
+
+def q_detail_table(spark, sf_dir):
+    """The partitioned detail of a whole run, read back; its feeds have reported yields."""
+    out = work_folder(spark)
+    reported = {c: F.lit("11.5") for c in SPEC.reported_yields}
+    write_csv(_odd_producers(spark, sf_dir).withColumns(reported), f"{out}/raw")
+    run_etl(spark, f"{out}/raw", out, WIDE)
+    _, found = tables.read_processed(spark, f"{out}/seasons", f"{out}/detail", WIDE)
+    return rounded_detail(found)
 
 
 # Roll-up, filters, figures
 
 
 def q_annual_rollup(spark, sf_dir):
-    return rounded(seasons(spark, sf_dir), **SEASON_PLACES)
+    return rounded_seasons(seasons(spark, sf_dir))
 
 
 def q_mill_rollup(spark, sf_dir):
     by_mill = rollup.season_rollup(latest(spark, sf_dir), group_cols=[SPEC.producer], first_growth=None)
-    return rounded(by_mill, **SEASON_PLACES)
+    return rounded_seasons(by_mill)
 
 
 def q_filter_season_mill(spark, sf_dir):
@@ -253,10 +324,8 @@ def q_preview(spark, sf_dir):
 
 def q_choices(spark, sf_dir):
     rows = latest(spark, sf_dir)
-    lists = [
-        kpi.choices(rows, c).select(F.lit(c).alias("lista"), F.col(c).alias("valor")) for c in KEYS
-    ]
-    return lists[0].unionByName(lists[1])
+    lists = [rows.select(F.lit(c).alias("lista"), F.col(c).alias("valor")).distinct() for c in KEYS]
+    return lists[0].unionByName(lists[1]).orderBy("lista", "valor")
 
 
 def q_season_series(spark, sf_dir):
@@ -410,7 +479,7 @@ def q_report(spark, sf_dir):
 
 
 def q_residual_hist(spark, sf_dir):
-    rows = stored_rows(spark, sf_dir)
+    rows = training_rows(spark, sf_dir)
     table = regression.score(rows, trained(rows))
     bins = scoring.histogram(table, "residual", where=F.col("is_test"))
     return rounded(bins, bin_low=1, bin_high=1)
@@ -488,7 +557,7 @@ def q_history_plus_forecast(spark, sf_dir):
 
 
 def months(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = stored_rows(spark, sf_dir)
+    rows = training_rows(spark, sf_dir)
     return forecast.forecast_months(season_line(rows), trained(rows), full_stats(rows), AS_OF)
 
 
@@ -540,6 +609,43 @@ def q_interpretation_figures(spark, sf_dir):
     return rounded(shown, r2_pct=6, siguiente_cana=3, tendencia_pct=6, promedio=2)
 
 
+# Dashboard
+
+
+def q_dashboard_state(spark, sf_dir):
+    """Tables of a run without model and metrics: both come from all rows instead."""
+    out = work_folder(spark)
+    rows = store(detail(spark, sf_dir), f"{out}/detail")
+    store(rollup.season_rollup(rows), f"{out}/seasons")
+    state = load_state(spark, out)
+    record = rounded(state.metrics, **{c: METRIC_PLACES[c] for c in state.metrics.columns})
+    fitted = rounded(state.model.select("n", "b0", "b1"), b0=2, b1=6)
+    return record.withColumn("_model", fitted.select(F.struct("*")).scalar()).select(
+        *record.columns, "_model.*"
+    )
+
+
+def _state(spark: SparkSession, sf_dir: str) -> DashboardState:
+    rows = training_rows(spark, sf_dir)
+    return DashboardState(rows, None, trained(rows), full_stats(rows), None, None)
+
+
+def q_filtered_band(spark, sf_dir):
+    """The line over one season's range, with the model of all seasons."""
+    band = filtered_band(_state(spark, sf_dir), ONE_SEASON)
+    return rounded(band, **{SPEC.net: 4, "y_hat": 2, "band_lower": 2, "band_upper": 2})
+
+
+def q_filtered_parity(spark, sf_dir):
+    shown = filtered_parity(_state(spark, sf_dir), ONE_SEASON)
+    return rounded(shown, **{SPEC.output: 2, "y_hat": 2})
+
+
+def q_filtered_top(spark, sf_dir):
+    top = filtered_top(_state(spark, sf_dir), ONE_SEASON)
+    return rounded(top, **{SPEC.output: 2})
+
+
 QUERIES: dict[str, Query] = {
     name.removeprefix("q_"): query for name, query in list(globals().items()) if name.startswith("q_")
 }

@@ -127,7 +127,7 @@ def forecast_months(
 
 
 def forecast_display(forecast: DataFrame, group_cols: Sequence[str] = ()) -> DataFrame:
-    """The forecast table under its display headings."""
+    """The forecast table under its display headings, which are fixed values."""
     return forecast.select(
         *group_cols,
         "Periodo",
@@ -145,7 +145,7 @@ def forecast_total(forecast: DataFrame, group_cols: Sequence[str] = ()) -> DataF
 def interpretation(
     record: DataFrame, ahead: DataFrame, group_cols: Sequence[str] = ()
 ) -> DataFrame:
-    """Model, fit and forecast as one nested record with readable sentences."""
+    """Model, fit and forecast as one nested record; field names and sentences are fixed values."""
     b0, b1, r2 = F.col("intercepto_B0"), F.col("coeficiente_B1"), F.col("test_r2")
 
     def sentence(pattern: str, *values: Column) -> Column:

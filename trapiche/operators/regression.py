@@ -7,9 +7,10 @@ model rows.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from trapiche.config import DEFAULT_SPEC, FeedSpec
@@ -18,7 +19,9 @@ from trapiche.functions.student_t import f_tail, t_critical, t_two_sided_p
 TEST_FRACTION = 0.2
 SEED = 42
 CONFIDENCE_ALPHA = 0.05
-BUCKET_DIGITS = 4
+# Hash digits counted at a time, and those of a whole hash.
+BUCKET_DIGITS = 3
+HASH_DIGITS = 32
 
 
 def split_hash(keys: Sequence[str], seed: int = SEED) -> Column:
@@ -37,38 +40,41 @@ def with_split(
 
     By default a row is tested when its hash falls under the fraction: no job, no shuffle,
     and about the right share. With `exact` the share is ceil(fraction * rows) to the row
-    (keys must be unique), at the price of two more aggregates over the keys.
+    (keys must be unique), at the price of a few aggregates over the keys, which run here.
     """
     h = split_hash(keys, seed)
     if exact:
-        threshold = _exact_threshold(df.select(h.alias("h")), test_fraction)
-        return df.withColumn("is_test", F.coalesce(h <= threshold.scalar(), F.lit(False)))
+        bound = _exact_bound(df.select(h.alias("h")), test_fraction)
+        return df.withColumn("is_test", F.coalesce(h <= bound, F.lit(False)))
     bound = format(int(test_fraction * 2**32), "08x")
     return df.withColumn("is_test", F.substring(h, 1, 8) < bound)
 
 
-def _exact_threshold(hashes: DataFrame, fraction: float) -> DataFrame:
-    """The k-th smallest hash, k = ceil(fraction * n), without sorting the hashes.
+def _exact_bound(hashes: DataFrame, fraction: float) -> str:
+    """What the k smallest hashes do not exceed, k = ceil(fraction * n), without ranking rows.
 
-    Counting per leading digits finds the bucket that holds it; only that bucket, one
-    part in 16**BUCKET_DIGITS of the rows, is then ranked. Windows here run over the
-    fixed number of buckets and over that one bucket.
+    Rows are counted by the next few digits of the hashes that share the digits found so far,
+    until a prefix holds exactly the rows that are still wanted. A count sees at most
+    16**BUCKET_DIGITS buckets, and each one divides the rows left by as many.
     """
-    bucket = F.substring("h", 1, BUCKET_DIGITS)
-    counts = hashes.groupBy(bucket.alias("bucket")).agg(F.count("*").alias("n"))
-    upto = Window.orderBy("bucket").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    whole = Window.partitionBy()
-    placed = counts.select(
-        "bucket",
-        (F.sum("n").over(upto) - F.col("n")).alias("before"),
-        F.sum("n").over(upto).alias("until"),
-        F.ceil(F.sum("n").over(whole) * F.lit(fraction)).alias("k"),
-    ).where((F.col("before") < F.col("k")) & (F.col("k") <= F.col("until")))
-    boundary = placed.select(F.struct("bucket", (F.col("k") - F.col("before")).alias("rank"))).scalar()
-    inside = hashes.where(bucket == boundary["bucket"]).groupBy("h").agg(F.count("*").alias("n"))
-    by_hash = Window.orderBy("h").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    ranked = inside.withColumn("until", F.sum("n").over(by_hash))
-    return ranked.where(F.col("until") >= boundary["rank"]).agg(F.min("h").alias("h"))
+    prefix, wanted = "", None
+    while len(prefix) < HASH_DIGITS:
+        inside = hashes.where(F.startswith("h", F.lit(prefix))) if prefix else hashes
+        digits = F.substring("h", len(prefix) + 1, BUCKET_DIGITS)
+        counts = sorted(inside.groupBy(digits.alias("digits")).count().collect())
+        if wanted is None:
+            wanted = math.ceil(sum(n for _, n in counts) * fraction)
+        if not counts or wanted == 0:
+            return ""
+        for found, n in counts:
+            if wanted <= n:
+                break
+            wanted -= n
+        prefix += found
+        if wanted == n:
+            # Every hash with this prefix counts: "g" follows all digits.
+            return f"{prefix}g"
+    return prefix
 
 
 def fit(
@@ -173,16 +179,26 @@ def metrics(
     )
 
 
-def fit_metrics(
-    df: DataFrame, x: str | None = None, y: str | None = None, spec: FeedSpec = DEFAULT_SPEC
+def sample_metrics(
+    df: DataFrame,
+    model: DataFrame,
+    x: str | None = None,
+    y: str | None = None,
+    spec: FeedSpec = DEFAULT_SPEC,
 ) -> DataFrame:
-    """Fit on all rows and the errors on those same rows."""
-    model = fit(df, x, y, spec=spec)
+    """Errors of a model on all rows of a table, as if all of them were test rows."""
     scored = score(df, model, x, y, spec=spec).withColumn("is_test", F.lit(True))
     record = metrics(scored, model, y, spec=spec)
     return record.select("coeficiente_B1", "intercepto_B0", "test_r2", "test_mae", "test_rmse")
 
 
+def fit_metrics(
+    df: DataFrame, x: str | None = None, y: str | None = None, spec: FeedSpec = DEFAULT_SPEC
+) -> DataFrame:
+    """Fit on all rows and the errors on those same rows."""
+    return sample_metrics(df, fit(df, x, y, spec=spec), x, y, spec)
+
+
 def inference(
     model: DataFrame,
     alpha: float = CONFIDENCE_ALPHA,

@@ -68,6 +68,20 @@ def _read_table(spark: SparkSession, path: str, schema: T.StructType, fmt: str)
     )
 
 
+def read_detail(
+    spark: SparkSession, path: str, spec: FeedSpec = DEFAULT_SPEC, fmt: str = "parquet"
+) -> DataFrame | None:
+    """The detail table; None when it was never written."""
+    return _or_none(lambda: _read_table(spark, path, spec.detail_schema, fmt))
+
+
+def read_seasons(
+    spark: SparkSession, path: str, spec: FeedSpec = DEFAULT_SPEC, fmt: str = "parquet"
+) -> DataFrame | None:
+    """The season table; None when it was never written."""
+    return _or_none(lambda: _read_table(spark, path, spec.season_schema, fmt))
+
+
 def read_processed(
     spark: SparkSession,
     seasons_path: str,
@@ -75,11 +89,9 @@ def read_processed(
     spec: FeedSpec = DEFAULT_SPEC,
     fmt: str = "parquet",
 ) -> tuple[DataFrame, DataFrame | None]:
-    """Season table, and the detail table or None when it is not there."""
+    """Season table, which must be there, and the detail table or None."""
     seasons = _read_table(spark, seasons_path, spec.season_schema, fmt)
-    if detail_path is None:
-        return seasons, None
-    return seasons, _or_none(lambda: _read_table(spark, detail_path, spec.detail_schema, fmt))
+    return seasons, read_detail(spark, detail_path, spec, fmt) if detail_path else None
 
 
 def read_record(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame | None:
