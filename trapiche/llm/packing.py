@@ -2,7 +2,11 @@
 
 from __future__ import annotations
 
+import json
+import os
+import re
 import zlib
+from array import array
 from collections.abc import Iterator
 from functools import lru_cache
 
@@ -19,41 +23,80 @@ SEQUENCE_TOKENS = 4096
 END_ID = 1
 # Pieces packed together; blocks are dealt by hash, so their sizes are even.
 BLOCK_PIECES = 20_000
-# Words that a worker keeps with their ids (about 200 bytes each), and words encoded at a time.
-WORDS_KEPT = 1_000_000
+# Words that a worker keeps with their ids (about 250 bytes each), and words encoded at a time.
+WORDS_KEPT = 1_500_000
 WORDS_AT_ONCE = 50_000
 # Marks that often close a word; none of them occurs in a special token.
 MARKS = ".,;:!?%$#&*"
 PIECE_SCHEMA = "id long, piece int, start long, length long, ids_crc32 long"
 
 
+# Words of these letters are one piece to the tokenizer and are already in its normal form.
+_LATIN = re.compile("[a-zß-öø-ÿ]+")
+
+
+def _byte_letters() -> dict[int, str]:
+    """The letter by which a byte-level vocabulary writes each byte.
+
+    Printable bytes stand for themselves, the others for the code points from 256 on.
+    """
+    printable = {*range(33, 127), *range(161, 173), *range(174, 256)}
+    rest = iter(range(256, 512))
+    return {b: chr(b if b in printable else next(rest)) for b in range(256)}
+
+
+class _WordEncoder:
+    """Ids of distinct words, kept from batch to batch of a worker."""
+
+    def __init__(self, path: str) -> None:
+        # Threads of its own would only compete with the other tasks of the executor.
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"
+        self.whole = Tokenizer.from_file(path)
+        with open(path, encoding="utf-8") as file:
+            described = json.load(file)
+        described |= {"normalizer": None, "pre_tokenizer": None, "added_tokens": []}
+        self.merges = Tokenizer.from_str(json.dumps(described))
+        self.letters = _byte_letters()
+        self.known: dict[bytes, bytes] = {}
+
+    def encode(self, words: list[bytes]) -> bytes:
+        known = self.known
+        if len(known) > WORDS_KEPT:
+            known.clear()
+        new = {w: _stem_and_marks(w.decode()) for w in set(words) if w not in known}
+        asked = {part for split in new.values() for part in split if part.encode() not in known}
+        plain = [part for part in asked if _LATIN.fullmatch(part)]
+        spelled = [p.encode().decode("latin-1").translate(self.letters) for p in plain]
+        self._learn(plain, self.merges, spelled)
+        other = list(asked.difference(plain))
+        self._learn(other, self.whole, other)
+        for word, split in new.items():
+            known[word] = b"".join([known[part.encode()] for part in split])
+        return b"".join(map(known.__getitem__, words))
+
+    def _learn(self, words: list[str], tokenizer: Tokenizer, texts: list[str]) -> None:
+        encoded = tokenizer.encode_batch_fast(texts, add_special_tokens=False)
+        for word, ids in zip(words, encoded):
+            self.known[word.encode()] = array("I", ids.ids).tobytes()
+
+
 @lru_cache(maxsize=1)
-def _tokenizer(path: str) -> tuple[Tokenizer, dict[bytes, bytes]]:
-    return Tokenizer.from_file(path), {}
+def _encoder(path: str) -> _WordEncoder:
+    return _WordEncoder(path)
 
 
 def token_ids(text: str | None, path: str) -> np.ndarray:
     """Ids of a whole text.
 
     The tokenizer never joins characters across white space, so a text is encoded word by word
-    and each distinct word once; a long text is taken in slices of words.
+    and each distinct word once; a long text is taken in slices of words. Words of lower-case
+    Latin letters go straight to the merges; all others through the whole tokenizer.
     """
-    tokenizer, known = _tokenizer(path)
+    encoder = _encoder(path)
     # Cut at the six white space bytes; any other white space stays inside its word.
     words = (text or "").encode().split()
-    parts = []
-    for start in range(0, len(words), WORDS_AT_ONCE):
-        block = words[start : start + WORDS_AT_ONCE]
-        if len(known) > WORDS_KEPT:
-            known.clear()
-        new = {w: _stem_and_marks(w.decode()) for w in set(block) if w not in known}
-        asked = {part for split in new.values() for part in split if part.encode() not in known}
-        encoded = tokenizer.encode_batch_fast(list(asked), add_special_tokens=False)
-        for part, ids in zip(asked, encoded):
-            known[part.encode()] = np.array(ids.ids, dtype="<u4").tobytes()
-        for word, split in new.items():
-            known[word] = b"".join(known[part.encode()] for part in split)
-        parts.append(b"".join(map(known.__getitem__, block)))
+    slices = range(0, len(words), WORDS_AT_ONCE)
+    parts = [encoder.encode(words[start : start + WORDS_AT_ONCE]) for start in slices]
     return np.frombuffer(b"".join(parts), dtype="<u4")
 
 
