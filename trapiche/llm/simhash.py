@@ -45,12 +45,14 @@ def fingerprint(text: str | None, shingle_words: int = SHINGLE_WORDS) -> int:
 
 
 def fingerprint_of(text: Column, shingle_words: int = SHINGLE_WORDS) -> Column:
+    """The fingerprint as a column that is never null, so that no join tests it for null first."""
+
     @F.pandas_udf("long")
     def prints(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
         for batch in batches:
             yield pd.Series([fingerprint(t, shingle_words) for t in batch], dtype="int64")
 
-    return prints(text)
+    return F.coalesce(prints(text), F.lit(0))
 
 
 def _ball(width: int, radius: int) -> list[int]:
