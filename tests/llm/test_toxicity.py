@@ -3,7 +3,14 @@ import random
 import numpy as np
 from pyspark.sql import functions as F
 
-from trapiche.llm.toxicity import FEATURES, fit_chain, fit_link, score_toxicity, train_chain
+from trapiche.llm.toxicity import (
+    FEATURES,
+    fit_chain,
+    fit_link,
+    prior_shift,
+    score_toxicity,
+    train_chain,
+)
 
 CHAIN = {"low_quality": "quality = 0", "toxic": "toxic = 1"}
 
@@ -66,6 +73,16 @@ def test_out_of_fold_predictions(monkeypatch):
     assert seen == [(0, 10)] + [(0, 8)] * 5 + [(1, 10)] + [(1, 8)] * 5
 
 
+def test_even_sample_does_not_raise_the_odds(spark, documents):
+    assert prior_shift((10, 10), (90, 10)) == np.log(1 / 9)
+    assert prior_shift((10, 0), (10, 0)) == 0
+    rows, labels = corpus(400, 5)
+    table = spark.createDataFrame(labels, "doc_id long, quality int, toxic int")
+    whole = train_chain(documents(rows), table, CHAIN)
+    part = train_chain(documents(rows), table, CHAIN, rows=80)
+    assert whole.shifts == (0.0, 0.0) and part.shifts[1] < 0
+
+
 def test_nothing_to_learn_from_and_empty_table(spark, documents):
     empty = spark.createDataFrame([], "doc_id long, quality int, toxic int")
     assert train_chain(documents([(1, "x")]), empty, CHAIN) is None

@@ -4,8 +4,8 @@ from __future__ import annotations
 
 import re
 import zlib
-from collections.abc import Iterator, Sequence
-from dataclasses import dataclass
+from collections.abc import Iterable, Iterator, Sequence
+from dataclasses import dataclass, replace
 from functools import reduce
 
 import numpy as np
@@ -15,7 +15,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from trapiche.llm.common import fresh, named
-from trapiche.llm.language import fit_ftrl, softmax
+from trapiche.llm.language import fit_ftrl
 
 FEATURES = 1 << 18
 # Labelled rows that the chain is fitted on, at most, in even shares per combination of labels.
@@ -47,9 +47,11 @@ class Link:
     earlier: np.ndarray
     bias: float
 
-    def probability(self, used: np.ndarray, before: Sequence[float]) -> float:
+    def probability(
+        self, used: np.ndarray, before: Sequence[float], shift: float = 0.0
+    ) -> float:
         score = self.weights[used].sum() + self.earlier @ np.array(before, float) + self.bias
-        return float(1 / (1 + np.exp(-np.clip(score, -500, 500))))
+        return float(1 / (1 + np.exp(-np.clip(score + shift, -500, 500))))
 
 
 def fit_link(rows: list[tuple[int, np.ndarray, list[float]]], chained: int) -> Link:
@@ -66,16 +68,31 @@ def fit_link(rows: list[tuple[int, np.ndarray, list[float]]], chained: int) -> L
 
 @dataclass(frozen=True)
 class Chain:
+    """Models in chain order. `shifts` turn odds in the even sample into odds among all labels."""
+
     categories: tuple[str, ...]
     links: tuple[Link, ...]
+    shifts: tuple[float, ...]
 
     def probabilities(self, text: str | None) -> list[float]:
-        used, found = word_features(text), []
-        for link in self.links:
-            found.append(link.probability(used, found) if len(used) else 0.0)
+        used = word_features(text)
+        if not len(used):
+            return [0.0] * len(self.links)
+        before: list[float] = []
+        found = []
+        for link, shift in zip(self.links, self.shifts):
+            found.append(link.probability(used, before, shift))
+            before.append(link.probability(used, before))
         return found
 
 
+def prior_shift(sampled: tuple[int, int], whole: tuple[int, int]) -> float:
+    """Difference in log odds between (outside, inside) counts of all labels and of a sample."""
+    if 0 in sampled or 0 in whole:
+        return 0.0
+    return float(np.log(whole[1] / whole[0]) - np.log(sampled[1] / sampled[0]))
+
+
 def fit_chain(
     rows: list[tuple[np.ndarray, list[int]]], categories: Sequence[str], folds: int = FOLDS
 ) -> Chain:
@@ -96,7 +113,7 @@ def fit_chain(
             model = fit_link(others, k)
             for i in inside:
                 before[i].append(model.probability(rows[i][0], labelled[i][2]))
-    return Chain(tuple(categories), tuple(links))
+    return Chain(tuple(categories), tuple(links), (0.0,) * len(links))
 
 
 def _features(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -151,7 +168,17 @@ def train_chain(
         return None
     collected.sort(key=lambda r: (r["id"], bytes(r["used"]), r["labels"]))
     ready = [(np.frombuffer(r["used"], "<i4").astype(np.int64), list(r["labels"])) for r in collected]
-    return fit_chain(ready, list(categories))
+    chain = fit_chain(ready, list(categories))
+
+    def counts(k: int, rows: Iterable[tuple[Sequence[int], int]]) -> tuple[int, int]:
+        rows = list(rows)
+        return sum(n for y, n in rows if not y[k]), sum(n for y, n in rows if y[k])
+
+    shifts = tuple(
+        prior_shift(counts(k, ((y, 1) for _, y in ready)), counts(k, sizes.items()))
+        for k in range(len(categories))
+    )
+    return replace(chain, shifts=shifts)
 
 
 def score_toxicity(

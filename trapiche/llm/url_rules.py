@@ -129,7 +129,12 @@ def match_rules(urls: DataFrame, rules: DataFrame) -> DataFrame:
         tokens.join(use, "token")
         .groupBy("tokens", "verdict", "confidence")
         .agg(F.min(F.struct("rules", "token")).alias("rarest"))
-        .select(F.col("rarest.token").alias("token"), F.col("tokens").alias("needed"), "verdict", "confidence")
+        .select(
+            F.col("rarest.token").alias("token"),
+            F.col("tokens").alias("needed"),
+            "verdict",
+            "confidence",
+        )
     )
     sure = F.struct("confidence", F.size("needed").alias("length"), "verdict")
     looked_up = urls.select("host", "path", "tokens", F.explode("tokens").alias("token"))
