@@ -3,7 +3,6 @@
 import datetime as dt
 
 import pytest
-from pyspark.sql import functions as F
 
 from trapiche.config import DEFAULT_SPEC as SPEC
 from trapiche.operators import kpi
