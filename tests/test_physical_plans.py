@@ -25,7 +25,14 @@ WRITING = {
     "stored_model",
 }
 # They share the snapshot's shuffle over all their branches, so they store nothing.
-SHARING = ("forecast_24m", "forecast_display", "forecast_total", "residual_hist", "metrics")
+SHARING = (
+    "forecast_24m",
+    "forecast_display",
+    "forecast_total",
+    "history_plus_forecast",
+    "metrics",
+    "residual_hist",
+)
 
 
 def plan(df):
