@@ -21,6 +21,13 @@ ROWS = [
     (8, "x\x1cy\x85z w\xa0v"),
     (9, "é. a,́ b"),
 ]
+LATIN = [
+    "Cœur ªº µ ÀÉ×÷ Ǆ ǅ İstanbul ɏ",
+    "a1b2 !!x!! (y) – “z” … 3.14",
+    "x\x1cy z\x85w a\xa0b",
+    "ça%%% réeux*** d&&& STRASSE ẞ",
+    "<tag> < | a|b",
+]
 
 
 def plain_ids(text):
@@ -28,9 +35,18 @@ def plain_ids(text):
     return tokenizer.encode(text or "", add_special_tokens=False).ids + [1]
 
 
-@pytest.mark.parametrize("text", [t for _, t in ROWS])
+@pytest.mark.parametrize("text", [t for _, t in ROWS] + LATIN)
 def test_ids_word_by_word_equal_ids_of_the_whole_text(text):
-    assert list(token_ids(text, PATH)) == plain_ids(text)[:-1]
+    (found,) = token_ids([text], PATH)
+    assert list(found) == plain_ids(text)[:-1]
+
+
+def test_ids_of_many_texts_in_order(monkeypatch):
+    monkeypatch.setattr("trapiche.llm.packing.SLICE_BYTES", 20)
+    monkeypatch.setattr("trapiche.llm.packing.WORDS_KEPT", 10)
+    texts = [text for _, text in ROWS] + LATIN
+    found = [list(ids) for ids in token_ids(texts, PATH)]
+    assert found == [plain_ids(text)[:-1] for text in texts]
 
 
 @pytest.mark.parametrize("limit", [16, 4096])

@@ -6,12 +6,12 @@ import json
 import os
 import re
 import zlib
-from array import array
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
@@ -23,16 +23,21 @@ SEQUENCE_TOKENS = 4096
 END_ID = 1
 # Pieces packed together; blocks are dealt by hash, so their sizes are even.
 BLOCK_PIECES = 20_000
-# Words that a worker keeps with their ids (about 250 bytes each), and words encoded at a time.
-WORDS_KEPT = 1_500_000
-WORDS_AT_ONCE = 50_000
-# Marks that often close a word; none of them occurs in a special token.
-MARKS = ".,;:!?%$#&*"
+# Words, and parts of words, that a worker keeps with their ids (about 250 bytes each).
+WORDS_KEPT = 1_000_000
+# Bytes of text encoded at a time, which bounds the memory of a very long text.
+SLICE_BYTES = 1 << 23
 PIECE_SCHEMA = "id long, piece int, start long, length long, ids_crc32 long"
 
 
-# Words of these letters are one piece to the tokenizer and are already in its normal form.
-_LATIN = re.compile("[a-zß-öø-ÿ]+")
+# Letters of the Latin blocks of Unicode, and those of them that are lower case and composed.
+_LETTERS = "a-zªµºÀ-ÖØ-öø-ɏ"
+_PLAIN = re.compile("[a-zß-öø-ÿ]+")
+# Runs of letters, and runs of neither letters nor ASCII white space.
+_RUNS = re.compile(f"[{_LETTERS}]+|[^{_LETTERS} \t-\r]+")
+_SPACE = re.compile(rb"[\x20\x09-\x0D]")
+# Other scripts and marks that may join a letter; punctuation marks are none of them.
+_OTHER = re.compile("[^\0-ɏ‐-‧‰-⁞]")
 
 
 def _byte_letters() -> dict[int, str]:
@@ -57,27 +62,34 @@ class _WordEncoder:
         described |= {"normalizer": None, "pre_tokenizer": None, "added_tokens": []}
         self.merges = Tokenizer.from_str(json.dumps(described))
         self.letters = _byte_letters()
-        self.known: dict[bytes, bytes] = {}
-
-    def encode(self, words: list[bytes]) -> bytes:
-        known = self.known
-        if len(known) > WORDS_KEPT:
-            known.clear()
-        new = {w: _stem_and_marks(w.decode()) for w in set(words) if w not in known}
-        asked = {part for split in new.values() for part in split if part.encode() not in known}
-        plain = [part for part in asked if _LATIN.fullmatch(part)]
+        self.words: dict[str, bytes] = {}
+        self.parts: dict[str, bytes] = {}
+
+    def encode(self, words: list[str]) -> list[bytes]:
+        """Ids of each word, little-endian; words that are not known yet are learned together."""
+        if len(self.words) > WORDS_KEPT:
+            self.words.clear()
+        if len(self.parts) > WORDS_KEPT:
+            self.parts.clear()
+        new = {word: word_parts(word) for word in set(words).difference(self.words)}
+        self._learn({part for parts in new.values() for part in parts})
+        for word, parts in new.items():
+            self.words[word] = b"".join([self.parts[part] for part in parts])
+        return list(map(self.words.__getitem__, words))
+
+    def _learn(self, parts: set[str]) -> None:
+        new = parts.difference(self.parts)
+        plain = [part for part in new if _PLAIN.fullmatch(part)]
+        # Such parts are one piece to the tokenizer and in its normal form already.
         spelled = [p.encode().decode("latin-1").translate(self.letters) for p in plain]
-        self._learn(plain, self.merges, spelled)
-        other = list(asked.difference(plain))
-        self._learn(other, self.whole, other)
-        for word, split in new.items():
-            known[word] = b"".join([known[part.encode()] for part in split])
-        return b"".join(map(known.__getitem__, words))
-
-    def _learn(self, words: list[str], tokenizer: Tokenizer, texts: list[str]) -> None:
-        encoded = tokenizer.encode_batch_fast(texts, add_special_tokens=False)
-        for word, ids in zip(words, encoded):
-            self.known[word.encode()] = array("I", ids.ids).tobytes()
+        other = list(new.difference(plain))
+        for found, tokenizer, texts in (
+            (plain, self.merges, spelled),
+            (other, self.whole, other),
+        ):
+            encoded = tokenizer.encode_batch_fast(texts, add_special_tokens=False)
+            for part, ids in zip(found, encoded):
+                self.parts[part] = np.array(ids.ids, dtype="<u4").tobytes()
 
 
 @lru_cache(maxsize=1)
@@ -85,34 +97,69 @@ def _encoder(path: str) -> _WordEncoder:
     return _WordEncoder(path)
 
 
-def token_ids(text: str | None, path: str) -> np.ndarray:
-    """Ids of a whole text.
+def word_parts(word: str) -> list[str]:
+    """Parts of a word that the tokenizer never joins: their ids in a row are the word's ids.
 
-    The tokenizer never joins characters across white space, so a text is encoded word by word
-    and each distinct word once; a long text is taken in slices of words. Words of lower-case
-    Latin letters go straight to the merges; all others through the whole tokenizer.
+    A run of letters never shares a token with its neighbours. Words with contractions, special
+    tokens or other scripts stay whole; in the others case is dropped before, as the tokenizer
+    does, so that more parts are alike.
     """
-    encoder = _encoder(path)
-    # Cut at the six white space bytes; any other white space stays inside its word.
-    words = (text or "").encode().split()
-    slices = range(0, len(words), WORDS_AT_ONCE)
-    parts = [encoder.encode(words[start : start + WORDS_AT_ONCE]) for start in slices]
-    return np.frombuffer(b"".join(parts), dtype="<u4")
+    if "'" in word or "<|" in word or not (word.isascii() or _OTHER.search(word) is None):
+        return [word]
+    return _RUNS.findall(word.lower())
+
+
+def _slices(text: bytes) -> Iterator[bytes]:
+    """The text cut before white space into slices of bounded size; a longer word stays whole."""
+    start = 0
+    while len(text) - start > SLICE_BYTES:
+        space = _SPACE.search(text, start + SLICE_BYTES)
+        if not space:
+            break
+        yield text[start : space.start()]
+        start = space.start()
+    yield text[start:]
 
 
-def _stem_and_marks(word: str) -> tuple[str, ...]:
-    """A word as stem and closing marks, so that forms of one stem are encoded once.
+def token_ids(texts: Iterable[str | None], path: str) -> Iterator[np.ndarray]:
+    """Ids of each whole text, in order.
 
-    A run of letters never shares a token with the marks behind it, and the tokenizer lower-cases
-    itself; ASCII case is dropped here unless the word may hold a special token.
+    The tokenizer never joins characters across white space, so each distinct word of some
+    neighbouring texts is encoded once. Words are cut at the six ASCII white space characters;
+    any other white space stays inside its word.
     """
-    stem = word.rstrip(MARKS)
-    if not stem or not stem[-1].isalpha():
-        return (word,)
-    marks = word[len(stem) :]
-    if "<" not in stem and stem.isascii():
-        stem = stem.lower()
-    return (stem, marks) if marks else (stem,)
+    short: list[bytes] = []
+    size = 0
+    for text in texts:
+        data = (text or "").encode()
+        if size + len(data) > SLICE_BYTES:
+            yield from _ids_of(short, path)
+            short, size = [], 0
+        if len(data) > SLICE_BYTES:
+            # One slice at a time; only the ids of a long text are held whole.
+            yield np.concatenate([ids for part in _slices(data) for ids in _ids_of([part], path)])
+        else:
+            short.append(data)
+            size += len(data)
+    yield from _ids_of(short, path)
+
+
+def _ids_of(texts: list[bytes], path: str) -> Iterator[np.ndarray]:
+    """Ids of each text: distinct words are encoded, and their ids gathered in text order."""
+    lists = pc.ascii_split_whitespace(pa.array(texts, pa.binary()).cast(pa.string()))
+    words = lists.flatten().dictionary_encode()
+    encoded = _encoder(path).encode(words.dictionary.to_pylist())
+    flat = np.frombuffer(b"".join(encoded), dtype="<u4")
+    sizes = np.fromiter(map(len, encoded), np.int64, len(encoded)) // 4
+    starts = np.cumsum(sizes) - sizes
+    at = words.indices.to_numpy()
+    lengths = sizes[at]
+    ends = np.cumsum(lengths)
+    place = np.repeat(starts[at] - ends + lengths, lengths) + np.arange(lengths.sum())
+    gathered = flat[place]
+    bounds = np.append(0, ends)[lists.offsets.to_numpy()]
+    for begin, end in zip(bounds, bounds[1:]):
+        yield gathered[begin:end]
 
 
 def pieces_of(ids: np.ndarray, limit: int) -> Iterator[tuple[int, int, int, int]]:
@@ -131,10 +178,9 @@ def tokenised_pieces(
         end = np.array([end_id], dtype="<u4")
         for batch in batches:
             rows = []
-            for i in range(batch.num_rows):
-                ids = np.concatenate([token_ids(batch["text"][i].as_py(), path), end])
-                own = batch["id"][i].as_py()
-                rows.extend((own, *piece) for piece in pieces_of(ids, limit))
+            texts = (text.as_py() for text in batch["text"])
+            for own, ids in zip(batch["id"].to_pylist(), token_ids(texts, path)):
+                rows.extend((own, *piece) for piece in pieces_of(np.append(ids, end), limit))
             columns = list(zip(*rows)) or [()] * 5
             kinds = [pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.int64()]
             names = ["id", "piece", "start", "length", "ids_crc32"]
