@@ -32,7 +32,7 @@ from trapiche.sinks.writers import store
 WINDOW_WORDS = 50
 MINIMISER_WORDS = 8
 # Documents of one minimiser above which its windows are settled by digest.
-HOT_DOCUMENTS = 2_000
+HOT_DOCUMENTS = 1_000
 # Windows by digest that one task compares, about.
 SLOT_WINDOWS = 500_000
 # Bytes of packed strings whose windows are sorted together.
@@ -299,7 +299,7 @@ def drop_repeated_windows(
     wanted = store(
         tuples.join(shared, "minimiser")
         .groupBy("id", "mark")
-        .agg(F.collect_list(F.struct("minimiser", "documents")).alias("shared"))
+        .agg(F.collect_set(F.struct("minimiser", "documents")).alias("shared"))
     )
     texts = rows.select("id", "mark", "text").join(wanted, ["id", "mark"])
     cold = (
@@ -333,7 +333,7 @@ def drop_repeated_windows(
         )
         found = cold.union(settled.where("slot IS NULL").select(*_SPANS)).union(between)
     spans = store(
-        found.groupBy("id", "mark").agg(F.collect_list(F.struct("begin", "end")).alias("spans"))
+        found.groupBy("id", "mark").agg(F.collect_set(F.struct("begin", "end")).alias("spans"))
     )
     cut = rows.join(spans, ["id", "mark"], "left").select("id", "has_id", "text", "spans")
     return cut.mapInArrow(
