@@ -2,15 +2,51 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable
+import functools
+import shutil
+import tempfile
+from collections.abc import Callable, Iterable
+from pathlib import Path
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+import trapiche
+
 # What the contracts call white space.
 SPACE_BYTES = r"[\x20\x09-\x0D]"
 
 
+_shipped: set[str] = set()
+
+
+def ship_library(spark: SparkSession) -> None:
+    """Send this package to the executors, once per application, in case it is not installed there.
+
+    Functions that run inside tasks are imported from it.
+    """
+    context = spark.sparkContext
+    if context.applicationId in _shipped:
+        return
+    package = Path(trapiche.__file__).parent
+    where = tempfile.mkdtemp(prefix="trapiche-")
+    context.addPyFile(
+        shutil.make_archive(f"{where}/trapiche", "zip", package.parent, package.name)
+    )
+    _shipped.add(context.applicationId)
+
+
+def on_executors(query: Callable[..., DataFrame]) -> Callable[..., DataFrame]:
+    """A query or stage, called with the session first, whose tasks find this package."""
+
+    @functools.wraps(query)
+    def run(spark: SparkSession, *args) -> DataFrame:
+        ship_library(spark)
+        return query(spark, *args)
+
+    return run
+
+
 def fresh(df: DataFrame, *names: str) -> list[str]:
     """Column names close to `names` that the DataFrame does not have, whatever its case."""
     taken = {c.lower() for c in df.columns}

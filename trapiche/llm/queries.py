@@ -8,6 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from trapiche.llm.common import on_executors
 from trapiche.llm.decontaminate import find_leaks
 from trapiche.llm.exact_dedup import exact_dedup
 from trapiche.llm.language import identify_languages
@@ -89,7 +90,7 @@ def op10_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup(docs).select("doc_id", "keep_id", "group_size", "kept", "text_sha256")
 
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+_OPERATORS: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_substring_dedup": op1_substring_dedup,
     "op2_html_extraction": op2_html_extraction,
     "op3_best_fit_packing": op3_best_fit_packing,
@@ -102,6 +103,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op10_exact_dedup": op10_exact_dedup,
 }
 
+QUERIES = {name: on_executors(query) for name, query in _OPERATORS.items()}
+
 _SINGLE_SPACED = r"regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]+', ' ', 'g')"
 
 # A word goes if one of the windows that cover it starts in a document with a smaller id.
