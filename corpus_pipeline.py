@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from trapiche.llm.common import fresh
+from trapiche.llm.common import fresh, on_executors
 from trapiche.llm.decontaminate import find_leaks
 from trapiche.llm.exact_dedup import exact_dedup
 from trapiche.llm.language import UNDETERMINED, identify_languages
@@ -56,11 +56,11 @@ def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 STAGES = [
-    ("language_id", language_id),
-    ("exact_dedup", exact_duplicates),
-    ("simhash_near_dedup", near_duplicates),
-    ("benchmark_decontamination", decontamination),
-    ("best_fit_packing", packing),
+    ("language_id", on_executors(language_id)),
+    ("exact_dedup", on_executors(exact_duplicates)),
+    ("simhash_near_dedup", on_executors(near_duplicates)),
+    ("benchmark_decontamination", on_executors(decontamination)),
+    ("best_fit_packing", on_executors(packing)),
 ]
 
 
