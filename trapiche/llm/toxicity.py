@@ -158,7 +158,10 @@ def train_chain(
     chosen = label_rows.select("*", at.alias("at")).where(F.col("at") < bound)
     rank = F.row_number().over(Window.partitionBy("labels").orderBy("at", "label_id"))
     chosen = chosen.select("*", rank.alias("rank")).where(F.col("rank") <= share)
-    texts = named(docs, id=id_col, text=text_col).join(chosen, F.col("id") == F.col("label_id"))
+    # At most `rows` ids: small enough for every task, whatever the number of documents.
+    texts = named(docs, id=id_col, text=text_col).join(
+        F.broadcast(chosen), F.col("id") == F.col("label_id")
+    )
     collected = (
         texts.select("id", "text", "labels")
         .mapInArrow(_features, "id long, labels array<int>, used binary")
@@ -204,7 +207,8 @@ def score_toxicity(
             yield pd.DataFrame(odds, columns=fields, dtype=float)
 
     found, flagged, *names = fresh(docs, "found", "flagged", *[f"p_{c}" for c in categories])
-    judged = docs.withColumn(found, scores(F.col(f"`{text_col}`")))
+    # Not called deterministic, lest a filter on the result computes it a second time.
+    judged = docs.withColumn(found, scores.asNondeterministic()(F.col(f"`{text_col}`")))
     return judged.select(
         *[F.col(f"`{c}`") for c in docs.columns],
         *[F.col(f"{found}.{f}").alias(n) for f, n in zip(fields, names)],
