@@ -17,6 +17,11 @@ import trapiche
 SPACE_BYTES = r"[\x20\x09-\x0D]"
 
 
+# Rows of an Arrow batch at most: rows are whole documents, and a batch is held several times on
+# its way through a Python worker.
+BATCH_ROWS = 1_000
+_BATCH_ROWS_KEY = "spark.sql.execution.arrow.maxRecordsPerBatch"
+
 _shipped: set[str] = set()
 
 
@@ -37,11 +42,16 @@ def ship_library(spark: SparkSession) -> None:
 
 
 def on_executors(query: Callable[..., DataFrame]) -> Callable[..., DataFrame]:
-    """A query or stage, called with the session first, whose tasks find this package."""
+    """A query or stage, called with the session first, whose tasks find this package.
+
+    The session's Arrow batches are made small enough for whole documents.
+    """
 
     @functools.wraps(query)
     def run(spark: SparkSession, *args) -> DataFrame:
         ship_library(spark)
+        if not 0 < int(spark.conf.get(_BATCH_ROWS_KEY, "0")) <= BATCH_ROWS:
+            spark.conf.set(_BATCH_ROWS_KEY, str(BATCH_ROWS))
         return query(spark, *args)
 
     return run

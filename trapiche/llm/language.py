@@ -178,15 +178,16 @@ def _sample(labelled: DataFrame, rows: int) -> DataFrame:
 
 def _sparse(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        found = [ngram_counts(t.as_py()) for t in batch["text"]]
-        packed = [None if c is None else _packed(c) for c in found]
+        packed = [_packed(ngram_counts(t.as_py())) for t in batch["text"]]
         yield pa.RecordBatch.from_arrays(
             [batch["id"], batch["lang"], pa.array(packed, pa.binary())], ["id", "lang", "packed"]
         )
 
 
-def _packed(counts: np.ndarray) -> bytes:
+def _packed(counts: np.ndarray | None) -> bytes | None:
     """Used features, then how often each occurs."""
+    if counts is None:
+        return None
     used = np.flatnonzero(counts)
     return np.stack([used, counts[used]]).astype("<i4").tobytes()
 
@@ -249,7 +250,8 @@ def predict_of(text: Column, model: Weights) -> Column:
         for batch in batches:
             yield pd.DataFrame([model.predict(t) for t in batch], columns=["lang_pred", "score"])
 
-    return predict(text)
+    # Not called deterministic, lest a filter on the result computes it a second time.
+    return predict.asNondeterministic()(text)
 
 
 def identify_languages(
