@@ -24,7 +24,7 @@ END_ID = 1
 # Pieces packed together; blocks are dealt by hash, so their sizes are even.
 BLOCK_PIECES = 20_000
 # Words, and parts of words, that a worker keeps with their ids (about 250 bytes each).
-WORDS_KEPT = 1_000_000
+WORDS_KEPT = 500_000
 # Bytes of text encoded at a time, which bounds the memory of a very long text.
 SLICE_BYTES = 1 << 23
 PIECE_SCHEMA = "id long, piece int, start long, length long, ids_crc32 long"
