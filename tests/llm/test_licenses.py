@@ -5,7 +5,7 @@ from collections import Counter
 import pytest
 from pyspark.sql import functions as F
 
-from trapiche.llm.licenses import TEMPLATES, scan_licenses
+from trapiche.llm.licenses import TEMPLATES, full_texts, scan_licenses
 
 MIT, GPL = "Released under the MIT License.", (
     "This work is licensed under the GNU General Public License, version 3."
@@ -97,3 +97,24 @@ def test_no_python_in_the_plan(spark, capsys):
     files = spark.createDataFrame([("a/b", MIT)], "path string, text string")
     scan_licenses(files, F.col("path")).explain("extended")
     assert not re.search("Python|Pandas|ArrowEval|MapInArrow", capsys.readouterr().out)
+
+
+def test_whole_licence_files_speak_for_their_directory(spark):
+    texts = {name: found[0] for name, found in full_texts().items()}
+    assert set(texts) == set(TEMPLATES) - {"proprietary"}
+    rows = []
+    for name, text in texts.items():
+        filled = re.sub("<(year|owner|copyright holders)>", "2021 Jane Roe", text)
+        rows.append((f"{name}/LICENSE", filled, name, "file", None))
+        rows.append((f"{name}/src/a.py", "print(1)", name, "inherited", name))
+    rows.append(("BSD-3-Clause/src/b.py", f"x = 1\n{MIT}\ny = 2", "MIT", "header", None))
+    # Prose near a notice is no licence file, nor is a file that quotes one.
+    prose = "This work is licensed under the GNU General Public License, version 3, by Ann."
+    rows.append(("prose/one.txt", prose, "GPL-3.0", "header", None))
+    rows.append(("prose/two.txt", "nothing", None, None, None))
+    rows += [(f"much/{i}.txt", f"some other words {i} of the public", None, None, None) for i in range(200)]
+    files = spark.createDataFrame([r[:2] for r in rows], "path string, text string").repartition(3)
+    found = {r["path"]: r for r in scan_licenses(files, F.col("path")).collect()}
+    for path, _, name, origin, where in rows:
+        r = found[path]
+        assert (r["license"], r["origin"], r["license_dir"]) == (name, origin, where), path

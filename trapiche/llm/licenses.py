@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+import functools
 import math
 import re
 from collections import Counter
-from collections.abc import Callable, Mapping, Sequence
+from collections.abc import Callable, Iterable, Mapping, Sequence
+from importlib import resources
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -68,9 +70,21 @@ TEMPLATES: dict[str, tuple[str, ...]] = {
     "proprietary": ("All rights reserved", "Copyright. All rights reserved"),
 }
 
+# Words of a full text count as alike in its gate down to this part of the greatest squared weight.
+GATE_STEP = 0.6
+# Part of the squared weights of a full text that its words outside the heavy ones may have.
+HEAVY_REST = 0.18
+
 _SCORE = "struct<score: double, license: string>"
 
 
+@functools.cache
+def full_texts() -> dict[str, tuple[str, ...]]:
+    """The full texts of the public licences, by identifier."""
+    found = resources.files(__package__).joinpath("license_texts").iterdir()
+    return {f.name.removesuffix(".txt"): (f.read_text("utf-8"),) for f in sorted(found, key=str)}
+
+
 def template_words(text: str) -> list[str]:
     return re.findall("[a-z0-9]+", text.lower())
 
@@ -91,7 +105,7 @@ def inverse_frequencies(
 
     Counted before the shuffle; the driver sees one number per template word.
     """
-    known = F.array(*map(F.lit, vocabulary))
+    known = _literals(vocabulary)
     held = texts.select(F.explode(F.array_intersect(_words(F.col("text")), known)).alias("word"))
     counts = {r["word"]: r["count"] for r in held.groupBy("word").count().collect()}
     documents = row_count(texts)
@@ -99,6 +113,16 @@ def inverse_frequencies(
     return idf, math.log(1 + documents) + 1
 
 
+def _literals(words: Sequence[str]) -> Column:
+    """A constant array of template words, by one call whatever their number."""
+    return F.expr(f"split('{' '.join(words)}', ' ')") if words else F.expr("array('')")
+
+
+def _numbers(values: Iterable[float]) -> Column:
+    """A constant array of numbers, by one call."""
+    return F.expr(f"cast(split('{' '.join(map(repr, values))}', ' ') as array<double>)")
+
+
 def _weight(count: float, idf: float) -> float:
     return (1 + math.log(count)) * idf
 
@@ -123,6 +147,21 @@ def markers(vector: Mapping[str, float], least: float) -> list[str]:
     return chosen
 
 
+def gate(vector: Mapping[str, float]) -> list[tuple[list[str], float]]:
+    """The words of a full text in groups of like weight, each with its greatest squared weight.
+
+    No cosine is above the norm of the shared part of the template, so a text whose shared words
+    have less than the squared cosine by these squares cannot reach it.
+    """
+    ranked = sorted(vector.items(), key=lambda x: (-x[1], x[0]))
+    groups: list[tuple[list[str], float]] = []
+    for word, value in ranked:
+        if not groups or value * value < groups[-1][1] * GATE_STEP:
+            groups.append(([], value * value))
+        groups[-1][0].append(word)
+    return groups
+
+
 def _norm(words: Column, idf: Column, other: float) -> Column:
     """Length of the TF-IDF vector of all words, by one pass over the sorted words."""
     start = F.struct(
@@ -183,6 +222,115 @@ def _best(
     )
 
 
+def heavy_words(vector: Mapping[str, float], least: float) -> tuple[list[str], int]:
+    """The heaviest words of a full text, and how many of them any text within `least` shares.
+
+    The other words have HEAVY_REST of the squares at most, so these must bring what is missing.
+    """
+    rest, words, mass, needed = 1.0, [], 0.0, 0
+    ranked = sorted(vector.items(), key=lambda x: (-x[1], x[0]))
+    for word, value in ranked:
+        if rest <= HEAVY_REST:
+            break
+        words.append(word)
+        rest -= value * value
+    for word in words:
+        if mass + 1e-9 >= least * least - max(rest, 0.0):
+            break
+        mass += vector[word] ** 2
+        needed += 1
+    return words, needed
+
+
+def _passes(
+    text: Column, vectors: Sequence[tuple[str, dict[str, float]]], least: float
+) -> Column:
+    """Whether a text shares enough of some full text's words to be within `least` of it."""
+
+    def mass(own: Column, vector: dict[str, float]) -> Column:
+        parts = [
+            F.size(F.array_intersect(own, _literals(words))) * F.lit(greatest)
+            for words, greatest in gate(vector)
+        ]
+        return sum(parts, F.lit(0.0))
+
+    heavy = [heavy_words(vector, least) for _, vector in vectors]
+    every = sorted({w for words, _ in heavy for w in words})
+    fewest = min(needed for _, needed in heavy)
+    enough = least * least - 1e-9
+
+    def any_passes(words: Column, own: Column) -> Column:
+        tests = [
+            (F.size(F.array_intersect(own, _literals(some))) >= needed)
+            & (mass(words, vector) >= enough)
+            for (some, needed), (_, vector) in zip(heavy, vectors)
+        ]
+        return functools.reduce(lambda x, y: x | y, tests)
+
+    # The constant set of heavy words is built once, not for each text.
+    return _let(
+        _words(text),
+        lambda words: _let(
+            F.array_distinct(F.filter(words, lambda w: w.isin(every))),
+            lambda own: (F.size(own) >= fewest) & any_passes(words, own),
+        ),
+    )
+
+
+def full_matches(
+    texts: DataFrame,
+    vectors: Sequence[tuple[str, dict[str, float]]],
+    idf: dict[str, float],
+    other: float,
+    least: float,
+) -> DataFrame:
+    """`digest` and `full`, the nearest full text, of each distinct text within `least` of one."""
+    spark = texts.sparkSession
+    passed = texts.where(_passes(F.col("text"), vectors, least))
+    counted = (
+        passed.select(F.sha2("text", 256).alias("digest"), "text")
+        .dropDuplicates(["digest"])
+        .select("digest", F.explode(_words(F.col("text"))).alias("word"))
+        .groupBy("digest", "word")
+        .count()
+    )
+    forms = spark.range(1).select(
+        F.explode(
+            F.array(
+                *[
+                    F.struct(
+                        F.lit(name).alias("license"),
+                        F.lit(number).alias("form"),
+                        F.arrays_zip(
+                            _literals(list(vector)).alias("word"),
+                            _numbers(vector.values()).alias("value"),
+                        ).alias("words"),
+                    )
+                    for number, (name, vector) in enumerate(vectors)
+                ]
+            )
+        ).alias("f")
+    )
+    forms = forms.select("f.license", "f.form", F.inline("f.words").alias("word", "value"))
+    known = spark.range(1).select(
+        F.inline(F.arrays_zip(_literals(list(idf)), _numbers(idf.values()))).alias("word", "idf")
+    )
+    weighed = counted.join(known, "word", "left").select(
+        "digest",
+        "word",
+        ((1 + F.log("count")) * F.coalesce("idf", F.lit(other))).alias("weight"),
+    )
+    norms = weighed.groupBy("digest").agg(F.sqrt(F.sum(F.col("weight") ** 2)).alias("norm"))
+    dots = (
+        weighed.join(forms, "word")
+        .groupBy("digest", "form", "license")
+        .agg(F.sum(F.col("weight") * F.col("value")).alias("dot"))
+    )
+    score = F.struct((F.col("dot") / F.col("norm")).alias("score"), "license")
+    best = dots.join(norms, "digest").groupBy("digest").agg(F.max(score).alias("full"))
+    return best.where(F.col("full")["score"] >= least)
+
+
 def directory_of(path: Column) -> Column:
     """The path without its last part; the empty text for a path without directories."""
     return F.regexp_replace(path, "(^|/)[^/]*$", "")
@@ -205,11 +353,14 @@ def scan_licenses(
     text_col: str = "text",
     templates: Mapping[str, Sequence[str]] = TEMPLATES,
     least: float = LEAST_COSINE,
+    texts: Mapping[str, Sequence[str]] | None = None,
 ) -> DataFrame:
     """Every row with `license`, `score`, `origin` and `license_dir` beside its own columns.
 
-    A file whose whole text is within `least` cosine of a template is a licence file (`file`)
-    and speaks for its directory. Else the best line of the whole text counts (`header`). A file
+    A file whose whole text is within `least` cosine of the full text of a licence (`texts`, the
+    public ones by default), or is within it of a notice (`templates`) and has no word that the
+    notices of that licence lack, is a licence file (`file`) and speaks for its directory. Else
+    the better of its best line and its whole text against the notices counts (`header`). A file
     with neither inherits (`inherited`) from the licence file of its nearest directory upwards;
     of several in one directory the highest score counts, then the last name. Others have a
     null license and score 0. Null texts, empty texts and null paths match nothing; a null path
@@ -218,35 +369,66 @@ def scan_licenses(
     join that adaptive execution splits.
     """
     forms = [(name, template_words(text)) for name, texts in templates.items() for text in texts]
+    texts = full_texts() if texts is None else texts
+    wholes = [(name, template_words(text)) for name, found in texts.items() for text in found]
     vocabulary = sorted({w for _, words in forms for w in words})
-    idf, other = inverse_frequencies(
-        files.select(F.col(f"`{text_col}`").alias("text")).where("text IS NOT NULL"), vocabulary
-    )
+    full_vocabulary = sorted({w for _, words in wholes for w in words})
+    bodies = files.select(F.col(f"`{text_col}`").alias("text")).where("text IS NOT NULL")
+    every, other = inverse_frequencies(bodies, sorted({*vocabulary, *full_vocabulary}))
+    idf = {w: every[w] for w in vocabulary}
+    full_idf = {w: every[w] for w in full_vocabulary}
+    full_vectors = [(name, unit_vector(words, full_idf)) for name, words in wholes]
     vectors = [(name, unit_vector(words, idf)) for name, words in forms]
     marked = sorted({m for _, vector in vectors for m in markers(vector, least)})
     may_match = rf"(?<![a-z0-9])(?:{'|'.join(marked)})(?![a-z0-9])"
 
-    directory, whole, line, *result = fresh(
-        files, "directory", "whole", "line", "license", "score", "origin", "license_dir"
+    directory, whole, line, full, digest, *result = fresh(
+        files, "directory", "whole", "line", "full", "digest",
+        "license", "score", "origin", "license_dir",
     )
     nothing = F.lit(None).cast(_SCORE)
     body = F.col(f"`{text_col}`")
     candidate = F.coalesce(F.lower(body).rlike(may_match), F.lit(False))
     lines = F.filter(F.split(body, "[\r\n]+"), lambda x: F.lower(x).rlike(may_match))
     line_scores = F.transform(lines, lambda x: _best(x, vectors, idf, other))
-    scored = files.withColumns(
+    # The words of each licence's notices: a file of nothing else is a licence file.
+    said = F.create_map(
+        *[
+            x
+            for name, found in templates.items()
+            for x in (
+                F.lit(name),
+                _literals(sorted({w for text in found for w in template_words(text)})),
+            )
+        ]
+    )
+
+    def judged(best: Column) -> Column:
+        only = F.size(F.array_except(_words(body), said[best["license"]])) == 0
+        return F.struct(
+            best.alias("best"), F.when((best["score"] >= least) & only, best).alias("spoken")
+        )
+
+    keyed = files.withColumn(full, nothing)
+    if wholes:
+        matches = store(full_matches(bodies, full_vectors, full_idf, other, least))
+        matches = matches.select(F.col("digest").alias(digest), F.col("full").alias(full))
+        keyed = files.withColumn(digest, F.sha2(body, 256)).join(matches, digest, "left")
+    scored = keyed.withColumns(
         {
             directory: directory_of(path),
-            whole: F.when(candidate, _best(body, vectors, idf, other)).otherwise(nothing),
+            whole: F.when(candidate, _let(_best(body, vectors, idf, other), judged)),
             line: F.when(candidate, F.array_max(line_scores)).otherwise(nothing),
         }
     )
-
     def sure(score: Column) -> Column:
         return F.when(score["score"] >= least, score)
 
+    def speaks(row: str = "") -> Column:
+        return F.coalesce(F.col(row + full), F.col(row + whole)["spoken"])
+
     speaking = scored.select(
-        F.col(directory).alias("directory"), sure(F.col(whole)).alias("found")
+        F.col(directory).alias("directory"), speaks().alias("found")
     ).where("found IS NOT NULL AND directory IS NOT NULL")
     licensed = store(speaking.groupBy("directory").agg(F.max("found").alias("found")))
     directories = scored.select(F.col(directory).alias("of")).where("of IS NOT NULL").distinct()
@@ -259,7 +441,8 @@ def scan_licenses(
     rows = scored.alias("rows").join(
         nearest.alias("near"), F.col(f"rows.{directory}") == F.col("near.of"), "left"
     )
-    own, head = sure(F.col(f"rows.{whole}")), sure(F.col(f"rows.{line}"))
+    own = speaks("rows.")
+    head = _let(F.greatest(F.col(f"rows.{whole}")["best"], F.col(f"rows.{line}")), sure)
     inherited = F.col("near.nearest.found")
     found = F.coalesce(own, head, inherited)
     origin = (
