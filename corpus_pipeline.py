@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from trapiche.llm.common import fresh, on_executors
-from trapiche.llm.decontaminate import find_leaks
+from trapiche.llm.decontaminate import flag_leaks
 from trapiche.llm.exact_dedup import exact_dedup
 from trapiche.llm.language import UNDETERMINED, identify_languages
 from trapiche.llm.packing import pack_documents
@@ -47,8 +47,8 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that hold no benchmark item."""
     benchmark = spark.read.parquet(f"{sf_dir}/benchmark.parquet")
-    leaks = store(find_leaks(docs, benchmark).select(F.col("id").alias("leaked")).distinct())
-    return docs.join(leaks, docs["doc_id"].eqNullSafe(leaks["leaked"]), "left_anti")
+    leaks = fresh(docs, "leaks")[0]
+    return flag_leaks(docs, benchmark, leaks).where(~F.col(leaks)).select(*docs.columns)
 
 
 def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

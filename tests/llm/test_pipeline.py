@@ -12,7 +12,7 @@ from tokenizers import Tokenizer
 
 import corpus_pipeline
 from trapiche.llm import queries
-from trapiche.llm.decontaminate import error_budget, plain
+from trapiche.llm.decontaminate import error_budget, flag_leaks, plain
 
 ITEMS = [(0, "the licence of the bard and the tomb of the singer of songs"), (1, "short item"), (2, None)]
 
@@ -97,3 +97,21 @@ def test_one_query_for_each_operator():
     numbers = sorted(int(name[2:].split("_")[0]) for name in queries.QUERIES)
     assert numbers == list(range(1, 11))
     assert set(queries.ORACLE_SQL) <= set(queries.QUERIES)
+
+
+def test_leaks_are_judged_row_by_row(spark, folder, documents):
+    leak = f"before {ITEMS[0][1]} after"
+    rows = [(None, leak), (None, "clean one"), (None, None), (7, "clean two"), (7, leak), (8, "")]
+    decontaminate = dict(corpus_pipeline.STAGES)["benchmark_decontamination"]
+    kept = decontaminate(spark, documents(rows), folder).collect()
+    expected = [(own, text) for own, text in rows if text != leak]
+    assert sorted(((r["doc_id"], r["text"]) for r in kept), key=str) == sorted(expected, key=str)
+
+
+def test_flags_in_several_passes(spark, documents):
+    items = spark.createDataFrame(ITEMS, "item_id long, text string")
+    docs = documents([(1, f"x {ITEMS[0][1]}"), (1, "a short item"), (None, "none")])
+    flagged = flag_leaks(docs, items, "leaks", block_chars=20).collect()
+    assert sorted((r["text"], r["leaks"]) for r in flagged) == [
+        ("a short item", True), ("none", False), (f"x {ITEMS[0][1]}", True)
+    ]

@@ -172,17 +172,60 @@ def find_leaks(
     passes as keep their characters within `block_chars`.
     """
     base = named(docs, id=id_col, text=text_col)
-    items = named(benchmark, id=item_id_col, text=item_text_col).where("text <> ''")
+    found = None
+    for part in _item_blocks(benchmark, item_id_col, item_text_col, block_chars):
+        matches = base.mapInArrow(_search(part, rate), MATCH_SCHEMA)
+        found = matches if found is None else found.union(matches)
+    return found
+
+
+def flag_leaks(
+    docs: DataFrame,
+    benchmark: DataFrame,
+    flag: str,
+    text_col: str = "text",
+    item_id_col: str = "item_id",
+    item_text_col: str = "text",
+    rate: float = ERROR_RATE,
+    block_chars: int = BLOCK_CHARS,
+) -> DataFrame:
+    """Every row of `docs` with `flag`: whether its own text holds an item, as in `find_leaks`.
+
+    `flag` is a name that `docs` does not have. Ids play no part, so null or repeated ones are
+    judged row by row, and nothing is shuffled.
+    """
+    found = docs.withColumn(flag, F.lit(False))
+    at = docs.columns.index(text_col)
+    for part in _item_blocks(benchmark, item_id_col, item_text_col, block_chars):
+        found = found.mapInArrow(_flag(part, rate, at), found.schema)
+    return found
+
+
+def _item_blocks(
+    benchmark: DataFrame, id_col: str, text_col: str, block_chars: int
+) -> Iterator[list[tuple[int, str]]]:
+    """The distinct items in parts of about `block_chars` characters; one part at least."""
+    items = named(benchmark, id=id_col, text=text_col).where("text <> ''")
     items = items.groupBy("id", "text").count().drop("count")
     chars = items.agg(F.coalesce(F.sum(F.length("text")), F.lit(0))).first()[0]
     blocks = max(1, -(-chars // block_chars))
     block = F.pmod(F.xxhash64("id", "text"), F.lit(blocks))
-    found = None
     for number in range(blocks):
-        part = [(row[0], row[1]) for row in items.where(block == number).collect()]
-        matches = base.mapInArrow(_search(part, rate), MATCH_SCHEMA)
-        found = matches if found is None else found.union(matches)
-    return found
+        yield [(row[0], row[1]) for row in items.where(block == number).collect()]
+
+
+def _flag(items: list[tuple[int, str]], rate: float, at: int):
+    def flag(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        searcher = Searcher(items, rate)
+        for batch in batches:
+            held = [
+                done.as_py() or any(True for _ in searcher.find(plain(text.as_py())))
+                for text, done in zip(batch.column(at), batch.column(batch.num_columns - 1))
+            ]
+            columns = [*batch.columns[:-1], pa.array(held, pa.bool_())]
+            yield pa.RecordBatch.from_arrays(columns, names=batch.schema.names)
+
+    return flag
 
 
 def _search(items: list[tuple[int, str]], rate: float):
