@@ -565,3 +565,10 @@ select zafra, round(siguiente_cana, 2), round(siguiente_azucar, 1), 'pronostico'
     arg_min(zafra, azucar_producida_total) as zafra_minimo,
     arg_max(zafra, azucar_producida_total) as zafra_maximo from seasons) s""",
 }
+# The same rows by other ways: tables brought up to date by two runs, models of stored moments.
+ORACLE_SQL["incremental_seasons"] = ORACLE_SQL["feed_etl"]
+ORACLE_SQL["incremental_detail"] = _with(TO_DETAIL) + (
+    f"select 'M' || ingenio as ingenio, zafra, {ROUNDED}, {YIELDS} from detail"
+)
+ORACLE_SQL["moments_mill_fit"] = ORACLE_SQL["mill_fit"]
+ORACLE_SQL["moments_ols_stats"] = ORACLE_SQL["ols_stats"]

@@ -18,6 +18,7 @@ from trapiche.config import DEFAULT_SPEC as SPEC
 from trapiche.functions.numbers import missing_to_null
 from trapiche.operators import conform, filters, forecast, kpi, regression, rollup, scoring, series
 from trapiche.operators.derive import derive_yields, scale_columns, with_start_year
+from trapiche.operators.moments import fit_moments, moments
 from trapiche.operators.snapshot import latest_snapshot
 from trapiche.plans.dashboard import (
     DashboardState,
@@ -26,6 +27,7 @@ from trapiche.plans.dashboard import (
     filtered_top,
     load_state,
 )
+from trapiche.plans import incremental
 from trapiche.plans.etl import run_etl
 from trapiche.plans.modelling import run_model
 from trapiche.sinks.writers import store, work_folder, write_csv, write_model, write_record
@@ -216,6 +218,45 @@ def q_feed_etl(spark, sf_dir):
     return rounded_seasons(stored)
 
 
+def _weekly_folder(spark: SparkSession, sf_dir: str) -> tuple[str, Callable[[int], None]]:
+    """Feeds in two steps: the second one corrects some files and adds others."""
+    folder = work_folder(spark)
+    text = store(_named_producers(text_panel(panel(spark, sf_dir))), f"{folder}/text")
+    first, second = _two_headers(text)
+    early = F.col(SPEC.season) < "1998"
+
+    def step(number: int) -> None:
+        if number == 1:
+            # An early report of the first file: every other week is still missing.
+            write_csv(first.where(f"{SPEC.period} % 2 = 1"), f"{folder}/raw/a")
+            write_csv(second.where(early), f"{folder}/raw/b")
+        else:
+            write_csv(first, f"{folder}/raw/a")
+            write_csv(second.where(~early), f"{folder}/raw/c")
+
+    return f"{folder}/raw/*", step
+
+
+def _updated(spark: SparkSession, sf_dir: str) -> str:
+    """Root of tables that two runs brought up to date, the second reading what changed."""
+    raw, step = _weekly_folder(spark, sf_dir)
+    root = work_folder(spark)
+    for number in (1, 2):
+        step(number)
+        incremental.update_tables(spark, raw, root, WIDE)
+    return root
+
+
+def q_incremental_seasons(spark, sf_dir):
+    found = incremental.published(spark, _updated(spark, sf_dir), incremental.SEASONS, WIDE)
+    return rounded_seasons(found)
+
+
+def q_incremental_detail(spark, sf_dir):
+    found = incremental.published(spark, _updated(spark, sf_dir), incremental.DETAIL, WIDE)
+    return rounded_detail(found.drop(*SPEC.reported_yields))
+
+
 def q_feed_folders(spark, sf_dir):
     """Feeds of equal base names in several folders, one of them unreadable."""
     folder = _raw_folder(spark, sf_dir).removesuffix("/*")
@@ -381,7 +422,10 @@ def q_mill_fit(spark, sf_dir):
 
 
 def q_ols_stats(spark, sf_dir):
-    stats = full_stats(latest(spark, sf_dir))
+    return _flat_stats(full_stats(latest(spark, sf_dir)))
+
+
+def _flat_stats(stats: DataFrame) -> DataFrame:
     flat = stats.select(
         *["n", "b0", "b1", "se_b0", "se_b1", "t_b0", "t_b1", "p_b0", "p_b1", "p_f", "R2", "R2_adj"],
         *["F_stat", "MSE", "SSE", "SSR", "SST", "t_crit"],
@@ -400,6 +444,20 @@ def q_ols_stats(spark, sf_dir):
     )
 
 
+def stored_moments(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return store(moments(latest(spark, sf_dir), KEYS))
+
+
+def q_moments_mill_fit(spark, sf_dir):
+    model = fit_moments(stored_moments(spark, sf_dir), [SPEC.producer])
+    return rounded(model.select(SPEC.producer, "n", "x_mean", "b0", "b1"), x_mean=4, b0=1, b1=4)
+
+
+def q_moments_ols_stats(spark, sf_dir):
+    """Inference from stored moments alone."""
+    return _flat_stats(regression.inference(fit_moments(stored_moments(spark, sf_dir))))
+
+
 def q_ols_second_pass(spark, sf_dir):
     rows = latest(spark, sf_dir)
     model = regression.fit(rows)

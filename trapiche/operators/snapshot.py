@@ -25,17 +25,28 @@ def latest_snapshot(
     (WindowGroupLimit), so a key that holds most of the input shuffles one row per task.
     """
     order_columns = [c for c in input_order if c in df.columns]
+    latest = latest_rows(df, (spec.producer, spec.season), spec, order_columns)
+    return latest.drop(spec.period, *order_columns)
+
+
+def latest_rows(
+    df: DataFrame,
+    keys: Sequence[str],
+    spec: FeedSpec = DEFAULT_SPEC,
+    input_order: Sequence[str] = (),
+) -> DataFrame:
+    """The row with the highest period of every key, with all its columns.
+
+    Applied per file first and over all files then, it gives the same rows as at once.
+    """
     if spec.period not in df.columns:
-        return df.drop(*order_columns)
+        return df
     if isinstance(df.schema[spec.period].dataType, T.StringType):
         period = number_or_zero(F.col(spec.period))
     else:
         period = F.coalesce(F.col(spec.period).cast("double"), F.lit(0.0))
-    latest_first = Window.partitionBy(spec.producer, spec.season).orderBy(
-        period.desc(), *[F.col(c) for c in order_columns]
-    )
-    return (
-        df.withColumn("_rank", F.row_number().over(latest_first))
-        .where(F.col("_rank") == 1)
-        .drop("_rank", spec.period, *order_columns)
+    latest_first = Window.partitionBy(*keys).orderBy(
+        period.desc(), *[F.col(c) for c in input_order]
     )
+    ranked = df.withColumn("_rank", F.row_number().over(latest_first))
+    return ranked.where(F.col("_rank") == 1).drop("_rank")

@@ -70,13 +70,15 @@ def run_etl(
     multi_line: bool = False,
     work: str | None = None,
     detail_csv: bool = False,
+    catalog: bool = True,
 ) -> EtlResult:
     """Read feeds, conform, keep the latest snapshot, derive, roll up and write everything.
 
     The feeds are parsed once, into Parquet in a folder below `work` (by default the one of
     `work_folder`): the check for unreadable files then reads three columns instead of the CSV
     again. That copy is removed at the end. The detail table is written once, partitioned by
-    season, and its files are the catalog table; the roll-up and the report read it.
+    season, and its files are the catalog table, unless `catalog` is off; the roll-up and the
+    report read it. Tables are replaced in place: `plans.incremental` publishes whole versions.
     """
     feeds = read_feeds(spark, raw_folder, spec, pattern, multi_line)
     kept = keep_columns(feeds, [*spec.kept, *LINEAGE, UNREADABLE, REPLACED])
@@ -100,7 +102,7 @@ def run_etl(
         seasons = store(season_rollup(detail, spec), seasons_path)
         report = profile(detail, spec)
         loaded = write_tables(
-            detail_path, seasons_path, report, out_folder, database, spec, detail_csv
+            detail_path, seasons_path, report, out_folder, database, spec, detail_csv, catalog
         )
     finally:
         remove_folder(spark, folder)

@@ -94,8 +94,8 @@ def write_model(model: DataFrame, path: str) -> str:
 
 @dataclass(frozen=True)
 class Loaded:
-    """Where the tables went; `tables` is None when the catalog refused them, `detail_csv` None
-    when no such copy was asked for."""
+    """Where the tables went; `tables` is None when the catalog refused them or was not asked,
+    `detail_csv` None when no such copy was asked for."""
 
     detail_csv: str | None
     season_csv: str
@@ -111,6 +111,7 @@ def write_tables(
     database: str | None = None,
     spec: FeedSpec = DEFAULT_SPEC,
     detail_csv: bool = False,
+    catalog: bool = True,
 ) -> Loaded:
     """Write the season CSV and the profile report, and register the stored tables.
 
@@ -124,6 +125,8 @@ def write_tables(
     seasons = spark.read.parquet(seasons_path)
     copied = write_csv(detail, f"{folder}/csv/detail") if detail_csv else None
     season_csv = write_csv(seasons, f"{folder}/csv/seasons")
+    if not catalog:
+        return Loaded(copied, season_csv, None, write_record(report, f"{folder}/report"))
     try:
         tables = (
             register_table(spark, f"{prefix}{DETAIL_TABLE}", detail_path, partitioned=True),

@@ -196,13 +196,11 @@ def _not_utf8(spark: SparkSession, files: Sequence[str]) -> DataFrame:
     return broken.where(~F.is_valid_utf8("value")).select(SOURCE_FILE).distinct()
 
 
-def drop_unreadable_files(df: DataFrame, folder: str | None = None) -> DataFrame:
-    """Leave out every file that has an unreadable row, and log its name.
+def unreadable_files(df: DataFrame, folder: str | None = None) -> DataFrame:
+    """Names of the files that have an unreadable row, stored below `folder`.
 
     One aggregate over three columns finds them; call it on a stored copy of the feeds. Only
-    files that show a replacement character are looked at again, as bytes. Bad files leave by an
-    anti-join, so their number does not matter to the plan. Their names are written below
-    `folder`, by default a fresh work folder.
+    files that show a replacement character are looked at again, as bytes.
     """
     folder = folder or work_folder(df)
     marked = df.where(F.col(UNREADABLE) | F.col(REPLACED)).groupBy(SOURCE_FILE)
@@ -212,6 +210,16 @@ def drop_unreadable_files(df: DataFrame, folder: str | None = None) -> DataFrame
     unsure = [row[0] for row in files.where(~F.col(UNREADABLE)).select(SOURCE_FILE).collect()]
     if unsure:
         bad = store(bad.unionByName(_not_utf8(df.sparkSession, unsure)), f"{folder}/bad")
+    return bad
+
+
+def drop_unreadable_files(df: DataFrame, folder: str | None = None) -> DataFrame:
+    """Leave out every file that has an unreadable row, and log its name.
+
+    Bad files leave by an anti-join, so their number does not matter to the plan. Their names
+    are written below `folder`, by default a fresh work folder.
+    """
+    bad = unreadable_files(df, folder)
     names = [row[0] for row in bad.orderBy(SOURCE_FILE).limit(LOGGED_FILES + 1).collect()]
     for name in names[:LOGGED_FILES]:
         log.warning("skipped %s: rows longer than the header, or not UTF-8", name)
