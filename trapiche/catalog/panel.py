@@ -11,16 +11,17 @@ from pyspark.sql import functions as F
 
 from trapiche.config import DEFAULT_SPEC as SPEC
 
-# What each measure adds up, line by line. Decimals add up to the same sum in any order.
+# What each measure adds up, line by line, and how many of that make one. Whole numbers add up to
+# the same sum in any order, and one division at the end rounds once.
 LINE_VALUES = {
-    SPEC.gross: "cast(quantity * (1 + tax) AS decimal(18, 4))",
-    SPEC.net: "quantity",
-    SPEC.area: "1",
-    SPEC.output: "price",
-    SPEC.grades[0]: "IF(l_returnflag = 'A', price, 0)",
-    SPEC.grades[1]: "IF(l_returnflag = 'N', price, 0)",
-    SPEC.grades[2]: "IF(l_returnflag = 'R', price, 0)",
-    SPEC.grades[3]: "IF(l_linestatus = 'O', price, 0)",
+    SPEC.gross: ("quantity * (100 + tax)", 10_000),
+    SPEC.net: ("quantity", 100),
+    SPEC.area: ("1L", 1),
+    SPEC.output: ("price", 100),
+    SPEC.grades[0]: ("IF(l_returnflag = 'A', price, 0L)", 100),
+    SPEC.grades[1]: ("IF(l_returnflag = 'N', price, 0L)", 100),
+    SPEC.grades[2]: ("IF(l_returnflag = 'R', price, 0L)", 100),
+    SPEC.grades[3]: ("IF(l_linestatus = 'O', price, 0L)", 100),
 }
 
 
@@ -30,15 +31,15 @@ def weekly_panel(spark: SparkSession, sf_dir: str) -> DataFrame:
         "*",
         "date(l_shipdate) AS day",
         "year(l_shipdate) - IF(month(l_shipdate) < 10, 1, 0) AS start",
-        "cast(l_quantity AS decimal(18, 2)) AS quantity",
-        "cast(l_tax AS decimal(4, 2)) AS tax",
-        "cast(l_extendedprice AS decimal(18, 2)) AS price",
+        "cast(round(l_quantity * 100) AS bigint) AS quantity",
+        "cast(round(l_tax * 100) AS bigint) AS tax",
+        "cast(round(l_extendedprice * 100) AS bigint) AS price",
     )
     # Integer keys until the data is small: labels are made from weekly sums, not from lines.
     weekly = (
         lines.selectExpr("*", "datediff(day, make_date(start, 10, 1)) div 7 + 1 AS week")
         .groupBy("l_suppkey", "start", "week")
-        .agg(*[F.expr(f"sum({value}) AS {m}") for m, value in LINE_VALUES.items()])
+        .agg(*[F.expr(f"sum({value}) AS {m}") for m, (value, _) in LINE_VALUES.items()])
         .selectExpr(
             f"string(l_suppkey) AS {SPEC.producer}",
             f"concat(start, '-', start + 1) AS {SPEC.season}",
@@ -51,7 +52,10 @@ def weekly_panel(spark: SparkSession, sf_dir: str) -> DataFrame:
         .orderBy(SPEC.period)
         .rowsBetween(Window.unboundedPreceding, Window.currentRow)
     )
-    running = [F.sum(m).over(to_date).cast("double").alias(m) for m in SPEC.summed]
+    running = [
+        (F.sum(m).over(to_date).cast("double") / float(LINE_VALUES[m][1])).alias(m)
+        for m in SPEC.summed
+    ]
     return weekly.select(SPEC.producer, SPEC.season, SPEC.period, *running)
 
 
