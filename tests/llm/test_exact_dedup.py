@@ -42,7 +42,7 @@ def brute(rows):
 
 @pytest.mark.parametrize("sent", [0, 1_000])
 def test_equals_brute_force(documents, sent):
-    found = exact_dedup(documents(ROWS), sent_digests=sent)
+    found = exact_dedup(documents(ROWS), sent_keys=sent)
     names = ("doc_id", "keep_id", "group_size", "kept", "text_sha256")
     assert {tuple(r[n] for n in names) for r in found.collect()} == brute(ROWS)
 
@@ -64,6 +64,22 @@ def test_rows_that_repeat_and_rows_without_id(documents):
     assert sum(r["kept"] for r in y) == 1 and {r["group_size"] for r in y} == {2}
 
 
+def test_one_repeated_id_shows_no_window(documents):
+    rows = [(i, f"text {i % 7}") for i in range(20)] + [(3, "text 3"), (3, "text 3"), (3, "other")]
+    found = exact_dedup(documents(rows))
+    plan = found._jdf.queryExecution().optimizedPlan().toString()
+    assert "Window" not in plan
+    kept = sorted((r["doc_id"], r["text"]) for r in found.collect() if r["kept"])
+    assert kept == sorted([(i, f"text {i}") for i in range(7)] + [(3, "other")])
+
+
+def test_only_repeated_texts_travel(documents):
+    rows = [(i, f"text {i}") for i in range(50)] + [(100, "text 3")]
+    plan = exact_dedup(documents(rows))._jdf.queryExecution().optimizedPlan().toString()
+    # One branch of the union has no join: rows of texts found once are not shuffled.
+    assert plan.count("Join") == 1 and plan.strip().startswith("Union")
+
+
 def test_empty_table_and_clashing_names(documents):
     assert exact_dedup(documents([])).collect() == []
     clash = documents([(1, "x"), (2, "x")])

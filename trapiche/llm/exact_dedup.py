@@ -4,29 +4,25 @@ A snapshot holds one row per distinct text: digest, smallest id, number of rows.
 are dealt to buckets of bounded size, each with a binary fuse filter. A later batch is first
 grouped by digest on its own; then the filter of a bucket screens the batch's digests. Only
 positives are looked up in the exact buckets, and rows that share a digest are compared byte
-by byte with the text of the row that stays. Filters over the digests found more than once keep
-all other texts out of that shuffle.
+by byte with the text of the row that stays. Digests are stored once; a filter over the rows of
+texts found more than once keeps all other rows, and their texts, out of that shuffle.
 """
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from trapiche.llm.common import copy_number, fresh, named, row_count, single_spaced
+from trapiche.llm.common import fresh, named, row_count, single_spaced
 from trapiche.llm.fuse_filter import FuseFilter, build_filter
+from trapiche.llm.key_filter import SENT_KEYS, key_filter
 from trapiche.sinks.writers import store
 
 BUCKET_ROWS = 50_000
-# Repeated digests whose filters, of nine bits each, go to every task. With more of them every
-# text travels to its digest.
-SENT_DIGESTS = 10_000_000
 
 
 def digest_of(text: Column) -> Column:
@@ -66,6 +62,11 @@ def _screen(batch: pa.Table, filters: pa.Table) -> pa.Table:
     return batch.select(["digest"]).filter(pa.array(kept))
 
 
+# Names that no input column has: digest, text, id and number of rows of what stays.
+_REPS = [f"__rep_{c}" for c in ("digest", "body", "keep_id", "size")]
+_FIRST = ["__first_digest", "__first_row"]
+
+
 def _filters(digests: DataFrame, buckets: int) -> DataFrame:
     """One binary fuse filter per bucket of `digests(digest)`."""
     dealt = digests.select("digest", _bucket(F.col("digest"), buckets).alias("bucket"))
@@ -74,36 +75,6 @@ def _filters(digests: DataFrame, buckets: int) -> DataFrame:
     )
 
 
-def may_hold(digests: DataFrame, sent: int = SENT_DIGESTS) -> Callable[[Column], Column]:
-    """A test of a digest column against filters over `digests(digest)`: no false negatives.
-
-    The filters go to every task if there are at most `sent` digests; else the test is true.
-    """
-    count = row_count(digests)
-    if count > sent:
-        return lambda digest: F.lit(True)
-    buckets = max(1, -(-count // BUCKET_ROWS))
-    made = {
-        row["bucket"]: FuseFilter(
-            row["seed"], row["segment"], np.frombuffer(row["cells"], np.uint8)
-        )
-        for row in _filters(digests, buckets).collect()
-    }
-
-    @F.pandas_udf("boolean")
-    def test(batches: Iterator[tuple[pd.Series, pd.Series]]) -> Iterator[pd.Series]:
-        for digest, bucket in batches:
-            keys = np.frombuffer(b"".join(d[:8] for d in digest), "<u8").astype(np.uint64)
-            held, number = np.zeros(len(keys), bool), bucket.to_numpy()
-            for each in np.unique(number):
-                if each in made:
-                    at = number == each
-                    held[at] = made[each].contains(keys[at])
-            yield pd.Series(held)
-
-    return lambda digest: test(digest, _bucket(digest, buckets))
-
-
 @dataclass(frozen=True)
 class Snapshot:
     """An immutable set of texts: exact rows per digest, and one filter per bucket."""
@@ -147,7 +118,7 @@ def exact_dedup(
     id_col: str = "doc_id",
     text_col: str = "text",
     bucket_rows: int = BUCKET_ROWS,
-    sent_digests: int = SENT_DIGESTS,
+    sent_keys: int = SENT_KEYS,
 ) -> DataFrame:
     """Every row with `keep_id`, `group_size`, `kept` and `text_sha256` beside its own columns.
 
@@ -157,53 +128,73 @@ def exact_dedup(
     id exactly one is kept. Rows whose digest agrees and whose bytes do not are not duplicates.
     An empty table gives an empty result. Hot texts: digests are counted before the shuffle and
     the rows of a hot text meet its one stored row in a join that adaptive execution splits.
+    With more than `sent_keys` rows of repeated texts, all rows travel.
     """
-    buckets = max(1, -(-row_count(docs) // (2 * bucket_rows)))
-    base = named(docs, id=id_col, text=text_col)
+    base = named(docs, id=id_col, text=text_col).withColumn("mark", F.xxhash64("id", "text"))
+    digested = store(base.select("id", "mark", digest_of(F.col("text")).alias("digest")))
+    buckets = max(1, -(-row_count(digested) // (2 * bucket_rows)))
     in_snapshot = F.pmod(F.xxhash64("id"), F.lit(2)) == 0
-
-    def digests(part: DataFrame) -> DataFrame:
-        return part.select("id", digest_of(F.col("text")).alias("digest"))
-
-    snapshot = build_snapshot(digests(base.where(in_snapshot)), buckets)
-    batch = store(group_by_digest(digests(base.where(~in_snapshot))))
+    rows = digested.select("id", "digest")
+    snapshot = build_snapshot(rows.where(in_snapshot), buckets)
+    batch = store(group_by_digest(rows.where(~in_snapshot)))
     screened = store(screen(batch, snapshot))
     met = screened.where("known_size IS NOT NULL")
     size = F.col("size") + F.coalesce("known_size", F.lit(0))
-    repeated = (
+    repeated = store(
         screened.select("digest", F.least("keep_id", "known_id").alias("keep_id"), size.alias("size"))
         .union(snapshot.groups.join(met.select("digest"), "digest", "left_anti"))
         .where("size > 1")
-        .select(F.col("digest").alias("rep_digest"), "keep_id", "size")
     )
-    repeated = store(repeated)
-    travels = may_hold(repeated.select(F.col("rep_digest").alias("digest")), sent_digests)
-    # The text that stays, once per repeated text; that of an id that repeats is taken once.
-    texts = base.select(
-        "id", digest_of(F.col("text")).alias("digest"), single_spaced(F.col("text")).alias("body")
-    ).where(travels(F.col("digest")))
-    kept_here = F.col("id").eqNullSafe(F.col("keep_id")) & (F.col("digest") == F.col("rep_digest"))
+    # Rows of repeated texts, and one that stays of each: those whose texts are read again.
+    shared = store(digested.join(repeated.select("digest", "keep_id"), "digest"))
+    stays = F.col("id").eqNullSafe(F.col("keep_id"))
+    keepers = store(
+        shared.where(stays)
+        .groupBy("digest")
+        .agg(F.min("mark").alias("keep_mark"), F.count(F.lit(1)).alias("alike"))
+    )
+    read_again = key_filter(keepers.select(F.col("keep_mark").alias("key")).distinct(), sent_keys)
+    texts = base.where(read_again.test(F.col("mark"))).select(
+        "mark", digest_of(F.col("text")).alias("of"), single_spaced(F.col("text")).alias("body")
+    )
+    kept_text = (F.col("of") == F.col("digest")) & (F.col("mark") == F.col("keep_mark"))
     reps = store(
-        texts.join(repeated, kept_here)
-        .groupBy("rep_digest", "keep_id", "size")
+        texts.join(keepers, kept_text)
+        .groupBy("digest")
         .agg(F.min("body").alias("rep_body"))
+        .join(repeated, "digest")
+        .withColumnRenamed("digest", "rep_digest")
     )
-    digest, body, held, copy = fresh(docs, "digest", "body", "held", "copy")
-    rows = docs.withColumn(digest, digest_of(F.col(f"`{text_col}`")))
-    rows = rows.withColumn(held, travels(F.col(digest)))
-    rows = rows.withColumn(body, F.when(F.col(held), single_spaced(F.col(f"`{text_col}`"))))
-    rows = rows.withColumn(copy, copy_number(docs, id_col, [f"`{id_col}`", digest]))
-    own = F.col(f"rows.`{id_col}`")
-    equal = F.col(f"rows.{body}") == F.col("reps.rep_body")
-    keep_id = F.when(equal, F.col("reps.keep_id")).otherwise(own)
+    travels = key_filter(shared.select(F.col("mark").alias("key")).distinct(), sent_keys)
+    mark, digest, row = fresh(docs, "mark", "digest", "row")
+    own, text = F.col(f"`{id_col}`"), F.col(f"`{text_col}`")
+    marked = docs.withColumn(mark, F.xxhash64(own, text))
+    columns = [F.col(f"`{c}`") for c in docs.columns]
     result = fresh(docs, "keep_id", "group_size", "kept", "text_sha256")
-    joined = rows.alias("rows").join(
-        reps.alias("reps"), F.col(f"rows.{digest}") == F.col("reps.rep_digest"), "left"
-    )
-    return joined.select(
-        *[F.col(f"rows.`{c}`") for c in docs.columns],
-        keep_id.alias(result[0]),
-        F.when(equal, F.col("reps.size")).otherwise(F.lit(1)).cast("long").alias(result[1]),
-        (keep_id.eqNullSafe(own) & (F.col(f"rows.{copy}") == 1)).alias(result[2]),
-        F.lower(F.hex(F.col(f"rows.{digest}"))).alias(result[3]),
-    )
+
+    def results(keep_id: Column, size: Column, kept: Column, digest: Column) -> list[Column]:
+        facts = (keep_id, size.cast("long"), kept, F.lower(F.hex(digest)))
+        return [*columns, *[fact.alias(name) for fact, name in zip(facts, result)]]
+
+    alone = marked.where(~travels.test(F.col(mark)))
+    alone = alone.select(results(own, F.lit(1), F.lit(True), digest_of(text)))
+    moved = marked.where(travels.test(F.col(mark))).withColumn(digest, digest_of(text))
+    # Ids are unique as a rule. Where rows repeat with one id and text, the first one stays.
+    several = not keepers.where("alike > 1").isEmpty()
+    if several:
+        moved = store(moved.withColumn(row, F.monotonically_increasing_id()))
+    reps = reps.select(*[F.col(c).alias(n) for c, n in zip(reps.columns, _REPS)])
+    joined = moved.join(reps, F.col(digest) == F.col(_REPS[0]), "left")
+    equal = single_spaced(text) == F.col(_REPS[1])
+    keep_id = F.when(equal, F.col(_REPS[2])).otherwise(own)
+    kept = keep_id.eqNullSafe(own)
+    if several:
+        first = (
+            joined.where(equal & kept)
+            .groupBy(F.col(digest).alias(_FIRST[0]))
+            .agg(F.min(row).alias(_FIRST[1]))
+        )
+        joined = joined.join(first, F.col(digest) == F.col(_FIRST[0]), "left")
+        kept = kept & F.coalesce(F.col(row) == F.col(_FIRST[1]), F.lit(True))
+    size = F.when(equal, F.col(_REPS[3])).otherwise(F.lit(1))
+    return alone.union(joined.select(results(keep_id, size, kept, F.col(digest))))
