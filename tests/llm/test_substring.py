@@ -102,3 +102,14 @@ def test_minimisers_names_and_runs():
     assert len(seen) == len(set(seen.values()))
     starts, lengths = runs_of(np.array([4, 4, 5, 4]))
     assert starts.tolist() == [0, 2, 3] and lengths.tolist() == [2, 1, 1]
+
+
+def test_long_texts_of_one_minimiser(documents):
+    """Repeated words give one minimiser very many windows: they are settled by digest."""
+    rows = [(i, f"w{i} " + "a " * 3_000 + f"v{i}") for i in range(40)]
+    rows += [(100, "b " * 70 + "a " * 60), (101, "b " * 70)]
+    expected = brute(rows, 50)
+    for hot_windows in (1_000, 10**9):
+        found = drop_repeated_windows(documents(rows), hot_windows=hot_windows).collect()
+        names = ("doc_id", "n_words", "n_removed", "kept_text")
+        assert sorted(tuple(r[n] for n in names) for r in found) == expected

@@ -7,7 +7,7 @@ named exactly by sorting, and every window of a document is dropped whose words
 document with a smaller id.
 
 A minimiser that one document alone has cannot belong to a repeated window: minimisers are
-counted first, and only runs of shared ones travel. A minimiser that very many documents share
+counted first, and only runs of shared ones travel. A minimiser of very many documents or windows
 does not travel as strings: its windows are compared by 128-bit digests, first within each
 batch of a task, where all but the smallest id are settled at once, then between batches in
 slots by digest. So a passage that a third of all documents hold crosses the shuffle once per
@@ -22,17 +22,20 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from trapiche.llm.common import named
+from trapiche.llm.key_filter import key_filter
 from trapiche.llm.windows import minimisers, runs_of, window_names, word_hashes
 from trapiche.sinks.writers import store
 
 WINDOW_WORDS = 50
 MINIMISER_WORDS = 8
-# Documents of one minimiser above which its windows are settled by digest.
+# Documents of one minimiser above which its windows are settled by digest, and windows: a long
+# text that repeats a few words may have very many of one minimiser.
 HOT_DOCUMENTS = 1_000
+HOT_WINDOWS = 50_000
 # Windows by digest that one task compares, about.
 SLOT_WINDOWS = 500_000
 # Bytes of packed strings whose windows are sorted together.
@@ -74,24 +77,30 @@ def _spans(at: np.ndarray, window: int) -> list[tuple[int, int]]:
     return list(zip(begins.tolist(), ends.tolist()))
 
 
+def _counted(values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    return np.unique(values, return_counts=True)
+
+
 def _tuples(window: int, size: int):
-    """Each minimiser of each document, once."""
+    """Each minimiser of each document, once, with its number of windows."""
 
     def emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             found = [
-                (own, mark, np.unique(minimisers(word_hashes(text), window, size)))
+                (own, mark, *_counted(minimisers(word_hashes(text), window, size)))
                 for own, mark, text, _ in _texts(batch)
             ]
-            sizes = [len(m) for _, _, m in found]
-            each = np.concatenate([m for _, _, m in found] or [np.zeros(0, np.uint64)])
+            sizes = [len(f[2]) for f in found]
+            each = np.concatenate([f[2] for f in found] or [np.zeros(0, np.uint64)])
+            windows = np.concatenate([f[3] for f in found] or [np.zeros(0, np.int64)])
             yield pa.RecordBatch.from_arrays(
                 [
                     pa.array(_signed(each)),
                     pa.array(np.repeat(np.array([f[0] for f in found], np.int64), sizes)),
                     pa.array(np.repeat(np.array([f[1] for f in found], np.int64), sizes)),
+                    pa.array(windows.astype(np.int64)),
                 ],
-                ["minimiser", "id", "mark"],
+                ["minimiser", "id", "mark", "windows"],
             )
 
     return emit
@@ -108,14 +117,14 @@ def _wanted_runs(
     return zip(keys[chosen].tolist(), starts[chosen].tolist(), lengths[chosen].tolist())
 
 
-def _super_kmers(window: int, size: int, hot: int):
+def _super_kmers(window: int, size: int):
     """Packed strings of the runs whose minimiser several documents share, hot ones aside."""
 
     def emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             shared, rows = batch["shared"].to_pylist(), []
             for own, mark, text, row in _texts(batch):
-                wanted = [s["minimiser"] for s in shared[row] if s["documents"] <= hot]
+                wanted = [s["minimiser"] for s in shared[row] if not s["hot"]]
                 words = text.split() if wanted else []
                 for key, first, count in _wanted_runs(text, wanted, window, size) if wanted else ():
                     packed = b" ".join(words[first : first + count + window - 1])
@@ -193,7 +202,7 @@ def _span_rows(windows: np.ndarray, window: int) -> list[tuple[int, int, int, in
     return rows
 
 
-def _hot_windows(window: int, size: int, hot: int, slots: int):
+def _hot_windows(window: int, size: int, slots: int):
     """Settle the windows of hot minimisers within a batch; the rest goes to slots, packed."""
 
     def emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -202,7 +211,7 @@ def _hot_windows(window: int, size: int, hot: int, slots: int):
         for batch in batches:
             shared, found = batch["shared"].to_pylist(), []
             for own, mark, text, row in _texts(batch):
-                wanted = [s["minimiser"] for s in shared[row] if s["documents"] > hot]
+                wanted = [s["minimiser"] for s in shared[row] if s["hot"]]
                 words = text.split()
                 for _, first, count in _wanted_runs(text, wanted, window, size):
                     for at in range(first, first + count):
@@ -272,6 +281,7 @@ def drop_repeated_windows(
     window: int = WINDOW_WORDS,
     minimiser_words: int = MINIMISER_WORDS,
     hot_documents: int = HOT_DOCUMENTS,
+    hot_windows: int = HOT_WINDOWS,
 ) -> DataFrame:
     """One row per document: id, `n_words`, `n_removed`, `kept_text` and the dropped `spans`.
 
@@ -289,40 +299,53 @@ def drop_repeated_windows(
         "text",
         F.col("id").isNotNull().alias("has_id"),
     )
+    rows = rows.withColumn("key", F.xxhash64("id", "mark"))
     tuples = store(
         rows.select("id", "mark", "text").mapInArrow(
-            _tuples(window, size), "minimiser long, id long, mark long"
+            _tuples(window, size), "minimiser long, id long, mark long, windows long"
         )
     )
-    counted = tuples.groupBy("minimiser").agg(F.count(F.lit(1)).alias("documents"))
-    shared = store(counted.where("documents > 1"))
+    counted = tuples.groupBy("minimiser").agg(
+        F.count(F.lit(1)).alias("documents"), F.sum("windows").alias("all_windows")
+    )
+    is_hot = (F.col("documents") > hot_documents) | (F.col("all_windows") > hot_windows)
+    shared = store(
+        counted.where("documents > 1").select("minimiser", "all_windows", is_hot.alias("hot"))
+    )
     wanted = store(
-        tuples.join(shared, "minimiser")
+        tuples.select("minimiser", "id", "mark")
+        .join(shared, "minimiser")
         .groupBy("id", "mark")
-        .agg(F.collect_set(F.struct("minimiser", "documents")).alias("shared"))
+        .agg(F.collect_set(F.struct("minimiser", "hot")).alias("shared"))
     )
-    texts = rows.select("id", "mark", "text").join(wanted, ["id", "mark"])
+
+    def holding(keys: DataFrame) -> Column:
+        """Whether a row's key may be among those of `keys`, which no other text has to meet."""
+        marked = keys.select(F.xxhash64("id", "mark").alias("key")).distinct()
+        return key_filter(marked).test(F.col("key"))
+
+    holds_shared = holding(wanted)
+    texts = rows.where(holds_shared).select("id", "mark", "text").join(wanted, ["id", "mark"])
     cold = (
         texts.mapInArrow(
-            _super_kmers(window, size, hot_documents),
+            _super_kmers(window, size),
             "minimiser long, id long, mark long, first long, packed binary",
         )
         .repartition("minimiser")
         .sortWithinPartitions("minimiser")
         .mapInArrow(_bucket_repeats(window), _SPAN_SCHEMA)
     )
-    hot = shared.where(F.col("documents") > hot_documents)
-    occurrences = hot.agg(F.coalesce(F.sum("documents"), F.lit(0))).first()[0]
+    occurrences = shared.where("hot").agg(F.coalesce(F.sum("all_windows"), F.lit(0))).first()[0]
     found = cold
     if occurrences:
-        slots = 1 + occurrences * window // SLOT_WINDOWS
-        has_hot = F.exists("shared", lambda s: s["documents"] > hot_documents)
+        slots = 1 + occurrences // SLOT_WINDOWS
+        has_hot = wanted.where(F.exists("shared", lambda s: s["hot"]))
         settled = store(
-            rows.select("id", "mark", "text")
-            .join(wanted.where(has_hot), ["id", "mark"])
+            rows.where(holds_shared)
+            .select("id", "mark", "text")
+            .join(has_hot, ["id", "mark"])
             .mapInArrow(
-                _hot_windows(window, size, hot_documents, slots),
-                f"{_SPAN_SCHEMA}, slot int, packed binary",
+                _hot_windows(window, size, slots), f"{_SPAN_SCHEMA}, slot int, packed binary"
             )
         )
         between = (
@@ -335,7 +358,14 @@ def drop_repeated_windows(
     spans = store(
         found.groupBy("id", "mark").agg(F.collect_set(F.struct("begin", "end")).alias("spans"))
     )
-    cut = rows.join(spans, ["id", "mark"], "left").select("id", "has_id", "text", "spans")
+    # Texts that lose nothing are cut where they are read.
+    loses = holding(spans)
+    whole = rows.where(~loses).withColumn(
+        "spans", F.lit(None).cast("array<struct<begin: long, end: long>>")
+    )
+    some = rows.where(loses).join(spans, ["id", "mark"], "left")
+    columns = ["id", "has_id", "text", "spans"]
+    cut = whole.select(columns).union(some.select(columns))
     return cut.mapInArrow(
         _cut,
         "id long, n_words long, n_removed long, kept_text string, "
