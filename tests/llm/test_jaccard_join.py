@@ -5,7 +5,13 @@ import numpy as np
 import pytest
 
 from trapiche.llm import jaccard_join
-from trapiche.llm.jaccard_join import CountTree, Groups, jaccard_groups, join_sets, overlap_needed
+from trapiche.llm.jaccard_join import (
+    CountTree,
+    Groups,
+    connect,
+    jaccard_groups,
+    overlap_needed,
+)
 
 
 def plain_set(text):
@@ -114,21 +120,21 @@ def test_similar_sets_share_a_group(percent):
 
 def test_tree_loses_nothing_and_prunes():
     draw = np.random.default_rng(1)
-    sizes, sets = draw.integers(20, 400, size=600), []
+    sizes, sets = draw.integers(20, 400, size=240), []
     for size in sizes:
         sets.append(np.unique(draw.integers(0, 1 << 62, size=size).astype(np.uint64)))
-    for i in range(0, 600, 3):
+    for i in range(0, 240, 3):
         sets[i + 1] = np.unique(np.append(sets[i][: int(len(sets[i]) * 0.95)], sets[i + 1][:2]))
     sizes = np.array([len(s) for s in sets])
     points = np.stack([np.bincount((s % np.uint64(32)).astype(int), minlength=32) for s in sets])
     tree, kept = CountTree(points, sizes, 85), 0
-    for i in range(600):
-        near = tree.similar(points[i], int(sizes[i]), np.ones(600, bool))
+    for i in range(240):
+        near = tree.similar(points[i], int(sizes[i]), np.ones(240, bool))
         kept += len(near)
-        for j in range(600):
+        for j in range(240):
             common = len(np.intersect1d(sets[i], sets[j]))
             if common >= overlap_needed(85, sizes[i], sizes[j]):
                 assert j in near
-    assert kept < 0.05 * 600 * 600
-    links = join_sets(sets, np.arange(600), np.ones(600, bool), 85)
-    assert {(min(a, b), max(a, b)) for a, b in links} >= {(i, i + 1) for i in range(0, 600, 300)}
+    assert kept < 0.05 * 240 * 240
+    links = connect(points, sizes, np.arange(240), np.ones(240, bool), 85, sets)
+    assert {(min(a, b), max(a, b)) for a, b in links} >= {(i, i + 1) for i in range(0, 240, 120)}

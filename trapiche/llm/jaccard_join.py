@@ -5,15 +5,17 @@ The tokens of a document are its distinct shingles. They are hashed into groups,
 Dealing out. Two sets that are similar enough differ in at most t tokens, t depending on their
 sizes. With more than t groups, at least one group must hold the same tokens in both, so sets
 meet by the digests of their groups: none is lost, and a passage that many documents share
-brings them together only where it alone fills a group. Sets of one digest meet its smallest
-one, and the components of these meetings are classes: links exist within a class only. No
-token and no set is compared yet, and equal sets are one.
+brings them together only where it alone fills a group. All sets that share a digest with the
+smallest set of that digest are one class. No token and no set is compared yet, and equal sets
+are one.
 
 Join. Within a class the counts of tokens per group are points in an R-tree. The overlap of a
 set with any set below a node is at most the sum over the groups of the smaller of its own count
-and the node's largest; nodes and points whose sum is too small are pruned, surviving pairs are
-verified by their tokens. Sets that are connected already are not compared again, so a class of
-near copies takes a number of comparisons near its size, not the square of it.
+and the node's largest; nodes and points whose sum is too small are pruned. What the bounds
+cannot tell apart forms the classes of a second pass, which are far fewer and smaller: only
+their tokens travel, and pairs that survive the tree again are verified by them. Sets that are
+connected already are not compared again, so a class of near copies takes a number of
+comparisons near its size, not the square of it.
 
 A class beyond the size of a cell is dealt to cells. Each cell is joined by itself, then a
 sample of all cells, which merges what is large; then the sets outside the largest component
@@ -43,12 +45,16 @@ from trapiche.sinks.writers import store
 SHINGLE_WORDS = 4
 LEAST_PERCENT = 85
 # Sets, and bytes of their tokens, that one task joins.
-CELL_SETS = 4_096
+CELL_SETS = 8_192
 CELL_BYTES = 1 << 25
+SLOTS_OF_CELL = 8
 # Children of a node of the tree, and tokens that a group of a point holds on average.
 FAN = 16
 GROUP_TOKENS = 8
-MOST_GROUPS = 512
+# Beyond so many groups they are only made more where counts would not fit 16 bits.
+MOST_GROUPS, MOST_TOKENS = 512, 30_000
+# Bytes that a token takes, by itself and in a point.
+TOKEN_BYTES, POINT_BYTES = 8.0, 0.5
 # Shingles hashed at a time, which bounds the memory of a very long text.
 BLOCK = 1 << 16
 
@@ -165,21 +171,40 @@ class CountTree:
         return self.order[at[fits][np.argsort(-bound[fits], kind="stable")]]
 
 
-def join_sets(
-    sets: list[np.ndarray], component: np.ndarray, asks: np.ndarray, percent: int
+def point_of(tokens: np.ndarray) -> np.ndarray:
+    """Tokens per group; larger sets have twice the groups of smaller ones."""
+    groups = 8
+    while groups * (GROUP_TOKENS if groups < MOST_GROUPS else MOST_TOKENS) < len(tokens):
+        groups *= 2
+    own = (mixed(tokens) & np.uint64(groups - 1)).astype(np.int64)
+    return np.bincount(own, minlength=groups).astype(np.uint16)
+
+
+def _folded(points: list[np.ndarray]) -> np.ndarray:
+    """Points with as many groups as the smallest one has."""
+    groups = min((len(p) for p in points), default=8)
+    # A group of the smaller point is the sum of those with the same low bits.
+    return np.array([p.reshape(-1, groups).sum(axis=0, dtype=np.int32) for p in points])
+
+
+def connect(
+    points: np.ndarray,
+    sizes: np.ndarray,
+    component: np.ndarray,
+    asks: np.ndarray,
+    percent: int,
+    tokens: list[np.ndarray] | None = None,
 ) -> list[tuple[int, int]]:
     """Links that connect sets of different components; each is between a set that asks and any.
 
-    After them no similar pair with a set that asks is left in two components.
+    After them no similar pair with a set that asks is left in two components. Without tokens a
+    link is a pair that the bounds cannot tell apart.
     """
-    sizes = np.array([len(s) for s in sets], np.int64)
-    groups = 8
-    while groups < MOST_GROUPS and groups * GROUP_TOKENS < sizes.max(initial=0):
-        groups *= 2
-    points = np.zeros((len(sets), groups), np.int32)
-    for point, tokens in zip(points, sets):
-        own = (mixed(tokens) & np.uint64(groups - 1)).astype(np.int64)
-        point += np.bincount(own, minlength=groups).astype(np.int32)
+
+    def similar(i: int, j: int) -> bool:
+        common = len(np.intersect1d(tokens[i], tokens[j], assume_unique=True))
+        return 100 * common >= percent * (sizes[i] + sizes[j] - common)
+
     component = np.unique(component, return_inverse=True)[1]
     left = len(np.unique(component))
     tree, links = CountTree(points, sizes, percent), []
@@ -188,10 +213,7 @@ def join_sets(
             break
         near = tree.similar(points[i], int(sizes[i]), component != component[i])
         for j in near.tolist():
-            if component[j] == component[i]:
-                continue
-            common = len(np.intersect1d(sets[i], sets[j], assume_unique=True))
-            if 100 * common >= percent * (sizes[i] + sizes[j] - common):
+            if component[j] != component[i] and (tokens is None or similar(i, j)):
                 links.append((i, j))
                 component[component == component[j]] = component[i]
                 left -= 1
@@ -204,7 +226,7 @@ def _described(size: int, percent: int):
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            sizes, digests, nodes, entered = [], [], [], []
+            sizes, digests, nodes, entered, points = [], [], [], [], []
             for text in batch["text"].to_pylist():
                 tokens = token_hashes(text, size)
                 sizes.append(len(tokens))
@@ -212,6 +234,7 @@ def _described(size: int, percent: int):
                 digests.append(digest)
                 nodes.append(digest and int.from_bytes(digest[:8], "big", signed=True))
                 entered.append(groups.digests(tokens))
+                points.append(point_of(tokens).tobytes())
             offsets = np.cumsum([0, *map(len, entered)]).astype(np.int32)
             flat = np.concatenate(entered or [np.zeros(0, np.uint64)]).view(np.int64)
             yield pa.RecordBatch.from_arrays(
@@ -222,8 +245,9 @@ def _described(size: int, percent: int):
                     pa.array(digests, pa.binary()),
                     pa.array(nodes, pa.int64()),
                     pa.ListArray.from_arrays(pa.array(offsets), pa.array(flat)),
+                    pa.array(points, pa.binary()),
                 ],
-                ["id", "mark", "n", "digest", "node", "groups"],
+                ["id", "mark", "n", "digest", "node", "groups", "point"],
             )
 
     return run
@@ -259,25 +283,28 @@ def _tokens(size: int):
                     pa.array([_digest(s) for s in sets], pa.binary()),
                     pa.array([s.tobytes() for s in sets], pa.binary()),
                 ],
-                ["digest", "tokens"],
+                ["digest", "held"],
             )
 
     return run
 
 
-def _joined(percent: int):
-    """Links within the classes of a task."""
+def _joined(percent: int, verify: bool):
+    """Links within the classes of a task, whose sets come as tokens or as points."""
 
     def run(group: pa.Table) -> pa.Table:
         group = group.sort_by([("class", "ascending"), ("number", "ascending")])
         classes = group["class"].to_numpy()
         numbers, component = group["number"].to_numpy(), group["component"].to_numpy()
         asks = group["asks"].to_numpy(zero_copy_only=False)
-        tokens, found = group["tokens"], []
+        held, sizes, found = group["held"], group["n"].to_numpy(), []
         edges = np.flatnonzero(np.diff(classes)) + 1
         for part in np.split(np.arange(len(classes)), edges):
-            sets = [np.frombuffer(tokens[int(i)].as_buffer(), np.uint64) for i in part]
-            for a, b in join_sets(sets, component[part], asks[part], percent):
+            kind = np.uint64 if verify else np.uint16
+            sets = [np.frombuffer(held[int(i)].as_buffer(), kind) for i in part]
+            points = _folded([point_of(t) for t in sets] if verify else sets)
+            tokens = sets if verify else None
+            for a, b in connect(points, sizes[part], component[part], asks[part], percent, tokens):
                 found.append((classes[part[0]], numbers[part[a]], numbers[part[b]]))
         columns = list(zip(*found)) or [()] * 3
         return pa.table(
@@ -287,13 +314,20 @@ def _joined(percent: int):
     return run
 
 
-def _links(rows: DataFrame, percent: int) -> DataFrame:
-    """`rows(task, class, number, tokens, component, asks)` -> stored links."""
-    return store(rows.groupBy("task").applyInArrow(_joined(percent), "class long, a long, b long"))
+_MEMBER = ["task", "class", "number", "n", "held", "component", "asks"]
 
 
-def _link_hot(hot: DataFrame, links: DataFrame, percent: int) -> DataFrame:
-    """All links of classes in cells, `hot(class, cell, cells, number, tokens)`, given those
+def _links(rows: DataFrame, percent: int, verify: bool) -> DataFrame:
+    """Rows of `_MEMBER` -> stored links."""
+    return store(
+        rows.select(_MEMBER)
+        .groupBy("task")
+        .applyInArrow(_joined(percent, verify), "class long, a long, b long")
+    )
+
+
+def _link_hot(hot: DataFrame, links: DataFrame, percent: int, verify: bool) -> DataFrame:
+    """All links of classes in cells, `hot(class, cell, cells, number, n, held)`, given those
     within their cells."""
     pairs = links.select("a", "b")
 
@@ -307,17 +341,18 @@ def _link_hot(hot: DataFrame, links: DataFrame, percent: int) -> DataFrame:
             )
         )
 
-    def with_tokens(members: DataFrame) -> DataFrame:
-        tokens = hot.select(F.col("number").alias("of"), "tokens")
-        return members.join(tokens, F.col("of") == F.col("number"))
+    def filled(members: DataFrame) -> DataFrame:
+        own = hot.select(
+            F.col("class").alias("of"), F.col("number").alias("of_number"), "n", "held"
+        )
+        same = (F.col("of") == F.col("class")) & (F.col("of_number") == F.col("number"))
+        return members.join(own, same)
 
     # A sample of every cell, as large as a cell: merges the large components of the cells.
     members = placed(pairs)
     sample = members.where(F.pmod(F.xxhash64("number", F.lit("sample")), F.col("cells")) == 0)
-    columns = ["task", "class", "number", "tokens", "component", "asks"]
-    asked = with_tokens(sample).withColumns({"task": F.col("class"), "asks": F.lit(True)})
-    found = _links(asked.select(columns), percent)
-    pairs = pairs.union(found.select("a", "b"))
+    asked = filled(sample).withColumns({"task": F.col("class"), "asks": F.lit(True)})
+    pairs = pairs.union(_links(asked, percent, verify).select("a", "b"))
     # What is outside the largest component of its class meets every cell, in blocks.
     members = placed(pairs)
     sizes = members.groupBy("class", "component").agg(F.count(F.lit(1)).alias("size"))
@@ -346,8 +381,56 @@ def _link_hot(hot: DataFrame, links: DataFrame, percent: int) -> DataFrame:
         .unionByName(asking.drop("own").withColumn("asks", F.lit(True)))
     )
     both = both.withColumn("task", F.xxhash64("class", "cell", "block"))
-    last = _links(with_tokens(both).select(columns), percent)
-    return pairs.union(last.select("a", "b"))
+    return pairs.union(_links(filled(both), percent, verify).select("a", "b"))
+
+
+def _connected(
+    members: DataFrame, held: DataFrame, width: float, limits: tuple[int, int], percent: int
+) -> DataFrame:
+    """Pairs `(a, b)` that connect what is similar within the classes of `members(class, number,
+    n, digest)`.
+
+    `held(digest, held)` are tokens of `width` 8 bytes, or points, of about one byte for two
+    tokens. Classes are gathered in tasks up to the limits of a cell, larger ones dealt to cells.
+    """
+    cell_sets, cell_bytes = limits
+    verify = width == TOKEN_BYTES
+    size = F.sum("n") * F.lit(width)
+    cells = F.ceil(F.greatest(F.count(F.lit(1)) / cell_sets, size / F.lit(cell_bytes)))
+    shapes = store(
+        members.groupBy(F.col("class").alias("of_class")).agg(
+            cells.cast("int").alias("cells"), size.alias("bytes_in")
+        )
+    )
+    one = F.col("cells") <= 1
+    facts = shapes.agg(
+        F.coalesce(F.max("cells"), F.lit(1)).alias("most"),
+        F.coalesce(F.sum(F.when(one, F.col("bytes_in"))), F.lit(0.0)).alias("small"),
+    ).first()
+    # Comparing takes longer than reading, so a slot is smaller than a cell may be.
+    slots = 1 + SLOTS_OF_CELL * int(facts["small"]) // cell_bytes
+    task = F.when(one, F.pmod(F.xxhash64("class"), F.lit(slots)))
+    placed = (
+        members.join(shapes, F.col("class") == F.col("of_class"))
+        .withColumn("cell", F.pmod(F.xxhash64("number"), F.col("cells")).cast("int"))
+        .withColumn("task", task.otherwise(F.xxhash64("class", "cell")))
+        .select("digest", "number", "n", "class", "cell", "cells", "task")
+        .join(held, "digest")
+        .drop("digest")
+    )
+    split = facts["most"] > 1
+    if split:
+        placed = store(placed)
+    links = _links(
+        placed.withColumns({"component": F.col("number"), "asks": F.lit(True)}), percent, verify
+    )
+    pairs = links.select("a", "b")
+    if split:
+        hot = placed.where("cells > 1").select("class", "cell", "cells", "number", "n", "held")
+        hot_classes = shapes.where("cells > 1").select("of_class")
+        inside = links.join(hot_classes, F.col("class") == F.col("of_class"), "left_semi")
+        pairs = pairs.union(_link_hot(hot, inside, percent, verify))
+    return pairs
 
 
 def jaccard_groups(
@@ -382,7 +465,8 @@ def jaccard_groups(
             .add("n", T.LongType())
             .add("digest", T.BinaryType())
             .add("node", T.LongType())
-            .add("groups", T.ArrayType(T.LongType())),
+            .add("groups", T.ArrayType(T.LongType()))
+            .add("point", T.BinaryType()),
         )
     )
     sets = store(
@@ -435,68 +519,41 @@ def _linked(
         described.select("groups", "node")
         .mapInArrow(_met(several), "met long, node long")
         .join(shared, "met")
-        .where("node <> hub")
-        .select(F.col("node").alias("a"), F.col("hub").alias("b"))
+        .select("node", "hub")
+    )
+    # The smallest set of a digest meets itself.
+    meetings = store(meetings.distinct())
+    met_nodes = meetings.select(F.col("node").alias("of_node")).distinct()
+    members = store(sets.join(met_nodes, F.col("node") == F.col("of_node"), "left_semi"))
+    limits = (cell_sets, cell_bytes)
+    wanted = key_filter(members.select(F.col("mark").alias("key")).distinct())
+    points = described.where(wanted.test(F.col("mark"))).selectExpr("digest", "point AS held")
+    met = meetings.select(F.col("hub").alias("class"), F.col("node").alias("of_node")).join(
+        members, F.col("node") == F.col("of_node")
+    )
+    near = _connected(
+        met.select("class", "number", "n", "digest"),
+        points.dropDuplicates(["digest"]),
+        POINT_BYTES,
+        limits,
+        percent,
     )
-    classes = connected_components(meetings)
+    classes = connected_components(near)
     members = store(
-        sets.withColumnRenamed("node", "own_node")
-        .join(classes, F.col("own_node") == F.col("node"))
+        members.join(classes.withColumnRenamed("node", "of"), F.col("number") == F.col("of"))
         .select("digest", "mark", "n", "number", "least", F.col("root").alias("class"))
     )
     wanted = key_filter(members.select(F.col("mark").alias("key")).distinct())
     tokens = (
         rows.where(wanted.test(F.col("mark")))
         .select("text")
-        .mapInArrow(_tokens(shingle_words), "digest binary, tokens binary")
+        .mapInArrow(_tokens(shingle_words), "digest binary, held binary")
         .dropDuplicates(["digest"])
     )
-    cells = F.ceil(
-        F.greatest(F.count(F.lit(1)) / cell_sets, F.sum("n") * F.lit(8) / F.lit(cell_bytes))
-    )
-    shapes = store(
-        members.groupBy(F.col("class").alias("of_class")).agg(
-            cells.cast("int").alias("cells"), F.sum("n").alias("tokens_in")
-        )
-    )
-    facts = shapes.agg(
-        F.coalesce(F.max("cells"), F.lit(1)).alias("most"),
-        F.coalesce(F.sum(F.when(F.col("cells") <= 1, F.col("tokens_in"))), F.lit(0)).alias("small"),
-    ).first()
-    slots = 1 + 8 * int(facts["small"]) // cell_bytes
-    one = F.col("cells") <= 1
-    placed = (
-        members.join(shapes, F.col("class") == F.col("of_class"))
-        .withColumn("cell", F.pmod(F.xxhash64("number"), F.col("cells")).cast("int"))
-        .withColumn(
-            "task",
-            F.when(one, F.pmod(F.xxhash64("class"), F.lit(slots))).otherwise(
-                F.xxhash64("class", "cell")
-            ),
-        )
-        .select("digest", "number", "class", "cell", "cells", "task")
-    )
-    filled = store(placed.join(tokens, "digest").drop("digest"))
-    links = _links(
-        filled.select(
-            "task",
-            "class",
-            "number",
-            "tokens",
-            F.col("number").alias("component"),
-            F.lit(True).alias("asks"),
-        ),
-        percent,
-    )
-    pairs = links.select("a", "b")
-    if facts["most"] > 1:
-        hot = filled.where("cells > 1").select("class", "cell", "cells", "number", "tokens")
-        split = shapes.where("cells > 1").select("of_class")
-        inside = links.join(split, F.col("class") == F.col("of_class"), "left_semi")
-        pairs = pairs.union(_link_hot(hot, inside, percent))
-    roots = connected_components(pairs)
-    met = members.join(roots, F.col("number") == F.col("node")).select("number", "root", "least")
-    least = met.groupBy(F.col("root").alias("of")).agg(F.min("least").alias("least_linked"))
-    return met.join(least, F.col("root") == F.col("of")).select(
+    own = members.select("class", "number", "n", "digest")
+    roots = connected_components(_connected(own, tokens, TOKEN_BYTES, limits, percent))
+    linked = members.join(roots, F.col("number") == F.col("node")).select("number", "root", "least")
+    least = linked.groupBy(F.col("root").alias("of")).agg(F.min("least").alias("least_linked"))
+    return linked.join(least, F.col("root") == F.col("of")).select(
         F.col("number").alias("of_number"), "least_linked"
     )
