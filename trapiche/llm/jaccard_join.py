@@ -5,8 +5,8 @@ The tokens of a document are its distinct shingles. They are hashed into groups,
 Dealing out. Two sets that are similar enough differ in at most t tokens, t depending on their
 sizes. With more than t groups, at least one group must hold the same tokens in both, so sets
 meet by the digests of their groups: none is lost, and a passage that many documents share
-brings them together only where it alone fills a group. All sets that share a digest with the
-smallest set of that digest are one class. No token and no set is compared yet, and equal sets
+brings them together only where it alone fills a group. The sets of one digest, and those of
+digests whose smallest sets have met the same smallest set, are one class. No token and no set is compared yet, and equal sets
 are one.
 
 Join. Within a class the counts of tokens per group are points in an R-tree. The overlap of a
@@ -523,12 +523,18 @@ def _linked(
     )
     # The smallest set of a digest meets itself.
     meetings = store(meetings.distinct())
+    # A hub stands for the smallest hub that it meets itself: near copies, of which each lacks
+    # other groups, then have few classes, not one for every smallest set of some group.
+    lowest = meetings.groupBy(F.col("node").alias("of_hub")).agg(F.min("hub").alias("class"))
+    entered_in = store(
+        meetings.join(lowest, F.col("hub") == F.col("of_hub")).select("class", "node").distinct()
+    )
     met_nodes = meetings.select(F.col("node").alias("of_node")).distinct()
     members = store(sets.join(met_nodes, F.col("node") == F.col("of_node"), "left_semi"))
     limits = (cell_sets, cell_bytes)
     wanted = key_filter(members.select(F.col("mark").alias("key")).distinct())
     points = described.where(wanted.test(F.col("mark"))).selectExpr("digest", "point AS held")
-    met = meetings.select(F.col("hub").alias("class"), F.col("node").alias("of_node")).join(
+    met = entered_in.select("class", F.col("node").alias("of_node")).join(
         members, F.col("node") == F.col("of_node")
     )
     near = _connected(
