@@ -96,3 +96,19 @@ def test_nothing_to_learn_from_and_empty_table(spark, documents):
 def test_no_chain_scores_zero(documents):
     found = score_toxicity(documents([(1, "x")]), None, categories=("toxic",)).collect()
     assert [(r["p_toxic"], r["flagged"]) for r in found] == [(0.0, False)]
+
+
+def test_an_id_that_repeats_is_collected_once(spark, documents, monkeypatch):
+    """One labelled id in 20,000 rows: what reaches the driver stays within the bound."""
+    rows, labels = corpus(60, 2)
+    seen = []
+
+    def spy(ready, categories):
+        seen.append(len(ready))
+        return fit_chain(ready, categories)
+
+    monkeypatch.setattr("trapiche.llm.toxicity.fit_chain", spy)
+    table = spark.createDataFrame(labels, "doc_id long, quality int, toxic int")
+    again = [(rows[0][0], f"copy {i}") for i in range(20_000)]
+    train_chain(documents(rows + again), table, CHAIN, rows=40)
+    assert 0 < seen[0] <= 40

@@ -81,10 +81,10 @@ def op8_license_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The documents flagged as toxic, with the probabilities of the chain."""
+    """Every document with the probabilities of the chain, and whether it is flagged as toxic."""
     docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
     chain = train_chain(docs, _table(spark, sf_dir, "labels"), TOXIC_CHAIN)
-    found = score_toxicity(docs, chain, categories=tuple(TOXIC_CHAIN)).where("flagged")
+    found = score_toxicity(docs, chain, categories=tuple(TOXIC_CHAIN))
     return found.select("doc_id", "p_low_quality", "p_toxic", "flagged")
 
 

@@ -136,7 +136,8 @@ def train_chain(
     """Fit on labelled documents, at most `rows` of them; None when there are none.
 
     `categories` names each category, in chain order, with an SQL condition over `labels`; a null
-    condition counts as not in the category, and rows with no label at all are left out.
+    condition counts as not in the category, and rows with no label at all are left out. Of
+    documents that share an id one text is taken.
     """
     conditions = [F.expr(c) for c in categories.values()]
     marks = F.array(*[F.coalesce(c, F.lit(False)).cast("int") for c in conditions])
@@ -162,8 +163,12 @@ def train_chain(
     texts = named(docs, id=id_col, text=text_col).join(
         F.broadcast(chosen), F.col("id") == F.col("label_id")
     )
+    # An id that repeats gives one text, so that what is collected stays within `rows`.
+    one_each = texts.groupBy("id").agg(
+        F.min_by("text", F.xxhash64("text")).alias("text"), F.max("labels").alias("labels")
+    )
     collected = (
-        texts.select("id", "text", "labels")
+        one_each.select("id", "text", "labels")
         .mapInArrow(_features, "id long, labels array<int>, used binary")
         .collect()
     )
