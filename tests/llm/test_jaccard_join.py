@@ -90,7 +90,7 @@ def test_classes_in_cells(documents, monkeypatch):
             for _ in range(9):
                 far[draw.randrange(200)] = draw.choice(words)
             rows.append((len(rows), " ".join(far)))
-    monkeypatch.setattr(jaccard_join, "CELL_SETS", 8)
+    monkeypatch.setattr(jaccard_join, "POINT_CELLS", 1)
     expected = brute(rows)
     assert len({r[2] for r in expected}) > 1
     assert found(documents, rows, cell_sets=8) == expected

@@ -44,8 +44,10 @@ from trapiche.sinks.writers import store
 
 SHINGLE_WORDS = 4
 LEAST_PERCENT = 85
-# Sets, and bytes of their tokens, that one task joins.
+# Sets, and bytes of their tokens, that one task joins; of points, which are smaller, it joins
+# as many more.
 CELL_SETS = 8_192
+POINT_CELLS = 8
 CELL_BYTES = 1 << 25
 SLOTS_OF_CELL = 8
 # Children of a node of the tree, and tokens that a group of a point holds on average.
@@ -289,6 +291,22 @@ def _tokens(size: int):
     return run
 
 
+def _stars(links: list[tuple[int, int]]) -> list[tuple[int, int]]:
+    """The same components with every member linked to the smallest one."""
+    above: dict[int, int] = {}
+
+    def top(i: int) -> int:
+        while above.get(i, i) != i:
+            above[i] = above.get(above[i], above[i])
+            i = above[i]
+        return i
+
+    for a, b in links:
+        a, b = top(a), top(b)
+        above[max(a, b)] = min(a, b)
+    return [(top(i), i) for i in sorted({i for link in links for i in link}) if top(i) != i]
+
+
 def _joined(percent: int, verify: bool):
     """Links within the classes of a task, whose sets come as tokens or as points."""
 
@@ -304,7 +322,8 @@ def _joined(percent: int, verify: bool):
             sets = [np.frombuffer(held[int(i)].as_buffer(), kind) for i in part]
             points = _folded([point_of(t) for t in sets] if verify else sets)
             tokens = sets if verify else None
-            for a, b in connect(points, sizes[part], component[part], asks[part], percent, tokens):
+            links = connect(points, sizes[part], component[part], asks[part], percent, tokens)
+            for a, b in _stars(links):
                 found.append((classes[part[0]], numbers[part[a]], numbers[part[b]]))
         columns = list(zip(*found)) or [()] * 3
         return pa.table(
@@ -531,7 +550,6 @@ def _linked(
     )
     met_nodes = meetings.select(F.col("node").alias("of_node")).distinct()
     members = store(sets.join(met_nodes, F.col("node") == F.col("of_node"), "left_semi"))
-    limits = (cell_sets, cell_bytes)
     wanted = key_filter(members.select(F.col("mark").alias("key")).distinct())
     points = described.where(wanted.test(F.col("mark"))).selectExpr("digest", "point AS held")
     met = entered_in.select("class", F.col("node").alias("of_node")).join(
@@ -541,7 +559,7 @@ def _linked(
         met.select("class", "number", "n", "digest"),
         points.dropDuplicates(["digest"]),
         POINT_BYTES,
-        limits,
+        (POINT_CELLS * cell_sets, cell_bytes),
         percent,
     )
     classes = connected_components(near)
@@ -557,6 +575,7 @@ def _linked(
         .dropDuplicates(["digest"])
     )
     own = members.select("class", "number", "n", "digest")
+    limits = (cell_sets, cell_bytes)
     roots = connected_components(_connected(own, tokens, TOKEN_BYTES, limits, percent))
     linked = members.join(roots, F.col("number") == F.col("node")).select("number", "root", "least")
     least = linked.groupBy(F.col("root").alias("of")).agg(F.min("least").alias("least_linked"))
