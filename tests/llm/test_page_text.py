@@ -24,6 +24,8 @@ def test_article_of_a_page():
     [
         (None, ""),
         ("", ""),
+        ("<html><head><title>T</title><meta name=x><body><article><p>A</article>", "A"),
+        ("<head><title>T</title><style>p{}</style><p>A", "A"),
         ("plain &lt;text&gt;", "plain <text>"),
         ("<p>a<p>b<div>c", "a\n\nb\n\nc"),
         ("<article><p>cut &am", "cut &am"),

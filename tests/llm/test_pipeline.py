@@ -95,7 +95,7 @@ def test_stages_with_clashing_columns_and_nulls_everywhere(spark, folder):
 
 def test_one_query_for_each_operator():
     numbers = sorted(int(name[2:].split("_")[0]) for name in queries.QUERIES)
-    assert numbers == list(range(1, 11))
+    assert numbers == list(range(1, 14))
     assert set(queries.ORACLE_SQL) <= set(queries.QUERIES)
 
 

@@ -36,6 +36,10 @@ BLOCKS = frozenset(
     "p pre search section summary table tbody td tfoot th thead tr ul".split()
 )
 MAIN = frozenset(("article", "main"))
+# What may stand in a head; anything else ends a head that is still open.
+HEAD_CONTENT = frozenset(
+    "base basefont bgsound link meta noframes noscript script style template title".split()
+)
 # Elements that a new block element closes if it is still open.
 CLOSED_BY_BLOCK = frozenset(("p",))
 SELF_CLOSING = {
@@ -95,6 +99,9 @@ class _Lines(HTMLParser):
             self.lines.append((line, place))
 
     def handle_starttag(self, tag: str, attrs: list[tuple[str, str | None]]) -> None:
+        if self.open and self.open[-1][0] == "head" and tag not in HEAD_CONTENT:
+            self.end_block()
+            self.open.pop()
         if tag == "br":
             self.text.append(" ")
             return
