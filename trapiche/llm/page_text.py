@@ -2,32 +2,36 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections import Counter
+from collections.abc import Iterable, Iterator, Sequence
 from html.parser import HTMLParser
+from itertools import accumulate
+from typing import NamedTuple
 
 import pyarrow as pa
+import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from trapiche.llm.common import named, row_count
+from trapiche.llm.common import named
 from trapiche.llm.url_rules import url_parts
-
-# Pages of one host that one task compares, at least.
-HOST_BLOCK = 200
-# Hosts with more than one in so many pages are dealt to several blocks; there are at most as many.
-HOT_HOSTS = 1_000
-# Other paths a page is compared with, half of them on either side, and how many of them must
-# share a line inside an article element.
+from trapiche.sinks.writers import store
+
+# Different pages that one task judges at a time, in order of host and path; no result depends on it.
+BLOCK = 256
+# Pages on either side, in that order, among which a page's neighbours are sought.
+WINDOW = 16
+# Different pages a page is compared with; inside an article element all of them must share a
+# line, and there must be so many at least.
 PAGE_NEIGHBOURS = 2
 ARTICLE_NEIGHBOURS = 6
-# Pages that share this part of their lines are copies of one article, not of one template.
-COPY_SHARE = 0.5
+LEAST_ARTICLE_NEIGHBOURS = 3
 
 # Elements of HTML by what they mean here.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 HIDDEN = frozenset(
     "head script style template noscript iframe object svg math canvas audio video map "
-    "form button select option textarea input label fieldset datalist dialog".split()
+    "button select option textarea input label fieldset datalist dialog".split()
 )
 ASIDE = frozenset("nav footer aside menu".split())
 BLOCKS = frozenset(
@@ -63,6 +67,13 @@ LAYOUT = frozenset(
     "ad ads banner header menu nav navbar navigation sidebar sidebars toolbar widget widgets".split()
 )
 
+# Words that name an article when they stand alone in a class list, whatever else it says, and
+# those that name what readers wrote, which no other word outweighs.
+CONTENT = frozenset("article content entry main post story".split())
+REMARKS = frozenset("comment comments disqus replies reply respond".split())
+# Where a line stands.
+ASIDE_LINE, PAGE_LINE, ARTICLE_LINE, FORM_LINE, DOUBTFUL_LINE = range(5)
+
 # Inline elements left open at the end of a paragraph end with it.
 INLINE_KEPT_OPEN = frozenset(
     "a abbr b bdi bdo big cite code data del dfn em font i ins kbd mark q s samp small span strike "
@@ -73,30 +84,38 @@ _SEPARATORS = str.maketrans("-_:/.", "     ")
 
 
 class _Lines(HTMLParser):
-    """Blocks of visible text, each with where it stands: 0 aside, 1 elsewhere, 2 in the article."""
+    """Blocks of visible text, each with where it stands.
+
+    Text of a form counts only if there is no other. An article that class words alone call
+    something else, and such parts of one, are doubtful.
+    """
 
     def __init__(self) -> None:
         super().__init__(convert_charrefs=True)
         self.lines: list[tuple[str, int]] = []
         self.open: list[tuple[str, str]] = []
         self.text: list[str] = []
+        self.begun: int | None = None
 
     def _place(self) -> int | None:
         """None for hidden text."""
-        kinds = [kind for _, kind in self.open]
+        kinds = [kind for _, kind in self.open if kind]
         if "hidden" in kinds:
             return None
         if "aside" in kinds:
-            return 0
-        inner = next((kind for kind in reversed(kinds) if kind), "")
-        return {"main": 2, "layout": 0, "": 1}[inner]
+            return ASIDE_LINE
+        if "said" in kinds:
+            return DOUBTFUL_LINE if "main" in kinds else ASIDE_LINE
+        inner = kinds[-1] if kinds else ""
+        return {"main": ARTICLE_LINE, "form": FORM_LINE, "layout": ASIDE_LINE, "": PAGE_LINE}[inner]
 
     def end_block(self) -> None:
         line = " ".join("".join(self.text).split())
         self.text.clear()
         place = self._place()
-        if line and place is not None:
-            self.lines.append((line, place))
+        if line:
+            # Text that a hidden element was opened behind stands where it began.
+            self.lines.append((line, self.begun if place is None else place))
 
     def handle_starttag(self, tag: str, attrs: list[tuple[str, str | None]]) -> None:
         if self.open and self.open[-1][0] == "head" and tag not in HEAD_CONTENT:
@@ -125,12 +144,19 @@ class _Lines(HTMLParser):
             values = dict(attrs)
             if "hidden" in values or (values.get("aria-hidden") or "").lower() == "true":
                 return "hidden"
-            said = " ".join(values.get(a) or "" for a in ("class", "id", "role")).lower()
-            said = said.translate(_SEPARATORS).split()
-            if not BOILERPLATE.isdisjoint(said):
-                return "aside"
-            if not LAYOUT.isdisjoint(said):
-                return "layout"
+            listed = " ".join(values.get(a) or "" for a in ("class", "id", "role")).lower()
+            alone = listed.split()
+            remarks = not REMARKS.isdisjoint(alone)
+            if remarks or (tag not in MAIN and CONTENT.isdisjoint(alone)):
+                said = listed.translate(_SEPARATORS).split()
+                if not REMARKS.isdisjoint(said):
+                    return "aside"
+                if not BOILERPLATE.isdisjoint(said):
+                    return "said"
+                if not LAYOUT.isdisjoint(said):
+                    return "layout"
+        if tag == "form":
+            return "form"
         return "main" if tag in MAIN else ""
 
     def handle_endtag(self, tag: str) -> None:
@@ -147,8 +173,10 @@ class _Lines(HTMLParser):
                 return
 
     def handle_data(self, data: str) -> None:
-        if self._place() is not None:
+        place = self._place()
+        if place is not None:
             self.text.append(data)
+            self.begun = place
 
 
 def page_lines(html: str | None) -> list[tuple[str, int]]:
@@ -160,12 +188,12 @@ def page_lines(html: str | None) -> list[tuple[str, int]]:
     return parser.lines
 
 
-def shared_lines(own: list[str], other: list[str]) -> list[int]:
+def shared_lines(own: Sequence, other: Sequence) -> list[int]:
     """Positions in `own` of a longest common subsequence with `other`.
 
     Rows of the table are bit vectors, one bit per line of `own`, zero where the length grows.
     """
-    where: dict[str, int] = {}
+    where: dict = {}
     for i, line in enumerate(own):
         where[line] = where.get(line, 0) | 1 << i
     every = (1 << len(own)) - 1
@@ -186,138 +214,214 @@ def shared_lines(own: list[str], other: list[str]) -> list[int]:
     return found[::-1]
 
 
-def body_lines(lines: list[tuple[str, int]]) -> tuple[list[str], bool]:
-    """Lines of the article element, or of all that is not marked as something else."""
-    inside = [line for line, place in lines if place == 2]
-    return (inside, True) if inside else ([line for line, place in lines if place == 1], False)
+def body_places(places: Sequence[int]) -> tuple[list[int], bool]:
+    """Positions of the lines that may be the text, and whether an article element marks them.
+
+    Those of the article element; without them what was doubtful in it, then all that is not
+    marked as something else, then what stands in forms.
+    """
+    for wanted in (ARTICLE_LINE, DOUBTFUL_LINE, PAGE_LINE, FORM_LINE):
+        found = [i for i, place in enumerate(places) if place == wanted]
+        if found:
+            return found, wanted in (ARTICLE_LINE, DOUBTFUL_LINE)
+    return [], False
+
+
+class Page(NamedTuple):
+    """What differencing knows of a page: its visible lines, as hashes, and its body."""
 
+    content: bytes
+    marks: list[int]
+    body: list[int]
+    marked: bool
 
-def main_text(lines: list[tuple[str, int]], neighbours: list[list[tuple[str, int]]]) -> str:
-    """The article: a page's body without the lines that it shares with its neighbours.
 
-    `neighbours` go from the nearest outwards. A line shared with one of the nearest two belongs
-    to the template. Inside an article element, where neighbours may well quote the same line,
-    it does only if all of ARTICLE_NEIGHBOURS share it. A neighbour that shares most lines is a
-    copy and shows no template.
+def shared_with(page: Page, near: Iterable[Page]) -> tuple[set[int], int]:
+    """Body lines that belong to the template, and how many visible lines neighbours share.
+
+    `near` goes from the nearest outwards; pages with equal content are one page, and the page's
+    own content is skipped. A neighbour that is a copy of the article shows no template and the
+    next one takes its place. Outside article elements a line goes if one of the nearest two
+    different pages shares it; a copy is a page with more than half of those lines that fewer
+    than half of the pages around hold (with a single page around: half of all lines). Inside an
+    article element, where neighbours may well quote the same line, all of the six nearest must
+    share it, three at least; a copy is a page with more than half of its lines.
     """
-    left, marked = body_lines(lines)
-    wanted = ARTICLE_NEIGHBOURS if marked else PAGE_NEIGHBOURS
-    gone: set[int] = set()
-    compared = 0
-    for other in neighbours[:wanted]:
-        shared = set(shared_lines(left, body_lines(other)[0]))
-        if len(shared) >= COPY_SHARE * len(left):
+    others = list({other.content: other for other in near if other.content != page.content}.values())
+    own = [page.marks[i] for i in page.body]
+    known = set(page.marks)
+
+    def common(mine: list[int], theirs: list[int]) -> set[int]:
+        return set() if known.isdisjoint(theirs) else set(shared_lines(mine, theirs))
+
+    if page.marked or len(others) < 2:
+        judged, half = set(range(len(own))), len(others) >= 2
+    else:
+        held = Counter(mark for other in others for mark in known.intersection(other.marks))
+        judged, half = {i for i, mark in enumerate(own) if 2 * held[mark] < len(others)}, True
+    wanted = ARTICLE_NEIGHBOURS if page.marked else PAGE_NEIGHBOURS
+    found: list[set[int]] = []
+    seen: set[int] = set()
+    for other in others:
+        lines = common(own, [other.marks[i] for i in other.body])
+        same = 2 * len(lines & judged)
+        if judged and (same > len(judged) or (not half and same == len(judged))):
             continue
-        gone = gone & shared if marked and compared else gone | shared
-        compared += 1
-        if marked and not gone:
+        found.append(lines)
+        if len(found) <= PAGE_NEIGHBOURS:
+            seen |= common(page.marks, other.marks)
+        if len(found) == wanted:
             break
-    if marked and compared < wanted:
-        gone = set()
-    return "\n\n".join(line for i, line in enumerate(left) if i not in gone)
-
-
-_LINES = "lines array<struct<line: string, place: int>>"
+    if not found or not judged or (page.marked and len(found) < LEAST_ARTICLE_NEIGHBOURS):
+        return set(), len(seen)
+    return (set.intersection(*found) if page.marked else set.union(*found)), len(seen)
+
+
+def around(pages: Sequence[Page | None], at: int) -> Iterator[Page]:
+    """The pages within the window around a place, from the nearest outwards."""
+    for away in range(1, WINDOW + 1):
+        for i in (at - away, at + away):
+            if 0 <= i < len(pages) and pages[i] is not None:
+                yield pages[i]
+
+
+def _page(html: str | None) -> dict:
+    found = page_lines(html)
+    body, marked = body_places([place for _, place in found])
+    marks = [xxhash.xxh64_intdigest(line) - (1 << 63) for line, _ in found]
+    content = xxhash.xxh128_digest(repr((marks, body, marked)))
+    return {
+        "lines": [found[i][0] for i in body],
+        "content": content,
+        "marks": marks,
+        "body": body,
+        "marked": marked,
+    }
+
+
+_PAGE_KINDS = {
+    "lines": pa.list_(pa.string()),
+    "content": pa.binary(),
+    "marks": pa.list_(pa.int64()),
+    "body": pa.list_(pa.int32()),
+    "marked": pa.bool_(),
+}
+_PAGE_COLUMNS = (
+    "lines array<string>, content binary, marks array<long>, body array<int>, marked boolean"
+)
 
 
 def _parse(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    kind = pa.list_(pa.struct([("line", pa.string()), ("place", pa.int32())]))
+    kept = ["id", "url", "host", "path"]
     for batch in batches:
-        found = [
-            [{"line": line, "place": place} for line, place in page_lines(html.as_py())]
-            for html in batch["html"]
-        ]
-        kept = [batch[c] for c in ("id", "url", "host", "path", "slot")]
+        found = [_page(html.as_py()) for html in batch["html"]]
+        columns = [pa.array([f[c] for f in found], kind) for c, kind in _PAGE_KINDS.items()]
         yield pa.RecordBatch.from_arrays(
-            [*kept, pa.array(found, kind)], ["id", "url", "host", "path", "slot", "lines"]
+            [*(batch[c] for c in kept), *columns], [*kept, *_PAGE_KINDS]
         )
 
 
-def _difference(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Pages in order of host, slot and path: each against the nearest other paths around it."""
-    reach = max(PAGE_NEIGHBOURS, ARTICLE_NEIGHBOURS) // 2
-
-    def rows() -> Iterator[tuple]:
-        for batch in batches:
-            columns = [batch[c].to_pylist() for c in ("host", "slot", "path", "id", "url", "lines")]
-            for host, slot, path, own, url, lines in zip(*columns):
-                yield (host, slot), path, own, url, [(x["line"], x["place"]) for x in lines]
-
-    def settled(paths: list[list[tuple]], at: int) -> Iterator[tuple]:
-        """Texts of the pages of one path, by the last pages of the paths before and behind."""
-        near = [
-            paths[i][-1][4]
-            for away in range(1, reach + 1)
-            for i in (at - away, at + away)
-            if 0 <= i < len(paths) and paths[at][0][0][0]
-        ]
-        for _, _, own, url, lines in paths[at]:
-            yield own, url, main_text(lines, near)
-
-    def texts() -> Iterator[tuple]:
-        # Paths of one host and slot: those before the one to settle next, and those behind it.
-        paths: list[list[tuple]] = []
-        at = 0
-        for row in rows():
-            if paths and row[:2] == paths[-1][0][:2]:
-                paths[-1].append(row)
-                continue
-            if paths and row[0] != paths[-1][0][0]:
-                for i in range(at, len(paths)):
-                    yield from settled(paths, i)
-                paths, at = [], 0
-            elif len(paths) - at > reach:
-                yield from settled(paths, at)
-                at += 1
-                if at > reach:
-                    del paths[0]
-                    at -= 1
-            paths.append([row])
-        for i in range(at, len(paths)):
-            yield from settled(paths, i)
-
-    names, kinds, held = ["id", "url", "text"], [pa.int64(), pa.string(), pa.string()], []
-    for found in texts():
-        held.append(found)
-        if len(held) == 500:
-            yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*held), kinds)], names)
-            held = []
-    if held:
-        yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*held), kinds)], names)
+def _judge(block: pa.Table) -> pa.Table:
+    """Shared lines of the block's own pages; the pages beside the block are neighbours only."""
+    block = block.sort_by("position")
+    names = ("host", "path", "content", "marks", "body", "marked", "own")
+    rows = list(zip(*(block[c].to_pylist() for c in names)))
+    pages = [Page(*row[2:6]) for row in rows]
+    found = []
+    for at, (host, path, content, *_, own) in enumerate(rows):
+        if own:
+            low = max(0, at - WINDOW)
+            same = [
+                page if row[0] == host else None
+                for page, row in zip(pages[low : at + WINDOW + 1], rows[low : at + WINDOW + 1])
+            ]
+            gone, shared = shared_with(pages[at], around(same, at - low))
+            if shared or gone:
+                found.append((host, path, content, sorted(gone), shared))
+    columns = list(zip(*found)) or [()] * 5
+    kinds = [pa.string(), pa.string(), pa.binary(), pa.list_(pa.int32()), pa.int64()]
+    return pa.Table.from_arrays(
+        [pa.array(c, k) for c, k in zip(columns, kinds)],
+        names=["host", "path", "content", "gone", "shared"],
+    )
+
+
+def _numbered(contents: DataFrame) -> DataFrame:
+    """The rows with `position`, their number in the order of host, path and content.
+
+    Spark sorts ranges of them; the driver sees one count per range.
+    """
+    spark, keys = contents.sparkSession, ["host", "path", "content"]
+    ranged = contents.repartitionByRange(*keys).sortWithinPartitions(*keys)
+    ranged = store(ranged.withColumn("at", F.monotonically_increasing_id()))
+    part = F.shiftright("at", 33)
+    sizes = ranged.groupBy(part.alias("part")).count().orderBy("part").collect()
+    starts = [0, *accumulate(r["count"] for r in sizes)]
+    offsets = spark.createDataFrame(
+        [(r["part"], start) for r, start in zip(sizes, starts)], "part long, start long"
+    )
+    place = F.col("at").bitwiseAND((1 << 33) - 1)
+    return (
+        ranged.withColumn("part", part)
+        .join(offsets, "part")
+        .withColumn("position", F.col("start") + place)
+        .drop("part", "start", "at")
+    )
 
 
 def extract_main_text(
     pages: DataFrame, id_col: str = "page_id", url_col: str = "url", html_col: str = "html"
 ) -> DataFrame:
-    """One row per page: id, url, `text` (blocks in page order by two line feeds), `n_chars`.
-
-    Pages are sorted by path within their host and compared with the nearest pages on either side
-    that have another path. Null and empty pages have an empty text. Pages without a host, and
-    hosts with one path, are judged by their markup alone. Rows that repeat give rows that
-    repeat. An empty table gives an empty result. Hosts with many pages are dealt to blocks by a
-    hash of path and id, so that neighbours are the nearest of a block; there are at most
-    HOT_HOSTS such hosts, whatever the number of pages. Pages stream through their task.
+    """One row per page: id, url, `text` (blocks in page order by two line feeds), `n_chars`,
+    `n_shared` (visible lines, menus included, shared with the nearest two different pages) and
+    `n_template` (lines of the body that went because neighbours share them).
+
+    Pages are sorted by path within their host and compared with the nearest different pages,
+    whichever side they lie on, up to WINDOW of them on either side. Null and empty pages have
+    an empty text. Pages without a host, and hosts with one page, are judged by their markup
+    alone. Rows that repeat give rows that repeat. An empty table gives an empty result. Ids may
+    have any type; other columns of `pages` are not read, so none can clash.
+
+    Pages are numbered in that order and judged in blocks of BLOCK numbers, each with the pages
+    beside it, so a host of any size is split and no result depends on where. Only hashes of
+    lines move; texts are stored once and meet the lines they lose in a join.
     """
     host, path = url_parts(F.col("url"))
     base = named(pages, id=id_col, url=url_col, html=html_col)
-    placed = base.select("id", "url", "html", host.alias("host"), path.alias("path"))
-    block = max(HOST_BLOCK, row_count(base) // HOT_HOSTS)
-    hot = placed.groupBy("host").count().where(F.col("count") > block).collect()
-    slots = F.lit(1)
-    if hot:
-        dealt = F.create_map(*[F.lit(x) for r in hot for x in (r["host"], -(-r["count"] // block))])
-        slots = F.coalesce(dealt[F.col("host")], F.lit(1))
-    lined = placed.withColumn("slot", F.pmod(F.xxhash64("path", "id"), slots).cast("int")).mapInArrow(
-        _parse, f"id long, url string, host string, path string, slot int, {_LINES}"
+    placed = base.select("id", "url", host.alias("host"), path.alias("path"), "html")
+    schema = f"{placed.drop('html').schema.toDDL()}, {_PAGE_COLUMNS}"
+    lined = store(placed.mapInArrow(_parse, schema))
+    keys = ["host", "path", "content"]
+    contents = (
+        lined.where("host <> ''").select(*keys, "marks", "body", "marked").dropDuplicates(keys)
     )
-    found = (
-        lined.repartition("host", "slot")
-        .sortWithinPartitions("host", "slot", "path", "id")
-        .mapInArrow(_difference, "id long, url string, text string")
+    numbered = _numbered(contents)
+    block, place = F.expr(f"position div {BLOCK}"), F.col("position") % BLOCK
+    blocks = F.array(
+        block,
+        F.when((place < WINDOW) & (block > 0), block - 1),
+        F.when(place >= BLOCK - WINDOW, block + 1),
     )
-    return found.select(
-        F.col("id").alias(id_col),
-        F.col("url").alias(url_col),
-        "text",
-        F.length("text").cast("long").alias("n_chars"),
+    found = store(
+        numbered.withColumn("block", F.explode(F.array_compact(blocks)))
+        .withColumn("own", F.col("block") == block)
+        .groupBy("block")
+        .applyInArrow(
+            _judge, "host string, path string, content binary, gone array<int>, shared long"
+        )
+    )
+    gone = F.coalesce("gone", F.array().cast("array<int>"))
+    left = F.filter("lines", lambda line, i: ~F.array_contains(gone, i))
+    return (
+        lined.select("id", "url", "lines", *keys)
+        .join(found, keys, "left")
+        .withColumn("text", F.array_join(left, "\n\n"))
+        .select(
+            F.col("id").alias(id_col),
+            F.col("url").alias(url_col),
+            "text",
+            F.length("text").cast("long").alias("n_chars"),
+            F.coalesce("shared", F.lit(0)).cast("long").alias("n_shared"),
+            F.size(gone).cast("long").alias("n_template"),
+        )
     )
