@@ -98,17 +98,30 @@ def _let(value: Column, body: Callable[[Column], Column]) -> Column:
     return F.transform(F.array(value), body)[0]
 
 
+def held_words(texts: DataFrame, vocabulary: Sequence[str]) -> DataFrame:
+    """`digest` of each text and `words`, the distinct template words that it holds.
+
+    The only place where all texts are cut into words; stored, because frequencies and both
+    gates read it.
+    """
+    held = F.array_intersect(_words(F.col("text")), _literals(vocabulary))
+    return store(texts.select(_digest(F.col("text")).alias("digest"), held.alias("words")))
+
+
+def _digest(text: Column) -> Column:
+    return F.unhex(F.sha2(text, 256))
+
+
 def inverse_frequencies(
-    texts: DataFrame, vocabulary: Sequence[str]
+    held: DataFrame, vocabulary: Sequence[str]
 ) -> tuple[dict[str, float], float]:
     """Inverse document frequency of each template word over all texts, and of any other word.
 
     Counted before the shuffle; the driver sees one number per template word.
     """
-    known = _literals(vocabulary)
-    held = texts.select(F.explode(F.array_intersect(_words(F.col("text")), known)).alias("word"))
-    counts = {r["word"]: r["count"] for r in held.groupBy("word").count().collect()}
-    documents = row_count(texts)
+    words = held.select(F.explode("words").alias("word"))
+    counts = {r["word"]: r["count"] for r in words.groupBy("word").count().collect()}
+    documents = row_count(held)
     idf = {w: math.log((1 + documents) / (1 + counts.get(w, 0))) + 1 for w in vocabulary}
     return idf, math.log(1 + documents) + 1
 
@@ -243,14 +256,15 @@ def heavy_words(vector: Mapping[str, float], least: float) -> tuple[list[str], i
 
 
 def _passes(
-    text: Column, vectors: Sequence[tuple[str, dict[str, float]]], least: float
+    words: Column, vectors: Sequence[tuple[str, dict[str, float]]], least: float
 ) -> Column:
-    """Whether a text shares enough of some full text's words to be within `least` of it."""
+    """Whether these distinct words of a text are enough of some full text's words for it to be
+    within `least` of that."""
 
-    def mass(own: Column, vector: dict[str, float]) -> Column:
+    def mass(vector: dict[str, float]) -> Column:
         parts = [
-            F.size(F.array_intersect(own, _literals(words))) * F.lit(greatest)
-            for words, greatest in gate(vector)
+            F.size(F.array_intersect(words, _literals(some))) * F.lit(greatest)
+            for some, greatest in gate(vector)
         ]
         return sum(parts, F.lit(0.0))
 
@@ -259,26 +273,29 @@ def _passes(
     fewest = min(needed for _, needed in heavy)
     enough = least * least - 1e-9
 
-    def any_passes(words: Column, own: Column) -> Column:
+    def any_passes(own: Column) -> Column:
         tests = [
-            (F.size(F.array_intersect(own, _literals(some))) >= needed)
-            & (mass(words, vector) >= enough)
+            (F.size(F.array_intersect(own, _literals(some))) >= needed) & (mass(vector) >= enough)
             for (some, needed), (_, vector) in zip(heavy, vectors)
         ]
         return functools.reduce(lambda x, y: x | y, tests)
 
     # The constant set of heavy words is built once, not for each text.
     return _let(
-        _words(text),
-        lambda words: _let(
-            F.array_distinct(F.filter(words, lambda w: w.isin(every))),
-            lambda own: (F.size(own) >= fewest) & any_passes(words, own),
-        ),
+        F.filter(words, lambda w: w.isin(every)),
+        lambda own: (F.size(own) >= fewest) & any_passes(own),
     )
 
 
+def _with_digests(texts: DataFrame, digests: DataFrame) -> DataFrame:
+    """`digest` and `text` of the texts that have one of these digests."""
+    keyed = texts.select(_digest(F.col("text")).alias("digest"), "text")
+    return keyed.join(store(digests.distinct()), "digest", "left_semi")
+
+
 def full_matches(
     texts: DataFrame,
+    held: DataFrame,
     vectors: Sequence[tuple[str, dict[str, float]]],
     idf: dict[str, float],
     other: float,
@@ -286,9 +303,9 @@ def full_matches(
 ) -> DataFrame:
     """`digest` and `full`, the nearest full text, of each distinct text within `least` of one."""
     spark = texts.sparkSession
-    passed = texts.where(_passes(F.col("text"), vectors, least))
+    passed = held.where(_passes(F.col("words"), vectors, least)).select("digest")
     counted = (
-        passed.select(F.sha2("text", 256).alias("digest"), "text")
+        _with_digests(texts, passed)
         .dropDuplicates(["digest"])
         .select("digest", F.explode(_words(F.col("text"))).alias("word"))
         .groupBy("digest", "word")
@@ -331,6 +348,60 @@ def full_matches(
     return best.where(F.col("full")["score"] >= least)
 
 
+def notice_matches(
+    texts: DataFrame,
+    held: DataFrame,
+    templates: Mapping[str, Sequence[str]],
+    idf: dict[str, float],
+    other: float,
+    least: float,
+) -> DataFrame:
+    """What notices say of each distinct text that is within `least` of one: `digest`; `spoken`,
+    the nearest one of a text that has no word which the notices of that licence lack; `head`,
+    the nearest one of the whole text and of its lines.
+    """
+    forms = [(name, template_words(text)) for name, found in templates.items() for text in found]
+    vectors = [(name, unit_vector(words, idf)) for name, words in forms]
+    marked = sorted({m for _, vector in vectors for m in markers(vector, least)})
+    if not marked:
+        nothing = [F.lit(None).cast(_SCORE).alias(c) for c in ("spoken", "head")]
+        return held.select("digest", *nothing).where("false")
+    may_match = rf"(?<![a-z0-9])(?:{'|'.join(marked)})(?![a-z0-9])"
+    candidates = held.where(F.arrays_overlap("words", _literals(marked))).select("digest")
+    lines = F.filter(F.split("text", "[\r\n]+"), lambda x: F.lower(x).rlike(may_match))
+    # The words of each licence's notices: a file of nothing else is a licence file.
+    said = F.create_map(
+        *[
+            x
+            for name, found in templates.items()
+            for x in (
+                F.lit(name),
+                _literals(sorted({w for text in found for w in template_words(text)})),
+            )
+        ]
+    )
+
+    def judged(best: Column) -> Column:
+        only = F.size(F.array_except(_words(F.col("text")), said[best["license"]])) == 0
+        return F.struct(best.alias("best"), only.alias("only"))
+
+    scored = _with_digests(texts, candidates).select(
+        "digest",
+        _let(_best(F.col("text"), vectors, idf, other), judged).alias("whole"),
+        F.array_max(F.transform(lines, lambda x: _best(x, vectors, idf, other))).alias("line"),
+    )
+    best = F.col("whole.best")
+    spoken = F.when((best["score"] >= least) & F.col("whole.only"), best)
+    head = _let(F.greatest(best, "line"), lambda x: F.when(x["score"] >= least, x))
+    # Tested behind the aggregate: a filter on the scores would move below the join.
+    return (
+        scored.select("digest", spoken.alias("spoken"), head.alias("head"))
+        .groupBy("digest")
+        .agg(F.max("spoken").alias("spoken"), F.max("head").alias("head"))
+        .where("head IS NOT NULL")
+    )
+
+
 def directory_of(path: Column) -> Column:
     """The path without its last part; the empty text for a path without directories."""
     return F.regexp_replace(path, "(^|/)[^/]*$", "")
@@ -364,85 +435,57 @@ def scan_licenses(
     with neither inherits (`inherited`) from the licence file of its nearest directory upwards;
     of several in one directory the highest score counts, then the last name. Others have a
     null license and score 0. Null texts, empty texts and null paths match nothing; a null path
-    inherits nothing. Names that `files` has already get an underscore. Scores need no shuffle,
-    only licence files and distinct directories are joined, and rows meet their directory in a
-    join that adaptive execution splits.
+    inherits nothing. Names that `files` has already get an underscore. All texts are cut into
+    words once; only those that share enough template words are scored, once per distinct text
+    in its matches. Rows meet their text's match and their directory in joins that adaptive
+    execution splits.
     """
-    forms = [(name, template_words(text)) for name, texts in templates.items() for text in texts]
+    forms = [(name, template_words(text)) for name, found in templates.items() for text in found]
     texts = full_texts() if texts is None else texts
     wholes = [(name, template_words(text)) for name, found in texts.items() for text in found]
     vocabulary = sorted({w for _, words in forms for w in words})
     full_vocabulary = sorted({w for _, words in wholes for w in words})
     bodies = files.select(F.col(f"`{text_col}`").alias("text")).where("text IS NOT NULL")
-    every, other = inverse_frequencies(bodies, sorted({*vocabulary, *full_vocabulary}))
+    known = sorted({*vocabulary, *full_vocabulary})
+    held = held_words(bodies, known)
+    every, other = inverse_frequencies(held, known)
     idf = {w: every[w] for w in vocabulary}
-    full_idf = {w: every[w] for w in full_vocabulary}
-    full_vectors = [(name, unit_vector(words, full_idf)) for name, words in wholes]
-    vectors = [(name, unit_vector(words, idf)) for name, words in forms]
-    marked = sorted({m for _, vector in vectors for m in markers(vector, least)})
-    may_match = rf"(?<![a-z0-9])(?:{'|'.join(marked)})(?![a-z0-9])"
+    matches = notice_matches(bodies, held, templates, idf, other, least)
+    full = F.lit(None).cast(_SCORE)
+    if wholes:
+        full_idf = {w: every[w] for w in full_vocabulary}
+        vectors = [(name, unit_vector(words, full_idf)) for name, words in wholes]
+        matches = matches.join(
+            full_matches(bodies, held, vectors, full_idf, other, least), "digest", "full"
+        )
+        full = F.col("full")
+    matches = store(matches.select("digest", F.coalesce(full, "spoken").alias("own"), "head"))
 
-    directory, whole, line, full, digest, *result = fresh(
-        files, "directory", "whole", "line", "full", "digest",
-        "license", "score", "origin", "license_dir",
+    directory, digest, *result = fresh(
+        files, "directory", "digest", "license", "score", "origin", "license_dir"
     )
-    nothing = F.lit(None).cast(_SCORE)
-    body = F.col(f"`{text_col}`")
-    candidate = F.coalesce(F.lower(body).rlike(may_match), F.lit(False))
-    lines = F.filter(F.split(body, "[\r\n]+"), lambda x: F.lower(x).rlike(may_match))
-    line_scores = F.transform(lines, lambda x: _best(x, vectors, idf, other))
-    # The words of each licence's notices: a file of nothing else is a licence file.
-    said = F.create_map(
-        *[
-            x
-            for name, found in templates.items()
-            for x in (
-                F.lit(name),
-                _literals(sorted({w for text in found for w in template_words(text)})),
-            )
-        ]
+    keyed = files.withColumns(
+        {directory: directory_of(path), digest: _digest(F.col(f"`{text_col}`"))}
     )
-
-    def judged(best: Column) -> Column:
-        only = F.size(F.array_except(_words(body), said[best["license"]])) == 0
-        return F.struct(
-            best.alias("best"), F.when((best["score"] >= least) & only, best).alias("spoken")
-        )
-
-    keyed = files.withColumn(full, nothing)
-    if wholes:
-        matches = store(full_matches(bodies, full_vectors, full_idf, other, least))
-        matches = matches.select(F.col("digest").alias(digest), F.col("full").alias(full))
-        keyed = files.withColumn(digest, F.sha2(body, 256)).join(matches, digest, "left")
-    scored = keyed.withColumns(
-        {
-            directory: directory_of(path),
-            whole: F.when(candidate, _let(_best(body, vectors, idf, other), judged)),
-            line: F.when(candidate, F.array_max(line_scores)).otherwise(nothing),
-        }
+    speaking = (
+        keyed.select(F.col(directory).alias("directory"), F.col(digest).alias("digest"))
+        .where("directory IS NOT NULL")
+        .join(matches.where("own IS NOT NULL"), "digest")
     )
-    def sure(score: Column) -> Column:
-        return F.when(score["score"] >= least, score)
-
-    def speaks(row: str = "") -> Column:
-        return F.coalesce(F.col(row + full), F.col(row + whole)["spoken"])
-
-    speaking = scored.select(
-        F.col(directory).alias("directory"), speaks().alias("found")
-    ).where("found IS NOT NULL AND directory IS NOT NULL")
-    licensed = store(speaking.groupBy("directory").agg(F.max("found").alias("found")))
-    directories = scored.select(F.col(directory).alias("of")).where("of IS NOT NULL").distinct()
+    licensed = store(speaking.groupBy("directory").agg(F.max("own").alias("found")))
+    directories = keyed.select(F.col(directory).alias("of")).where("of IS NOT NULL").distinct()
     above = directories.select("of", F.inline(_ancestors(F.col("of"))))
     nearest = store(
         above.join(licensed, F.col("above") == F.col("directory"))
         .groupBy("of")
         .agg(F.max(F.struct("depth", "above", "found")).alias("nearest"))
     )
-    rows = scored.alias("rows").join(
-        nearest.alias("near"), F.col(f"rows.{directory}") == F.col("near.of"), "left"
+    rows = (
+        keyed.alias("rows")
+        .join(matches.alias("own"), F.col(f"rows.{digest}") == F.col("own.digest"), "left")
+        .join(nearest.alias("near"), F.col(f"rows.{directory}") == F.col("near.of"), "left")
     )
-    own = speaks("rows.")
-    head = _let(F.greatest(F.col(f"rows.{whole}")["best"], F.col(f"rows.{line}")), sure)
+    own, head = F.col("own.own"), F.col("own.head")
     inherited = F.col("near.nearest.found")
     found = F.coalesce(own, head, inherited)
     origin = (
