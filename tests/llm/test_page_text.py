@@ -11,7 +11,7 @@ from trapiche.llm.page_text import (
     extract_main_text,
     page_lines,
     shared_lines,
-    shared_with,
+    template_lines,
 )
 
 PAGE = """<!DOCTYPE html><html><head><title>T</title><style>p{}</style>
@@ -30,7 +30,7 @@ def as_page(html):
 
 def main_text(html, near=()):
     """The text of a page beside some neighbours, from the nearest outwards."""
-    gone, _ = shared_with(as_page(html), [as_page(other) for other in near])
+    gone = template_lines(as_page(html), [as_page(other) for other in near])
     return "\n\n".join(x for i, x in enumerate(_page(html)["lines"]) if i not in gone)
 
 
@@ -99,7 +99,7 @@ def test_differencing_removes_the_template(spark, monkeypatch, block):
     rows += [(102, "http://h.com/a/zzz", None), (103, None, unmarked(7)), (None, "no host", unmarked(8))]
     rows += [(104, "http://c.com/1", unmarked(50)), (105, "http://c.com/2", unmarked(50))]
     pages = spark.createDataFrame(rows, "page_id long, url string, html string").repartition(4)
-    pages = pages.withColumns({c: F.lit("own") for c in ("text", "host", "path", "content", "lines", "id", "n_shared")})
+    pages = pages.withColumns({c: F.lit("own") for c in ("text", "host", "path", "content", "lines", "id", "mark")})
     found = {r["page_id"]: r for r in extract_main_text(pages).collect()}
     assert len(found) == len(rows)
 
@@ -154,9 +154,10 @@ def expected_texts(rows):
     for own, host, path, html in rows:
         order = sorted(hosts[host])
         pages = [hosts[host][key] for key in order]
-        gone, seen = shared_with(as_page(html), around(pages, order.index((path, as_page(html).content))))
+        place = order.index((path, as_page(html).content))
+        gone = template_lines(as_page(html), around(pages, place))
         kept = [x for i, x in enumerate(_page(html)["lines"]) if i not in gone]
-        texts[own] = ("\n\n".join(kept), seen, len(gone))
+        texts[own] = ("\n\n".join(kept), len(gone))
     return texts
 
 
@@ -180,12 +181,12 @@ def test_whole_operator_equals_plain_differencing(spark, monkeypatch, block):
         "page_id long, url string, html string",
     ).repartition(5)
     found = {
-        r["page_id"]: (r["text"], r["n_shared"], r["n_template"])
+        r["page_id"]: (r["text"], r["n_template"])
         for r in extract_main_text(table).collect()
     }
     expected = expected_texts(rows)
     assert found == expected
-    assert sum(gone > 0 for _, _, gone in expected.values()) > 100
+    assert sum(gone > 0 for _, gone in expected.values()) > 100
 
 
 def test_text_ids(spark):

@@ -14,6 +14,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from trapiche.llm.common import named
+from trapiche.llm.key_filter import key_filter
 from trapiche.llm.url_rules import url_parts
 from trapiche.sinks.writers import store
 
@@ -236,8 +237,8 @@ class Page(NamedTuple):
     marked: bool
 
 
-def shared_with(page: Page, near: Iterable[Page]) -> tuple[set[int], int]:
-    """Body lines that belong to the template, and how many visible lines neighbours share.
+def template_lines(page: Page, near: Iterable[Page]) -> set[int]:
+    """Body lines that belong to the template, by their number in the body.
 
     `near` goes from the nearest outwards; pages with equal content are one page, and the page's
     own content is skipped. A neighbour that is a copy of the article shows no template and the
@@ -249,11 +250,7 @@ def shared_with(page: Page, near: Iterable[Page]) -> tuple[set[int], int]:
     """
     others = list({other.content: other for other in near if other.content != page.content}.values())
     own = [page.marks[i] for i in page.body]
-    known = set(page.marks)
-
-    def common(mine: list[int], theirs: list[int]) -> set[int]:
-        return set() if known.isdisjoint(theirs) else set(shared_lines(mine, theirs))
-
+    known = set(own)
     if page.marked or len(others) < 2:
         judged, half = set(range(len(own))), len(others) >= 2
     else:
@@ -261,20 +258,18 @@ def shared_with(page: Page, near: Iterable[Page]) -> tuple[set[int], int]:
         judged, half = {i for i, mark in enumerate(own) if 2 * held[mark] < len(others)}, True
     wanted = ARTICLE_NEIGHBOURS if page.marked else PAGE_NEIGHBOURS
     found: list[set[int]] = []
-    seen: set[int] = set()
     for other in others:
-        lines = common(own, [other.marks[i] for i in other.body])
+        theirs = [other.marks[i] for i in other.body]
+        lines = set() if known.isdisjoint(theirs) else set(shared_lines(own, theirs))
         same = 2 * len(lines & judged)
         if judged and (same > len(judged) or (not half and same == len(judged))):
             continue
         found.append(lines)
-        if len(found) <= PAGE_NEIGHBOURS:
-            seen |= common(page.marks, other.marks)
         if len(found) == wanted:
             break
     if not found or not judged or (page.marked and len(found) < LEAST_ARTICLE_NEIGHBOURS):
-        return set(), len(seen)
-    return (set.intersection(*found) if page.marked else set.union(*found)), len(seen)
+        return set()
+    return set.intersection(*found) if page.marked else set.union(*found)
 
 
 def around(pages: Sequence[Page | None], at: int) -> Iterator[Page]:
@@ -322,7 +317,7 @@ def _parse(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _judge(block: pa.Table) -> pa.Table:
-    """Shared lines of the block's own pages; the pages beside the block are neighbours only."""
+    """Template lines of the block's own pages; the pages beside it are neighbours only."""
     block = block.sort_by("position")
     names = ("host", "path", "content", "marks", "body", "marked", "own")
     rows = list(zip(*(block[c].to_pylist() for c in names)))
@@ -335,14 +330,14 @@ def _judge(block: pa.Table) -> pa.Table:
                 page if row[0] == host else None
                 for page, row in zip(pages[low : at + WINDOW + 1], rows[low : at + WINDOW + 1])
             ]
-            gone, shared = shared_with(pages[at], around(same, at - low))
-            if shared or gone:
-                found.append((host, path, content, sorted(gone), shared))
-    columns = list(zip(*found)) or [()] * 5
-    kinds = [pa.string(), pa.string(), pa.binary(), pa.list_(pa.int32()), pa.int64()]
+            gone = template_lines(pages[at], around(same, at - low))
+            if gone:
+                found.append((host, path, content, sorted(gone)))
+    columns = list(zip(*found)) or [()] * 4
+    kinds = [pa.string(), pa.string(), pa.binary(), pa.list_(pa.int32())]
     return pa.Table.from_arrays(
         [pa.array(c, k) for c, k in zip(columns, kinds)],
-        names=["host", "path", "content", "gone", "shared"],
+        names=["host", "path", "content", "gone"],
     )
 
 
@@ -372,8 +367,7 @@ def _numbered(contents: DataFrame) -> DataFrame:
 def extract_main_text(
     pages: DataFrame, id_col: str = "page_id", url_col: str = "url", html_col: str = "html"
 ) -> DataFrame:
-    """One row per page: id, url, `text` (blocks in page order by two line feeds), `n_chars`,
-    `n_shared` (visible lines, menus included, shared with the nearest two different pages) and
+    """One row per page: id, url, `text` (blocks in page order by two line feeds), `n_chars` and
     `n_template` (lines of the body that went because neighbours share them).
 
     Pages are sorted by path within their host and compared with the nearest different pages,
@@ -384,7 +378,8 @@ def extract_main_text(
 
     Pages are numbered in that order and judged in blocks of BLOCK numbers, each with the pages
     beside it, so a host of any size is split and no result depends on where. Only hashes of
-    lines move; texts are stored once and meet the lines they lose in a join.
+    lines move; texts are stored once, and a filter over the pages that lose lines lets no other
+    text into the join that takes the lines out.
     """
     host, path = url_parts(F.col("url"))
     base = named(pages, id=id_col, url=url_col, html=html_col)
@@ -407,21 +402,24 @@ def extract_main_text(
         .withColumn("own", F.col("block") == block)
         .groupBy("block")
         .applyInArrow(
-            _judge, "host string, path string, content binary, gone array<int>, shared long"
+            _judge, "host string, path string, content binary, gone array<int>"
         )
     )
+    mark = F.xxhash64(*keys)
+    losing = key_filter(found.select(mark.alias("key")).distinct()).test(F.col("mark"))
+    texts = lined.select("id", "url", "lines", *keys, mark.alias("mark"))
+    moved = texts.where(losing).join(found, keys, "left")
+    unmoved = texts.where(~losing).withColumn("gone", F.lit(None).cast("array<int>"))
     gone = F.coalesce("gone", F.array().cast("array<int>"))
     left = F.filter("lines", lambda line, i: ~F.array_contains(gone, i))
     return (
-        lined.select("id", "url", "lines", *keys)
-        .join(found, keys, "left")
+        unmoved.unionByName(moved)
         .withColumn("text", F.array_join(left, "\n\n"))
         .select(
             F.col("id").alias(id_col),
             F.col("url").alias(url_col),
             "text",
             F.length("text").cast("long").alias("n_chars"),
-            F.coalesce("shared", F.lit(0)).cast("long").alias("n_shared"),
             F.size(gone).cast("long").alias("n_template"),
         )
     )
