@@ -160,3 +160,43 @@ def test_groups_fit_as_if_alone(table):
     squares = R.residual_squares(df, models, group_cols=["ingenio"])
     again = {r["ingenio"]: r for r in R.inference(models, squares=squares, group_cols=["ingenio"]).collect()}
     assert again["a"]["SSE"] == pytest.approx(stats["a"]["SSE"])
+
+
+def exact_share(df, keys, **more):
+    """(rows, tested rows) of an exact split, read twice."""
+    split = R.with_split(df, keys, exact=True, **more)
+    first = sorted(split.collect(), key=repr)
+    assert first == sorted(split.collect(), key=repr)
+    assert split.columns == [*df.columns, "is_test"]
+    return len(first), sum(r["is_test"] for r in first), first
+
+
+def test_exact_split_with_a_third_of_the_keys_equal(table):
+    # Every key in turn is the hot one, so that the bound falls inside it for some.
+    for hot in range(4):
+        rows = [(f"m{hot}", "s", float(i), 0.0) for i in range(20)]
+        rows += [(f"m{i}", "s", 100.0 + i, 0.0) for i in range(4, 43)]
+        n, tested, _ = exact_share(table(rows, KEYED), ["ingenio", "zafra"])
+        assert (n, tested) == (59, math.ceil(0.2 * 59))
+
+
+def test_exact_split_of_one_key_is_by_lineage(table):
+    df = table([("m", "s", float(i), 1.0) for i in range(50)], KEYED)
+    n, tested, first = exact_share(df, ["ingenio", "zafra"], lineage=[SPEC.net])
+    assert (n, tested) == (50, 10)
+    again = R.with_split(df.repartition(7), ["ingenio", "zafra"], exact=True, lineage=[SPEC.net])
+    assert sorted(again.collect(), key=repr) == first
+
+
+def test_exact_split_of_rows_that_are_alike(table):
+    rows = [("m", "s", 1.0, 1.0)] * 31 + [(None, "s", None, 2.0), ("m", None, 1.0, 1.0)]
+    for lineage in (None, [], [SPEC.output]):
+        n, tested, _ = exact_share(table(rows, KEYED), ["ingenio", "zafra"], lineage=lineage)
+        assert (n, tested) == (33, 7)
+
+
+def test_exact_split_of_nothing_and_of_everything(table):
+    assert exact_share(table([], KEYED), ["ingenio"])[:2] == (0, 0)
+    rows = [("m", "s", float(i % 2), 1.0) for i in range(9)]
+    assert exact_share(table(rows, KEYED), ["ingenio"], test_fraction=1.0)[:2] == (9, 9)
+    assert exact_share(table(rows, KEYED), ["ingenio"], test_fraction=0.0)[:2] == (9, 0)

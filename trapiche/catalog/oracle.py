@@ -572,3 +572,19 @@ ORACLE_SQL["incremental_detail"] = _with(TO_DETAIL) + (
 )
 ORACLE_SQL["moments_mill_fit"] = ORACLE_SQL["mill_fit"]
 ORACLE_SQL["moments_ols_stats"] = ORACLE_SQL["ols_stats"]
+ORACLE_SQL["split_equal_keys"] = _with(PANEL) + """select ingenio, zafra, semana,
+  row_number() over (order by md5(zafra || '|42'),
+    md5(zafra || '|' || ingenio || '|' || semana || '|42')) <= ceil(0.2 * count(*) over ()) as is_test
+from panel"""
+DELIVERIES = """with deliveries as (
+  select l_orderkey as pedido, l_suppkey as ingenio, zafra from (
+    select *, start || '-' || (start + 1) as zafra from (
+      select *, year(l_shipdate) - if(month(l_shipdate) < 10, 1, 0) as start from lineitem)))
+"""
+DELIVERY_COUNTS = """count(*) as n_rows, count(distinct pedido) as n_pedido,
+  count(distinct ingenio) as n_ingenio, true as rows_equal, true as pedido_within,
+  true as ingenio_within from deliveries"""
+ORACLE_SQL["sketch_season_counts"] = f"{DELIVERIES} select zafra, {DELIVERY_COUNTS} group by zafra"
+ORACLE_SQL["sketch_filtered_counts"] = (
+    f"{DELIVERIES} select {DELIVERY_COUNTS} where zafra in ('1994-1995', '1995-1996', '1996-1997')"
+)

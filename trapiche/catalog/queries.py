@@ -16,7 +16,17 @@ from pyspark.sql import functions as F
 from trapiche.catalog.panel import text_panel, weekly_panel
 from trapiche.config import DEFAULT_SPEC as SPEC
 from trapiche.functions.numbers import missing_to_null
-from trapiche.operators import conform, filters, forecast, kpi, regression, rollup, scoring, series
+from trapiche.operators import (
+    conform,
+    filters,
+    forecast,
+    kpi,
+    regression,
+    rollup,
+    scoring,
+    series,
+    sketches,
+)
 from trapiche.operators.derive import derive_yields, scale_columns, with_start_year
 from trapiche.operators.moments import fit_moments, moments
 from trapiche.operators.snapshot import latest_snapshot
@@ -338,6 +348,50 @@ def q_profile(spark, sf_dir):
     return report.withColumn("columnas", F.array_join("columnas", ","))
 
 
+def _deliveries(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Order, producer and season of every delivery."""
+    lines = spark.read.parquet(f"{sf_dir}/lineitem.parquet").selectExpr(
+        "l_orderkey AS pedido",
+        f"l_suppkey AS {SPEC.producer}",
+        "year(l_shipdate) - IF(month(l_shipdate) < 10, 1, 0) AS start",
+    )
+    season = f"concat(start, '-', start + 1) AS {SPEC.season}"
+    return lines.selectExpr("pedido", SPEC.producer, season)
+
+
+def _sketches_beside_exact(spark: SparkSession, sf_dir: str, by: list[str], chosen) -> DataFrame:
+    """Exact counts of a selection, and whether those of stored sketches hold them."""
+    counted = ["pedido", SPEC.producer]
+    rows = _deliveries(spark, sf_dir)
+    stored = store(sketches.distinct_sketches(rows, counted, [SPEC.season]))
+    told = sketches.distinct_counts(chosen(stored), counted, by).withColumnRenamed("n_rows", "told")
+    exact = chosen(rows).groupBy(*by).agg(
+        F.count("*").alias("n_rows"),
+        *[F.count_distinct(c).alias(f"n_{c}") for c in counted],
+    )
+    if by:
+        both = exact.join(told, by)
+    else:
+        both = exact.withColumn("_told", told.select(F.struct("*")).scalar()).select("*", "_told.*")
+    within = [
+        F.col(f"n_{c}").between(F.col(f"{c}_low"), F.col(f"{c}_high")).alias(f"{c}_within")
+        for c in counted
+    ]
+    same = (F.col("n_rows") == F.col("told")).alias("rows_equal")
+    return both.select(*by, "n_rows", *[f"n_{c}" for c in counted], same, *within)
+
+
+def q_sketch_season_counts(spark, sf_dir):
+    """Distinct orders and producers of each season, exact and within the stated error."""
+    return _sketches_beside_exact(spark, sf_dir, [SPEC.season], lambda rows: rows)
+
+
+def q_sketch_filtered_counts(spark, sf_dir):
+    """The same over a choice of seasons: sketches are united without reading deliveries."""
+    seasons = F.col(SPEC.season).isin("1994-1995", "1995-1996", "1996-1997")
+    return _sketches_beside_exact(spark, sf_dir, [], lambda rows: rows.where(seasons))
+
+
 def q_kpi_total(spark, sf_dir):
     return rounded(kpi.total_output(seasons(spark, sf_dir)), produccion_total=2)
 
@@ -407,6 +461,13 @@ def q_split_exact(spark, sf_dir):
     return regression.with_split(rows, KEYS, exact=True)
 
 
+def q_split_equal_keys(spark, sf_dir):
+    """Weekly rows keyed by their season alone: the season at the bound is split by lineage."""
+    rows = store(weekly_panel(spark, sf_dir).select(*KEYS, SPEC.period))
+    lineage = [SPEC.producer, SPEC.period]
+    return regression.with_split(rows, [SPEC.season], exact=True, lineage=lineage)
+
+
 MODEL_UNITS = {"sxx": 1e3, "sxy": 1e6, "syy": 1e9}
 
 

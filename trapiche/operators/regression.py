@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 
 from trapiche.config import DEFAULT_SPEC, FeedSpec
 from trapiche.functions.student_t import f_tail, t_critical, t_two_sided_p
+from trapiche.sinks.writers import store
 
 TEST_FRACTION = 0.2
 SEED = 42
@@ -35,46 +36,73 @@ def with_split(
     test_fraction: float = TEST_FRACTION,
     seed: int = SEED,
     exact: bool = False,
+    lineage: Sequence[str] | None = None,
 ) -> DataFrame:
     """Add the boolean `is_test`.
 
     By default a row is tested when its hash falls under the fraction: no job, no shuffle,
-    and about the right share. With `exact` the share is ceil(fraction * rows) to the row
-    (keys must be unique), at the price of a few aggregates over the keys, which run here.
+    and about the right share. With `exact` the share is ceil(fraction * rows) to the row,
+    at the price of a few aggregates over stored hashes, which run here. Rows that share the
+    key at the bound are told apart by `lineage` (all other columns unless given), those that
+    share that too by a number they are stored with: these are rows of which any may be
+    chosen. An exact split reads `df` more than once, so it must give the same rows each time.
     """
     h = split_hash(keys, seed)
     if exact:
-        bound = _exact_bound(df.select(h.alias("h")), test_fraction)
-        return df.withColumn("is_test", F.coalesce(h <= bound, F.lit(False)))
+        if lineage is None:
+            lineage = [c for c in df.columns if c not in keys]
+        return _exact_split(df, h, split_hash([*keys, *lineage], seed), test_fraction)
     bound = format(int(test_fraction * 2**32), "08x")
     return df.withColumn("is_test", F.substring(h, 1, 8) < bound)
 
 
-def _exact_bound(hashes: DataFrame, fraction: float) -> str:
-    """What the k smallest hashes do not exceed, k = ceil(fraction * n), without ranking rows.
+def _exact_split(df: DataFrame, by_key: Column, by_row: Column, fraction: float) -> DataFrame:
+    """Test the k smallest rows by (hash of the key, hash of the row), k = ceil(fraction * n)."""
+    hashes = store(df.select(by_key.alias("h")))
+    wanted = math.ceil(hashes.count() * fraction)
+    bound, left = _bound(hashes, wanted)
+    if not left:
+        return df.withColumn("is_test", by_key <= bound)
+    # One key holds more rows than are still wanted.
+    at_bound = by_key == bound
+    second, left = _bound(store(df.where(at_bound).select(by_row.alias("h"))), left)
+    if not left:
+        return df.withColumn("is_test", (by_key < bound) | at_bound & (by_row <= second))
+    # So do rows that are alike; a stored number stays what it is in every later pass.
+    number = "_number"
+    while number in df.columns:
+        number += "_"
+    alike = at_bound & (by_row == second)
+    numbered = store(df.where(alike).withColumn(number, F.monotonically_increasing_id()))
+    by_number = F.md5(F.col(number).cast("string"))
+    third, _ = _bound(numbered.select(by_number.alias("h")), left)
+    others = df.where(~alike).withColumn(
+        "is_test", (by_key < bound) | at_bound & (by_row < second)
+    )
+    return others.unionByName(numbered.withColumn("is_test", by_number <= third).drop(number))
+
+
+def _bound(hashes: DataFrame, wanted: int) -> tuple[str, int]:
+    """What the smallest `wanted` hashes do not exceed, without ranking rows.
 
     Rows are counted by the next few digits of the hashes that share the digits found so far,
     until a prefix holds exactly the rows that are still wanted. A count sees at most
-    16**BUCKET_DIGITS buckets, and each one divides the rows left by as many.
+    16**BUCKET_DIGITS buckets, and each one divides the rows left by as many. The second value
+    is 0, or how many rows of the hash at the bound are wanted where it has more.
     """
-    prefix, wanted = "", None
-    while len(prefix) < HASH_DIGITS:
+    prefix = ""
+    while wanted and len(prefix) < HASH_DIGITS:
         inside = hashes.where(F.startswith("h", F.lit(prefix))) if prefix else hashes
         digits = F.substring("h", len(prefix) + 1, BUCKET_DIGITS)
-        counts = sorted(inside.groupBy(digits.alias("digits")).count().collect())
-        if wanted is None:
-            wanted = math.ceil(sum(n for _, n in counts) * fraction)
-        if not counts or wanted == 0:
-            return ""
-        for found, n in counts:
+        for found, n in sorted(inside.groupBy(digits.alias("digits")).count().collect()):
             if wanted <= n:
                 break
             wanted -= n
         prefix += found
         if wanted == n:
             # Every hash with this prefix counts: "g" follows all digits.
-            return f"{prefix}g"
-    return prefix
+            return f"{prefix}g", 0
+    return prefix, wanted
 
 
 def fit(
