@@ -1,5 +1,5 @@
 import zlib
-from collections import defaultdict
+from collections import Counter, defaultdict
 
 import numpy as np
 import public_tokenizers
@@ -7,7 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from trapiche.llm.packing import best_fit, pack_documents, token_ids
+from trapiche.llm.packing import WEIGHTS, best_fit, pack_documents, token_ids
 
 PATH = public_tokenizers.path("word_bpe_49k.json")
 ROWS = [
@@ -106,3 +106,18 @@ def test_blocks_repeats_nulls_and_empty_table(documents):
     assert sorted(r["length"] for r in found) == [2, 3, 3]
     assert sum(r["doc_id"] is None for r in found) == 1
     assert pack_documents(documents([]), PATH).collect() == []
+
+
+def test_rows_that_are_alike_spread_over_the_blocks(documents):
+    rows = [(None, None)] * 600 + [(i, "a b") for i in range(1_200)]
+    found = pack_documents(documents(rows), PATH, block_pieces=100).collect()
+    assert len(found) == 1_800
+    sizes = Counter(r["sequence_id"] >> 32 for r in found)
+    assert len(sizes) == 18 and max(sizes.values()) < 200
+
+
+def test_the_default_weights_cost_no_sequences():
+    lengths = np.random.default_rng(5).lognormal(6, 1.2, 5_000).astype(int).clip(1, 4_096)
+    tokens_alone, _ = best_fit(lengths, 4_096)
+    all_three, _ = best_fit(lengths, 4_096, weights=WEIGHTS)
+    assert all_three.max() <= tokens_alone.max()

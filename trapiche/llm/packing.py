@@ -23,6 +23,8 @@ SEQUENCE_TOKENS = 4096
 END_ID = 1
 # Pieces packed together; blocks are dealt by hash, so their sizes are even.
 BLOCK_PIECES = 20_000
+# How much tokens, documents and attention cost left over count in the choice of a bin.
+WEIGHTS = (1.0, 1.0, 1.0)
 # Words, and parts of words, that a worker keeps with their ids (about 250 bytes each).
 WORDS_KEPT = 500_000
 # Bytes of text encoded at a time, which bounds the memory of a very long text.
@@ -252,34 +254,37 @@ def pack_documents(
     end_id: int = END_ID,
     max_documents: int | None = None,
     max_attention: int | None = None,
-    weights: tuple[float, float, float] = (1.0, 0.0, 0.0),
+    weights: tuple[float, float, float] = WEIGHTS,
     score: str = "dot",
     block_pieces: int = BLOCK_PIECES,
 ) -> DataFrame:
     """One row per piece: its document, place in the document, checksum, sequence and offset.
 
     A null text counts as empty and still gives the end id. Rows that repeat are packed like
-    any other. A null id stays null. An empty table gives no pieces. Pieces are dealt to blocks
-    of about `block_pieces` by a hash, one task packs a block, and only (length) columns travel;
-    each block ends with at most one badly filled sequence, a share of 1 in thousands.
+    any other. A null id stays null. An empty table gives no pieces. The table's other columns
+    are not read, so their names cannot clash. Pieces are dealt to blocks of about
+    `block_pieces` by a hash of the number each is stored with, so pieces that are alike spread
+    as others do; one task packs a block, and only (length) columns travel. Each block ends with
+    at most one badly filled sequence, a share of 1 in thousands. Where documents and attention
+    are not limited, a bin's tokens bound them, and they count in the choice by `weights`.
     """
-    pieces = store(
-        tokenised_pieces(named(docs, id=id_col, text=text_col), tokenizer_path, limit, end_id)
-    )
+    pieces = tokenised_pieces(named(docs, id=id_col, text=text_col), tokenizer_path, limit, end_id)
+    # Stored, so that a piece keeps its number when a task runs again.
+    pieces = store(pieces.withColumn("number", F.monotonically_increasing_id()))
     blocks = max(1, round(row_count(pieces) / block_pieces))
 
     def pack(block: pa.Table) -> pa.Table:
         # The order of the rows of a shuffle is not fixed; the packing should be.
-        block = block.sort_by([(c, "ascending") for c in ("id", "piece", "ids_crc32")])
+        block = block.sort_by([(c, "ascending") for c in ("id", "piece", "ids_crc32", "number")])
         bins, offsets = best_fit(
             block["length"].to_numpy(), limit, max_documents, max_attention, weights, score
         )
         number = block["block"].to_numpy().astype(np.int64)
-        block = block.drop_columns(["block"])
+        block = block.drop_columns(["block", "number"])
         block = block.append_column("sequence_id", pa.array((number << 32) + bins))
         return block.append_column("offset", pa.array(offsets))
 
-    block = F.pmod(F.xxhash64("id", "piece", "ids_crc32"), F.lit(blocks)).cast("int")
+    block = F.pmod(F.xxhash64("number"), F.lit(blocks)).cast("int")
     packed = (
         pieces.withColumn("block", block)
         .groupBy("block")
