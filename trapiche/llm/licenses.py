@@ -385,7 +385,14 @@ def notice_matches(
         only = F.size(F.array_except(_words(F.col("text")), said[best["license"]])) == 0
         return F.struct(best.alias("best"), only.alias("only"))
 
-    scored = _with_digests(texts, candidates).select(
+    # Texts without any marker are told by themselves and stay out of the join: by a plain
+    # search for its letters first, by the borders of the word where these are found.
+    marker_in = _let(
+        F.lower("text"),
+        lambda t: functools.reduce(lambda x, y: x | y, [F.contains(t, F.lit(m)) for m in marked])
+        & t.rlike(may_match),
+    )
+    scored = _with_digests(texts.where(marker_in), candidates).select(
         "digest",
         _let(_best(F.col("text"), vectors, idf, other), judged).alias("whole"),
         F.array_max(F.transform(lines, lambda x: _best(x, vectors, idf, other))).alias("line"),
