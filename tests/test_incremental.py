@@ -1,6 +1,7 @@
 """Runs over a folder that grows and is corrected, against whole runs over the same folder."""
 
 import os
+import re
 
 import pytest
 from pyspark.sql import functions as F
@@ -13,7 +14,7 @@ from trapiche.plans.etl import run_etl
 from trapiche.plans.incremental import output_path, publish_run, published, update_tables
 from trapiche.sinks import publish
 from trapiche.sinks.publish import AlreadyPublished, Version, expire_versions, manifest
-from trapiche.sources.feeds import read_feeds
+from trapiche.sources.feeds import LINEAGE, read_feeds
 from trapiche.sources.ledger import LEDGER_SCHEMA, count_cells, numeric_columns
 
 HEADER = ",".join(("ingenio", "zafra", "semana", *SPEC.summed))
@@ -242,3 +243,18 @@ def test_moments_merge(spark):
     # Merging in steps gives what merging at once does.
     steps = merge_moments(merge_moments(stored, ["zafra"])).first().asDict()
     assert_close(steps, merge_moments(stored).first().asDict())
+
+
+def lines(spark, count=3):
+    cells = [("M", "2015-2016", str(w), *["1.5"] * len(SPEC.summed), None, "n/d", "f", 0, w) for w in range(count)]
+    names = [*SPEC.kept, *LINEAGE]
+    kinds = ["string"] * (len(SPEC.kept) + 1) + ["long"] * 2
+    return spark.createDataFrame(cells, ", ".join(f"{n} {k}" for n, k in zip(names, kinds)))
+
+
+def test_measures_are_converted_after_the_latest_row_is_found(spark):
+    found = incremental._per_file(lines(spark), SPEC)
+    below = found._jdf.queryExecution().optimizedPlan().toString().split("Window [", 1)[1]
+    assert below.count("cast(") == below.count("cast(semana")
+    assert [r[SPEC.period] for r in found.collect()] == [2.0]
+    assert found.first()["rendimiento_fabrica"] == 0.0

@@ -18,7 +18,7 @@ from pyspark.sql import types as T
 
 from trapiche.config import DEFAULT_SPEC, FeedSpec
 from trapiche.functions.seasons import in_season_range
-from trapiche.operators.conform import conform_types
+from trapiche.operators.conform import cast_numbers, conform_types, fill_missing
 from trapiche.operators.derive import derive_yields
 from trapiche.operators.moments import moments, moments_schema
 from trapiche.operators.rollup import season_sums, with_growth, with_season_ratios
@@ -95,12 +95,17 @@ def _all_columns(feeds: DataFrame, columns: Sequence[str]) -> DataFrame:
 
 
 def _per_file(rows: DataFrame, spec: FeedSpec) -> DataFrame:
-    """The latest row of every producer and season of every file."""
+    """The latest row of every producer and season of every file.
+
+    Keys and period tell which one it is; only the measures of that row are converted. The
+    sort that finds it begins with the producer, as paths of files begin alike.
+    """
     numeric = [c for c in spec.kept if c not in spec.keys]
-    typed = conform_types(rows.select(*spec.kept, *LINEAGE), spec, numeric)
-    latest = latest_rows(typed, (SOURCE_FILE, *spec.keys), spec, LINEAGE[1:])
+    keyed = fill_missing(cast_numbers(rows.select(*spec.kept, *LINEAGE), [spec.period]))
+    latest = latest_rows(keyed, (*spec.keys, SOURCE_FILE), spec, LINEAGE[1:])
+    typed = conform_types(latest, spec, numeric)
     schema = per_file_schema(spec)
-    return latest.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in schema.fields])
+    return typed.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in schema.fields])
 
 
 def _detail(per_file: DataFrame, spec: FeedSpec) -> DataFrame:
