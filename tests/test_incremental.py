@@ -258,3 +258,15 @@ def test_measures_are_converted_after_the_latest_row_is_found(spark):
     assert below.count("cast(") == below.count("cast(semana")
     assert [r[SPEC.period] for r in found.collect()] == [2.0]
     assert found.first()["rendimiento_fabrica"] == 0.0
+
+
+def test_cells_are_counted_in_a_plain_hash_aggregate(spark):
+    feeds = lines(spark).withColumn(SPEC.season, F.expr("if(semana = '0', null, zafra)"))
+    counted = count_cells(feeds, SPEC.kept, SPEC.season)
+    plan = counted._jdf.queryExecution().executedPlan().toString()
+    # The rows of the feeds meet the lowest aggregate, which has no sets to gather.
+    assert re.findall(r"(\w+Aggregate)\(", plan)[-1] == "HashAggregate"
+    row = counted.first()
+    assert (row["rows"], row["seasons"]) == (3, ["2015-2016"])
+    assert row["present"] | {SPEC.net: 3} == row["present"] and row["present"][SPEC.season] == 2
+    assert row["parsed"][SPEC.net] == 3 and row["parsed"]["rendimiento_fabrica"] == 0

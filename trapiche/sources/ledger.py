@@ -73,22 +73,30 @@ def compare(listing: DataFrame, ledger: DataFrame) -> DataFrame:
 
 
 def count_cells(feeds: DataFrame, columns: Sequence[str], season: str) -> DataFrame:
-    """`(file, rows, present, parsed, seasons)` of parsed feeds, in one aggregate.
+    """`(file, rows, present, parsed, seasons)` of parsed feeds, in one pass.
 
-    Seasons are at most those that a file names.
+    Rows are counted by file and season first, which needs counts alone; the few rows of that
+    are added up by file. Seasons are at most those that a file names.
     """
     there = [c for c in columns if c in feeds.columns]
+    named = F.col(f"`{season}`") if season in feeds.columns else F.lit(None)
+    counted = feeds.groupBy(
+        F.col(SOURCE_FILE).alias("file"), named.cast("string").alias("season")
+    ).agg(
+        F.count(F.lit(1)).alias("rows"),
+        *[F.count(F.col(f"`{c}`")).alias(f"present_{i}") for i, c in enumerate(there)],
+        *[F.count(parse_number(F.col(f"`{c}`"))).alias(f"parsed_{i}") for i, c in enumerate(there)],
+    )
 
-    def counts(each) -> F.Column:
-        entries = [x for c in there for x in (F.lit(c), F.count(each(F.col(f"`{c}`"))))]
+    def totals(kind: str) -> F.Column:
+        entries = [x for i, c in enumerate(there) for x in (F.lit(c), F.sum(f"{kind}_{i}"))]
         return F.create_map(*entries) if entries else F.create_map().cast(_COUNTS)
 
-    seasons = F.sort_array(F.collect_set(season)) if season in feeds.columns else F.array()
-    return feeds.groupBy(F.col(SOURCE_FILE).alias("file")).agg(
-        F.count(F.lit(1)).alias("rows"),
-        counts(lambda c: c).alias("present"),
-        counts(parse_number).alias("parsed"),
-        seasons.cast("array<string>").alias("seasons"),
+    return counted.groupBy("file").agg(
+        F.sum("rows").alias("rows"),
+        totals("present").alias("present"),
+        totals("parsed").alias("parsed"),
+        F.sort_array(F.collect_set("season")).alias("seasons"),
     )
 
 
