@@ -6,7 +6,8 @@ import pytest
 from pyspark.sql import functions as F
 
 from trapiche.catalog import QUERIES
-from trapiche.catalog.panel import weekly_panel
+from trapiche.catalog.panel import text_panel, weekly_panel
+from trapiche.catalog.queries import MEASURES, rounded
 from trapiche.config import DEFAULT_SPEC as SPEC
 from trapiche.operators import conform, kpi, regression, rollup
 from trapiche.operators.snapshot import latest_snapshot
@@ -110,3 +111,18 @@ def test_branches_share_one_scan(spark, name):
 def test_exact_split_ranks_no_rows(spark, stored):
     p = plan(regression.with_split(stored, [SPEC.producer, SPEC.season], exact=True))
     assert "Window" not in p and "Exchange" not in p
+
+
+def method_sizes(df):
+    """Bytes of the largest generated method of every stage; the JVM leaves 8,000 uncompiled."""
+    parts = df._jdf.queryExecution().debug().codegenToSeq()
+    return [parts.apply(i)._3().maxMethodCodeSize() for i in range(parts.size())]
+
+
+def test_conversion_of_all_columns_is_compiled(spark, tmp_path):
+    path = str(tmp_path / "text")
+    reported = {c: F.lit("11.5") for c in SPEC.reported_yields}
+    text_panel(weekly_panel(spark, FOLDER)).withColumns(reported).write.parquet(path)
+    text = spark.read.parquet(path)
+    typed = conform.conform_types(text, numeric=text.columns)
+    assert max(method_sizes(rounded(typed, **MEASURES))) < 8000

@@ -60,10 +60,10 @@ def weekly_panel(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def text_panel(panel: DataFrame) -> DataFrame:
-    """The panel as a raw feed would spell it: every cell is text."""
+    """The panel as a raw feed would spell it: every cell is text, a missing measure `null`."""
     return panel.selectExpr(
         SPEC.producer,
         SPEC.season,
         f"string({SPEC.period}) AS {SPEC.period}",
-        *[f"format_string('%.4f', {m}) AS {m}" for m in SPEC.summed],
+        *[f"coalesce(string(cast({m} AS decimal(24,4))), 'null') AS {m}" for m in SPEC.summed],
     )
