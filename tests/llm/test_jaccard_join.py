@@ -138,3 +138,87 @@ def test_tree_loses_nothing_and_prunes():
     assert kept < 0.05 * 240 * 240
     links = connect(points, sizes, np.arange(240), np.ones(240, bool), 85, sets)
     assert {(min(a, b), max(a, b)) for a, b in links} >= {(i, i + 1) for i in range(0, 240, 120)}
+
+
+def test_shared_passage_makes_no_large_class(documents, monkeypatch):
+    """A fifth of each text is the same; such sets are not compared with one another."""
+    draw = random.Random(7)
+    words = [f"w{i}" for i in range(5000)]
+    passage = draw.choices(words, k=30)
+    rows = [(i, " ".join(passage + draw.choices(words, k=draw.randint(115, 125)))) for i in range(240)]
+    rows += [(1000 + i, f"{rows[i][1]} end") for i in range(5)]
+    entered, connected = [], jaccard_join._connected
+
+    def counted(members, *args):
+        entered.append(members.count())
+        return connected(members, *args)
+
+    monkeypatch.setattr(jaccard_join, "_connected", counted)
+    assert found(documents, rows) == brute(rows)
+    assert 10 <= entered[0] < 40
+
+
+def test_near_misses_are_verified_at_once(monkeypatch):
+    """Copies of one text that differ too much from each other are not verified pair by pair."""
+    draw = np.random.default_rng(3)
+    text, fresh = np.arange(400, dtype=np.uint64) * np.uint64(977), iter(range(1 << 40, 1 << 41))
+    sets = []
+    for changed in [8] * 60 + [45] * 140:
+        kept = draw.choice(text, 400 - changed, replace=False)
+        sets.append(np.sort(np.append(kept, np.array([next(fresh) for _ in range(changed)], np.uint64))))
+    common = np.array([[len(np.intersect1d(a, b)) for b in sets] for a in sets])
+    sizes, apart = np.full(200, 400), ~np.eye(200, dtype=bool)
+    overlaps = jaccard_join.Overlaps(sets)
+    assert all((overlaps.of(i) == common[i])[apart[i]].all() for i in range(200))
+    mixed_sets = [s[: 400 - 2 * i] for i, s in enumerate(sets[:150])]
+    overlaps = jaccard_join.Overlaps(mixed_sets)
+    for i in (0, 70, 149):
+        exact = [len(np.intersect1d(mixed_sets[i], s)) for s in mixed_sets]
+        assert [x for j, x in enumerate(overlaps.of(i).tolist()) if j != i] == exact[:i] + exact[i + 1 :]
+
+    calls, plain = [], np.intersect1d
+    monkeypatch.setattr(np, "intersect1d", lambda *a, **k: calls.append(1) or plain(*a, **k))
+    points = np.stack([np.bincount((s % np.uint64(32)).astype(int), minlength=32) for s in sets])
+    links = connect(points, sizes, np.arange(200), np.ones(200, bool), 85, sets)
+    near = 100 * common >= 85 * (800 - common)
+    root = list(range(200))
+
+    def top(i):
+        while root[i] != i:
+            i = root[i]
+        return i
+
+    for a, b in links:
+        assert near[a, b] and top(a) != top(b)
+        root[top(a)] = top(b)
+    assert all(top(a) == top(b) for a, b in zip(*np.nonzero(near)))
+    assert len(calls) < 1000
+
+
+def test_what_sets_leave_out_costs_no_pair():
+    """Similar sets keep a common digest, whatever the counts are."""
+    draw, groups = np.random.default_rng(5), Groups(85)
+    spares = groups.spares()
+    left_out = 0
+
+    def kept(tokens):
+        nonlocal left_out
+        digests = groups.digests(tokens)
+        level = (digests & np.uint64((1 << jaccard_join.LEVEL_BITS) - 1)).astype(int)
+        rest = []
+        for own in np.unique(level):
+            # Any order of all digests will do; this one is by other bits of theirs.
+            mine = digests[level == own]
+            rest.append(mine[np.argsort(mine * np.uint64(0x9E3779B97F4A7C15))[spares[own] :]])
+            left_out += len(mine) - len(rest[-1])
+        return np.concatenate(rest)
+
+    for size in [*range(1, 80, 3), 150, 400, 1500]:
+        for _ in range(10):
+            tokens = draw.integers(0, 1 << 63, size=2 * size + 5).astype(np.uint64)
+            drop = draw.integers(0, size // 5 + 1)
+            a, b = np.unique(tokens[:size]), np.unique(tokens[drop : size + draw.integers(0, drop + 1)])
+            common = len(np.intersect1d(a, b))
+            if 100 * common >= 85 * (len(a) + len(b) - common):
+                assert np.intersect1d(kept(a), kept(b)).size
+    assert left_out > 1000

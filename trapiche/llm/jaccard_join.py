@@ -3,19 +3,21 @@
 The tokens of a document are its distinct shingles. They are hashed into groups, twice over.
 
 Dealing out. Two sets that are similar enough differ in at most t tokens, t depending on their
-sizes. With more than t groups, at least one group must hold the same tokens in both, so sets
-meet by the digests of their groups: none is lost, and a passage that many documents share
-brings them together only where it alone fills a group. The sets of one digest, and those of
-digests whose smallest sets have met the same smallest set, are one class. No token and no set is compared yet, and equal sets
-are one.
+sizes. With t + 1 + s groups, at least s + 1 groups hold the same tokens in both, so sets meet by
+the digests of their groups. All sets that have a digest are counted, and every set leaves out
+its s most frequent ones: of s + 1 common digests the least frequent one stays in both, so none
+is lost, and a passage that many documents share brings them together only where it fills more
+than s groups. The sets of one digest, and those of digests whose smallest sets have met the same
+smallest set, are one class. No token and no set is compared yet, and equal sets are one.
 
 Join. Within a class the counts of tokens per group are points in an R-tree. The overlap of a
 set with any set below a node is at most the sum over the groups of the smaller of its own count
 and the node's largest; nodes and points whose sum is too small are pruned. What the bounds
 cannot tell apart forms the classes of a second pass, which are far fewer and smaller: only
-their tokens travel, and pairs that survive the tree again are verified by them. Sets that are
-connected already are not compared again, so a class of near copies takes a number of
-comparisons near its size, not the square of it.
+their tokens travel, and pairs that survive the tree again are verified by them: a few one by
+one, many by lists of the sets that differ alike from the core of their class. Sets that are
+connected already are not compared again, nor are nodes that hold no others, so a class of near
+copies takes a number of comparisons near its size, not the square of it.
 
 A class beyond the size of a cell is dealt to cells. Each cell is joined by itself, then a
 sample of all cells, which merges what is large; then the sets outside the largest component
@@ -32,13 +34,13 @@ from itertools import repeat
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from trapiche.llm.common import named
 from trapiche.llm.components import connected_components
-from trapiche.llm.key_filter import KeyFilter, key_filter
+from trapiche.llm.key_filter import key_filter
 from trapiche.llm.windows import mixed
 from trapiche.sinks.writers import store
 
@@ -53,12 +55,16 @@ SLOTS_OF_CELL = 8
 # Children of a node of the tree, and tokens that a group of a point holds on average.
 FAN = 16
 GROUP_TOKENS = 8
+# So many sets that survive the tree are verified at once.
+FEW = 8
 # Beyond so many groups they are only made more where counts would not fit 16 bits.
 MOST_GROUPS, MOST_TOKENS = 512, 30_000
 # Bytes that a token takes, by itself and in a point.
 TOKEN_BYTES, POINT_BYTES = 8.0, 0.5
 # Shingles hashed at a time, which bounds the memory of a very long text.
 BLOCK = 1 << 16
+# Low bits of a group digest that hold its level.
+LEVEL_BITS = 7
 
 _LOWER = bytes.maketrans(bytes(range(65, 91)), bytes(range(97, 123)))
 
@@ -84,9 +90,9 @@ class Groups:
 
     Sizes are cut into levels. A set is entered at its own level and, if a set of the level
     below may be similar to it, at that one too. At a level, similar sets differ in at most
-    `apart` tokens, so of apart + 1 + spare groups at least 1 + spare agree. Groups of at most
-    one token say little: they are left out if the set has no more than `spare` of them, for
-    then a fuller one agrees as well.
+    `apart` tokens, so of apart + 1 + spare groups at least 1 + spare agree. In any order of all
+    digests every set may leave out its first `spare` at a level: the last that two sets have in
+    common stays in both.
     """
 
     def __init__(self, percent: int):
@@ -97,12 +103,16 @@ class Groups:
             self.starts.append(max(start + 1, start * 3 // 2, -(-start * 100 // percent)))
 
     def _shape(self, level: int) -> tuple[int, int]:
-        """Number of groups, and of those that may be left out."""
+        """Number of groups, and of those that a set may leave out."""
         small = self.starts[level + 1] - 1
         apart = (100 - self.percent) * (small + 100 * small // self.percent) // (100 + self.percent)
-        spare = apart // 12
+        spare = apart // 4
         return apart + 1 + spare, spare
 
+    def spares(self) -> list[int]:
+        """Groups that a set may leave out, by level."""
+        return [self._shape(level)[1] for level in range(len(self.starts) - 1)]
+
     def digests(self, tokens: np.ndarray) -> np.ndarray:
         if len(tokens) == 0:
             return np.zeros(0, np.uint64)
@@ -112,7 +122,7 @@ class Groups:
             levels.append(own - 1)
         found = []
         for level in levels:
-            count, spare = self._shape(level)
+            count = self._shape(level)[0]
             salt = np.uint64((2 * level + 1) * 0x9E3779B97F4A7C15 % (1 << 64))
             scattered = mixed(tokens ^ salt)
             group = ((scattered >> np.uint64(32)) * np.uint64(count)) >> np.uint64(32)
@@ -121,9 +131,8 @@ class Groups:
             first = np.flatnonzero(np.append(True, group[1:] != group[:-1]))
             content = np.zeros(count, np.uint64)
             content[group[first]] = np.add.reduceat(mixed(scattered[order]), first)
-            light = np.bincount(group, minlength=count) <= 1
             digests = mixed(mixed(content + salt) + np.arange(count, dtype=np.uint64))
-            found.append(digests if light.sum() > spare else digests[~light])
+            found.append((digests >> np.uint64(LEVEL_BITS) << np.uint64(LEVEL_BITS)) + np.uint64(level))
         return np.concatenate(found)
 
 
@@ -163,12 +172,16 @@ class CountTree:
 
     def similar(self, point: np.ndarray, size: int, open_ones: np.ndarray) -> np.ndarray:
         """Numbers of the open points whose bound is large enough, the best bound first."""
-        at = np.arange(len(self.levels[-1][1]))
+        # A node is open if a point below it is.
+        opened = [open_ones[self.order]]
+        for _ in self.levels[1:]:
+            opened.append(np.logical_or.reduceat(opened[-1], np.arange(0, len(opened[-1]), FAN)))
+        at = np.flatnonzero(opened[-1])
         for level in range(len(self.levels) - 1, 0, -1):
             at = at[self._bounds(level, at, point, size)[0]]
             at = (at[:, None] * FAN + np.arange(FAN)).ravel()
             at = at[at < len(self.levels[level - 1][1])]
-        at = at[open_ones[self.order[at]]]
+            at = at[opened[level - 1][at]]
         fits, bound = self._bounds(0, at, point, size)
         return self.order[at[fits][np.argsort(-bound[fits], kind="stable")]]
 
@@ -189,6 +202,46 @@ def _folded(points: list[np.ndarray]) -> np.ndarray:
     return np.array([p.reshape(-1, groups).sum(axis=0, dtype=np.int32) for p in points])
 
 
+class Overlaps:
+    """How many tokens a set has in common with every set of its class.
+
+    What more than half of the sets hold is their core. A set is kept as what it lacks of the core
+    and what it holds besides, so near copies cost as much as they differ.
+    """
+
+    def __init__(self, tokens: list[np.ndarray]):
+        sizes = np.array([len(t) for t in tokens])
+        owner = np.repeat(np.arange(len(tokens)), sizes)
+        name, count = np.unique(np.concatenate(tokens), return_inverse=True, return_counts=True)[1:]
+        core = np.flatnonzero(2 * count > len(tokens))
+        place = np.full(len(count), -1)
+        place[core] = np.arange(len(core))
+        inside = place[name] >= 0
+        held = np.zeros((len(core), len(tokens)), bool)
+        held[place[name[inside]], owner[inside]] = True
+        lacked, lacking = np.nonzero(~held)
+        self.in_core = held.sum(axis=0)
+        self.lacks = len(core) - self.in_core
+        name = np.append(name[~inside], core[lacked])
+        owner = np.append(owner[~inside], lacking)
+        # What one set alone lacks or holds it has in common with no other.
+        shared = np.bincount(name, minlength=len(count))[name] > 1
+        name, owner = name[shared], owner[shared]
+        self.holders = owner[np.argsort(name, kind="stable")]
+        self.edges = np.append(0, np.cumsum(np.bincount(name, minlength=len(count))))
+        self.names = name[np.argsort(owner, kind="stable")]
+        self.first = np.append(0, np.cumsum(np.bincount(owner, minlength=len(tokens))))
+
+    def of(self, i: int) -> np.ndarray:
+        """Common tokens of set i and each other set."""
+        names = self.names[self.first[i] : self.first[i + 1]]
+        lengths = self.edges[names + 1] - self.edges[names]
+        ends = np.cumsum(lengths)
+        at = np.arange(lengths.sum()) + np.repeat(self.edges[names] - (ends - lengths), lengths)
+        alike = np.bincount(self.holders[at], minlength=len(self.lacks))
+        return self.in_core - self.lacks[i] + alike
+
+
 def connect(
     points: np.ndarray,
     sizes: np.ndarray,
@@ -209,13 +262,19 @@ def connect(
 
     component = np.unique(component, return_inverse=True)[1]
     left = len(np.unique(component))
-    tree, links = CountTree(points, sizes, percent), []
+    tree, links, overlaps = CountTree(points, sizes, percent), [], None
     for i in np.flatnonzero(asks).tolist():
         if left == 1:
             break
         near = tree.similar(points[i], int(sizes[i]), component != component[i])
+        sure = tokens is None
+        if not sure and len(near) >= FEW:
+            overlaps = overlaps or Overlaps(tokens)
+            common = overlaps.of(i)[near]
+            near = near[100 * common >= percent * (sizes[i] + sizes[near] - common)]
+            sure = True
         for j in near.tolist():
-            if component[j] != component[i] and (tokens is None or similar(i, j)):
+            if component[j] != component[i] and (sure or similar(i, j)):
                 links.append((i, j))
                 component[component == component[j]] = component[i]
                 left -= 1
@@ -259,21 +318,40 @@ def _digest(tokens: np.ndarray) -> bytes | None:
     return hashlib.blake2b(tokens.tobytes(), digest_size=16).digest() if len(tokens) else None
 
 
-def _met(shared: KeyFilter):
-    """Group digests that several sets may have, with the set's node."""
+def _entered(described: DataFrame, sets: DataFrame) -> DataFrame:
+    """Group digests that several sets have, `(met, node, held_by)`, a row for each of the sets.
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            lists = batch["groups"]
-            sizes = np.diff(lists.offsets.to_numpy())
-            flat = lists.flatten().to_numpy()
-            nodes = np.repeat(batch["node"].fill_null(0).to_numpy(), sizes)
-            held = shared.holds(flat)
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(flat[held]), pa.array(nodes[held])], ["met", "node"]
-            )
+    Digests travel once and meet in a window, so no list of the shared ones goes to any task.
+    """
+    # Of equal sets one enters.
+    first = key_filter(sets.select(F.col("mark").alias("key")))
+    entered = described.where("node IS NOT NULL").where(first.test(F.col("mark")))
+    same = Window.partitionBy("met")
+    return (
+        entered.select(F.explode("groups").alias("met"), "node")
+        .select(
+            "met",
+            "node",
+            F.count(F.lit(1)).over(same).alias("held_by"),
+            F.min("node").over(same).alias("hub"),
+            F.max("node").over(same).alias("top"),
+        )
+        .where("hub < top")
+        .select("met", "node", "held_by")
+        .distinct()
+    )
 
-    return run
+
+def _rarer(entered: DataFrame, spares: list[int]) -> DataFrame:
+    """Without the most frequent digests of each set and level, as many as may be left out.
+
+    The order is one of all digests; those that only one set has would come last.
+    """
+    level = F.col("met").bitwiseAND((1 << LEVEL_BITS) - 1)
+    by_count = Window.partitionBy("node", level).orderBy(F.desc("held_by"), "met")
+    spare = F.element_at(F.array(*map(F.lit, spares)), (level + 1).cast("int"))
+    ranked = entered.withColumn("rank", F.row_number().over(by_count))
+    return store(ranked.where(F.col("rank") > spare).select("met", "node"))
 
 
 def _tokens(size: int):
@@ -526,20 +604,9 @@ def _linked(
     cell_bytes: int,
 ) -> DataFrame:
     """Smallest id of the component, `(of_number, least_linked)`, of every set that has a link."""
-    entered = described.where("node IS NOT NULL").select(F.explode("groups").alias("met"), "node")
-    shared = store(
-        entered.groupBy("met")
-        .agg(F.min("node").alias("hub"), F.max("node").alias("top"))
-        .where("hub < top")
-        .select("met", "hub")
-    )
-    several = key_filter(shared.select(F.col("met").alias("key")))
-    meetings = (
-        described.select("groups", "node")
-        .mapInArrow(_met(several), "met long, node long")
-        .join(shared, "met")
-        .select("node", "hub")
-    )
+    entered = _rarer(_entered(described, sets), Groups(percent).spares())
+    hubs = entered.groupBy("met").agg(F.min("node").alias("hub"), F.max("node").alias("top"))
+    meetings = entered.join(hubs.where("hub < top"), "met").select("node", "hub")
     # The smallest set of a digest meets itself.
     meetings = store(meetings.distinct())
     # A hub stands for the smallest hub that it meets itself: near copies, of which each lacks
